@@ -87,7 +87,8 @@ def disposition_filename(header: Column) -> Column:
     ``filename*`` (percent-coded, UTF-8 or ISO-8859-1) wins over ``filename``; numbered continuations
     are joined in order when neither is there. Path separators in the result become ``_``.
     """
-    found = r';\s*([^=;\s]+)\s*=\s*("(?:[^"\\]|\\.)*"|[^;"\s]*)'
+    # possessive repeats: long values must not recurse in the regex engine
+    found = r';\s*([^=;\s]++)\s*+=\s*+("(?:[^"\\]++|\\.)*+"|[^;"\s]*+)'
     keys = F.transform(F.regexp_extract_all(header, F.lit(found), F.lit(1)), F.lower)
     raw = F.transform(F.regexp_extract_all(header, F.lit(found), F.lit(2)), _unquote)
     pairs = F.arrays_zip(keys.alias("k"), raw.alias("v"))

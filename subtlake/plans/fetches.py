@@ -20,7 +20,7 @@ _OUTCOME = f"""CASE WHEN event_type = 'click' THEN 'ok' {_VIEW} WHEN event_type
   WHEN event_type = 'error' AND value < 10 THEN 'retry' WHEN event_type = 'error' AND value < 20 THEN 'takedown'
   WHEN event_type = 'error' AND value < 40 THEN 'pause' WHEN event_type = 'error' AND value < 60 THEN 'blocked'
   WHEN event_type = 'error' AND value < 80 THEN 'pause' WHEN event_type = 'error' AND value < 100 THEN 'wait'
-  ELSE 'retry' END"""
+  WHEN event_type = 'error' THEN 'retry' ELSE 'html' END"""
 
 
 def results(spark, sf):

@@ -58,8 +58,9 @@ def select_columns(spark, sf):
 
 
 @query("""
-SELECT o_orderkey AS IDSubtitle, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority || '''s' ELSE '' END AS MovieNameIfNoImdbId,
-  CASE WHEN o_orderstatus = 'O' THEN year(o_orderdate) ELSE 0 END AS MovieYearIfNoImdbId,
+SELECT o_orderkey AS IDSubtitle,
+  CASE WHEN o_orderstatus = 'O' OR o_custkey = 0 THEN o_orderpriority || '''s' ELSE '' END AS MovieNameIfNoImdbId,
+  CASE WHEN o_orderstatus = 'O' OR o_custkey = 0 THEN year(o_orderdate) ELSE 0 END AS MovieYearIfNoImdbId,
   CAST(epoch(o_orderdate) AS BIGINT) AS SubAddDateUnix, CAST(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS INTEGER) AS MovieKindIsMovie
 FROM orders""")
 def case_columns(spark, sf):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
 from subtlake.functions import content, ids, names, text
 from subtlake.operators import stats
 from subtlake.plans.registry import query, table
@@ -263,9 +264,10 @@ def to_utf8(spark, sf):
     return table(spark, sf, "documents").select("doc_id", recode(data, "iso-8859-1").alias("text"))
 
 
-@query("SELECT doc_id, token, n FROM (SELECT doc_id, token, count(*) AS n FROM (SELECT doc_id, "
-       "unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}_]+)', 1)) AS token FROM documents WHERE lang = 'en') "
-       "GROUP BY doc_id, token)")
+@query(f"""
+SELECT doc_id, token, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
+    '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents WHERE lang = 'en') GROUP BY doc_id, token""")
 def fts_tokens(spark, sf):
     english = table(spark, sf, "documents").where(F.col("lang") == "en")
     words = english.select("doc_id", F.explode(text.fts_tokens(F.col("text"))).alias("token"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
 from subtlake.operators import archive, ranking, search, stats
 from subtlake.plans.registry import query, table
 
@@ -88,12 +89,10 @@ def fts_phrase(spark, sf):
     return search.fts_phrase(titled, "num", "title", asked, "phrase").select("query_id", "num")
 
 
-@query("""
+@query(f"""
 SELECT 'text' AS field, token, count(*) AS ids, min(doc_id) AS first_num FROM (
-  SELECT DISTINCT doc_id, unnest(regexp_extract_all(translate(lower(text),
-    'àáâãäåāăąçćĉċčďèéêëēĕėęěĝğġģĥìíîïĩīĭįĵķĺļľñńņňòóôõöōŏőŕŗřśŝşšţťùúûüũūŭůűųŵýÿŷźżž',
-    'aaaaaaaaacccccdeeeeeeeeegggghiiiiiiiijklllnnnnoooooooorrrssssttuuuuuuuuuuwyyyzzz'), '([\\p{L}\\p{N}_]+)', 1)) AS token
-  FROM documents) GROUP BY token""")
+  SELECT DISTINCT doc_id, unnest(regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
+    '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents) GROUP BY token""")
 def token_table(spark, sf):
     tokens = search.token_table(table(spark, sf, "documents"), "doc_id", ["text"])
     return tokens.groupBy("field", "token").agg(F.count(F.lit(1)).alias("ids"), F.min("doc_id").alias("first_num"))
