@@ -29,15 +29,14 @@ def _recoded(content: bytes | None, fallback: str) -> str | None:
     for mark, codec in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if content.startswith(mark):
             return content.decode(codec, errors="replace")
+    if fallback != "guess":
+        return content.decode(fallback, errors="replace")
     try:
         import charset_normalizer
-
-        best = charset_normalizer.from_bytes(content).best()
-        if best is not None and fallback == "guess":
-            return str(best)
     except ImportError:
-        pass
-    return content.decode("cp1252" if fallback == "guess" else fallback, errors="replace")
+        return content.decode("cp1252", errors="replace")
+    best = charset_normalizer.from_bytes(content).best()
+    return content.decode("cp1252", errors="replace") if best is None else str(best)
 
 
 @F.pandas_udf(T.StringType())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from subtlake.fixed_values import DOUBLE_QUOTES, MAX_NAME_BYTES, NBSP, SINGLE_QUOTES
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` in the plan, and computed, once however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_disposition(name: Column, num: Column) -> Column:
     """``attachment; filename="X.(num).zip"`` -> ``X``; other names lose what they carry of that frame."""
     inner = F.coalesce(
@@ -124,16 +129,23 @@ def normalise_quotes(text: Column) -> Column:
 
 def fit_filename(name: Column, limit: int = MAX_NAME_BYTES) -> Column:
     """Names over ``limit`` bytes lose their middle: equal head and tail around ``...``."""
-    data = F.encode(name, "UTF-8")
-    # a cut may split a character of up to four bytes: take the longest prefix that is whole
-    prefixes = [F.substring(data, 1, limit - back) for back in range(4)]
-    fitting = F.coalesce(*[F.when(F.is_valid_utf8(p.cast("string")), F.length(p.cast("string"))) for p in prefixes])
-    keep = F.floor(fitting / 2).cast("int") - 1
-    cut = F.concat(
-        F.substring(name, F.lit(1), keep), F.lit("..."),
-        F.substring(name, F.length(name) - keep + F.lit(1), keep),
-    )
-    return F.when(F.octet_length(name) > limit, cut).otherwise(name)
+    def cut(name: Column) -> Column:
+        # a cut may split a character of up to four bytes: take the longest prefix that is whole
+        heads = F.transform(
+            F.sequence(F.lit(limit), F.lit(limit - 3), F.lit(-1)),
+            lambda size: F.substring(F.encode(name, "UTF-8"), F.lit(1), size).cast("string"),
+        )
+        whole = F.get(F.filter(heads, F.is_valid_utf8), F.lit(0))
+        halves = F.floor(F.length(whole) / 2).cast("int") - 1
+        return bind(
+            halves,
+            lambda keep: F.concat(
+                F.substring(name, F.lit(1), keep), F.lit("..."),
+                F.substring(name, F.length(name) - keep + F.lit(1), keep),
+            ),
+        )
+
+    return bind(name, lambda n: F.when(F.octet_length(n) > limit, cut(n)).otherwise(n))
 
 
 def extension(name: Column) -> Column:
@@ -159,18 +171,23 @@ def fix_extension(name: Column, fmt: Column, microdvd: Column) -> Column:
     A ``.txt`` that holds frame-based text becomes ``.sub``; a ``.txt`` after the right extension is
     dropped; otherwise ``.txt`` is dropped and ``.<format>`` appended to what is left.
     """
-    named = F.when(name == "", F.concat(F.lit("empty_filename."), fmt)).otherwise(name)
-    named = F.when(
-        F.lower(F.right(named, F.lit(4))).eqNullSafe(F.lit(".txt")) & F.coalesce(microdvd, F.lit(False)),
-        F.concat(_drop_tail(named, F.lit(".txt")), F.lit(".sub")),
-    ).otherwise(named)
+    ends_txt = lambda n: F.endswith(n, F.lit(".txt"))
     fits = lambda ext: (ext == F.concat(F.lit("."), fmt)) | ((fmt == "ssa") & (ext == ".ass"))
-    without = F.when(F.endswith(named, F.lit(".txt")), _drop_tail(named, F.lit(".txt"))).otherwise(named)
-    return (
-        F.when(fits(extension(named)), named)
-        .when(fits(extension(without)), without)
-        .otherwise(F.concat_ws(".", without, fmt))
-    )
+
+    def framed(n: Column) -> Column:
+        stem = _drop_tail(n, F.lit(".txt"))
+        is_framed = (F.lower(F.right(n, F.lit(4))) == ".txt") & F.coalesce(microdvd, F.lit(False))
+        return F.when(is_framed, F.concat(stem, F.lit(".sub"))).otherwise(n)
+
+    def fitted(n: Column) -> Column:
+        without = F.when(ends_txt(n), _drop_tail(n, F.lit(".txt"))).otherwise(n)
+        chosen = bind(
+            without, lambda w: F.when(fits(extension(w)), w).otherwise(F.concat_ws(".", w, fmt))
+        )
+        return F.when(fits(extension(n)), n).otherwise(chosen)
+
+    named = F.when(name == "", F.concat(F.lit("empty_filename."), fmt)).otherwise(name)
+    return bind(bind(named, framed), fitted)
 
 
 def render_path(template: str, values: Mapping[str, Column]) -> Column:

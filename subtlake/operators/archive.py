@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from subtlake.functions.codecs import fix_mojibake, to_utf8
@@ -117,9 +118,12 @@ def format_mismatch(declared: DataFrame, meta: DataFrame, num: str = "num", decl
 
 
 def number_duplicates(members: DataFrame, num: str = "num", path: str = "path", order: str = "ord",
-                      **options) -> DataFrame:
-    """Second and later members of one name in an archive get ``.2``, ``.3`` … before their extension."""
-    numbered = number_rows(members, [num, path], [F.col(order)], "_nth", **options)
+                      bounded: bool = True, **options) -> DataFrame:
+    """Second and later members of one name in an archive get ``.2``, ``.3`` … before their extension.
+
+    A group lies inside one archive, which came from one row; pass ``bounded=False`` where ``num`` is no archive.
+    """
+    numbered = number_rows(members, [num, path], [F.col(order)], "_nth", bounded=bounded, **options)
     ext = extension(F.col(path))
     base = F.substring(F.col(path), F.lit(1), F.length(path) - F.length(ext))
     renamed = F.concat(base, F.lit("."), F.col("_nth").cast("string"), ext)
@@ -127,14 +131,19 @@ def number_duplicates(members: DataFrame, num: str = "num", path: str = "path",
 
 
 def drop_equal_content(members: DataFrame, num: str = "num", path: str = "path", order: str = "ord",
-                       content: str = "content") -> DataFrame:
+                       content: str = "content", bounded: bool = True) -> DataFrame:
     """Of same-named members of an archive with equal content (size and SHA-1) the first stays.
 
-    The first place per content is an aggregate over small columns; the rows follow by a semi-join.
+    The members of one archive came from one row, so a window per archive is small and needs the members only
+    once. With ``bounded=False`` (``num`` is no archive) the first place per content is an aggregate over small
+    columns, and the rows follow by a semi-join on (num, place).
     """
-    marked = members.withColumn("_size", F.octet_length(content)).withColumn("_sha1", F.sha1(content))
-    kept = marked.groupBy(num, path, "_size", "_sha1").agg(F.min(order).alias(order)).select(num, path, order)
-    return members.join(kept, [num, path, order], "left_semi")
+    if bounded:
+        equal = W.partitionBy(num, path, F.octet_length(content), F.sha1(content)).orderBy(order)
+        return members.withColumn("_first", F.row_number().over(equal)).where("_first = 1").drop("_first")
+    marked = members.select(num, path, order, F.octet_length(content).alias("_size"), F.sha1(content).alias("_sha1"))
+    kept = marked.groupBy(num, path, "_size", "_sha1").agg(F.min(order).alias(order)).select(num, order)
+    return members.join(kept, [num, order], "left_semi")
 
 
 def repair_members(members: DataFrame, meta: DataFrame, num: str = "num", fallback: str = "guess") -> DataFrame:
@@ -144,18 +153,23 @@ def repair_members(members: DataFrame, meta: DataFrame, num: str = "num", fallba
     broken archives are left out. ``meta`` is (num, SubFormat).
     """
     files = members.where(~F.col("broken") & (extension(F.col("path")) != ".nfo"))
-    with_meta = files.join(meta.select(num, "SubFormat"), num, "left")
-    named = with_meta.withColumn("text", to_utf8(F.col("content"), fallback)).withColumn(
-        "name", normalise_quotes(fix_mojibake(F.col("path")))
-    )
-    formatted = named.withColumn("format", detect_format(F.col("text"), F.col("SubFormat"))).withColumn(
-        "microdvd", is_microdvd(F.col("text"))
-    )
-    # the id prefix comes before the byte limit
-    prefixed = F.concat_ws(".", F.col(num).cast("string"), fix_extension(F.col("name"), F.col("format"), F.col("microdvd")))
-    fitted = formatted.withColumn("name", fit_filename(prefixed)).withColumn("bytes", F.encode("text", "UTF-8"))
-    unique = drop_equal_content(fitted, num, "name", "ord", "bytes")
-    numbered = number_duplicates(unique, num, "name", "ord")
+    # one column per step: a step used several times by the next is then computed once
+    steps = {
+        "text": to_utf8(F.col("content"), fallback),
+        "name": normalise_quotes(fix_mojibake(F.col("path"))),
+        "format": detect_format(F.col("text"), F.col("SubFormat")),
+        "microdvd": is_microdvd(F.col("text")),
+        "extended": fix_extension(F.col("name"), F.col("format"), F.col("microdvd")),
+        "prefixed": F.concat_ws(".", F.col(num).cast("string"), F.col("extended")),
+        "fitted": fit_filename(F.col("prefixed")),
+        "bytes": F.encode("text", "UTF-8"),
+    }
+    named = files.join(meta.select(num, "SubFormat"), num, "left")
+    for step, column in steps.items():
+        named = named.withColumn(step, column)
+    # one shuffle by archive serves both windows
+    unique = drop_equal_content(named.repartition(num), num, "fitted", "ord", "bytes")
+    numbered = number_duplicates(unique, num, "fitted", "ord")
     return numbered.select(num, "ord", "path", "new_path", "text", "format")
 
 

@@ -44,10 +44,14 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def number_rows(
-    df: DataFrame, keys: list[str], order: list[Column], out: str = "rn", plain_rows: int = PLAIN_GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[Column], out: str = "rn", plain_rows: int = PLAIN_GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
-    """1-based position of each row in its group by any total order."""
-    if largest_group(df, keys) <= plain_rows:
+    """1-based position of each row in its group by any total order.
+
+    ``bounded`` says that groups are small by nature, so their size need not be counted first.
+    """
+    if bounded or largest_group(df, keys) <= plain_rows:
         return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     ranged = df.repartitionByRange(shuffle_partitions(df), *[F.col(k) for k in keys], *order)
     parts = checkpointed(

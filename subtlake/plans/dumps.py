@@ -168,16 +168,17 @@ def read_id_lists(spark, sf):
 
 
 @query(_FLAGS + """
-SELECT DISTINCT l_orderkey AS num, l_orderkey // 10 AS shard_id, l_orderkey // 50 AS release_id FROM lineitem
+SELECT DISTINCT l_orderkey AS num, l_orderkey // 10 AS shard_id, l_orderkey // 1000 AS release_id FROM lineitem
 WHERE l_orderkey // 10 IN (SELECT shard FROM shards WHERE complete)""")
 def write_shards(spark, sf):
-    """Complete shards in two steps: the first half of the shards, then all that are not there yet."""
+    """Complete shards in two steps: those without deleted ids, then all that are not there yet. Releases of 1000 ids."""
     path = scratch_path(spark, "shards")
     blobs = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("num")).distinct()
-    complete = recon.shard_status(flags(spark, sf), _SHARD).where("complete").select("shard")
-    sinks.write_shards(blobs, complete.where(F.col("shard") % 2 == 0), path, None, _SHARD, _SHARD * _RELEASE)
+    complete = recon.shard_status(flags(spark, sf), _SHARD).where("complete")
+    early = complete.where((F.col("not_found") == 0) & (F.col("takedown") == 0))
+    sinks.write_shards(blobs, early, path, None, _SHARD, _SHARD * 100)
     existing = spark.read.parquet(path).select("shard_id").distinct()
-    sinks.write_shards(blobs, complete, path, existing, _SHARD, _SHARD * _RELEASE)
+    sinks.write_shards(blobs, complete, path, existing, _SHARD, _SHARD * 100)
     done = spark.read.parquet(path)
     return done.select("num", F.col("shard_id").cast("long").alias("shard_id"), F.col("release_id").cast("long").alias("release_id"))
 

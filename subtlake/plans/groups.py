@@ -63,7 +63,7 @@ SELECT doc_id, lang, CASE WHEN rn > 1 THEN source || '.' || rn || '.srt' ELSE so
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents)""")
 def number_duplicates(spark, sf):
     members = table(spark, sf, "documents").select("doc_id", "lang", F.concat("source", F.lit(".srt")).alias("path"))
-    return archive.number_duplicates(members, "lang", "path", "doc_id").select("doc_id", "lang", "new_path")
+    return archive.number_duplicates(members, "lang", "path", "doc_id", bounded=False).select("doc_id", "lang", "new_path")
 
 
 @query("""
@@ -74,7 +74,7 @@ def drop_equal_content(spark, sf):
     members = table(spark, sf, "documents").select(
         "doc_id", F.col("lang").alias("num"), F.lit("a.srt").alias("path"), F.encode("text", "UTF-8").alias("content")
     )
-    kept = archive.drop_equal_content(members, "num", "path", "doc_id")
+    kept = archive.drop_equal_content(members, "num", "path", "doc_id", bounded=False)
     return kept.select("doc_id", F.col("num").alias("lang"))
 
 

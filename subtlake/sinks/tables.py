@@ -58,18 +58,19 @@ def read_language(spark: SparkSession, path: str, lang: str) -> DataFrame:
 
 def write_shards(blobs: DataFrame, complete: DataFrame, path: str, existing: DataFrame | None = None,
                  shard_size: int = SHARD_SIZE, release_size: int = RELEASE_SIZE) -> None:
-    """Append the blobs of complete shards that are not there yet; folders release_id/shard_id.
+    """Append the blobs of complete shards that are not there yet; one folder per release.
 
-    The commit of the file output makes a shard appear whole.
+    A task writes a run of whole shards in id order, so files stay large and a read of one shard skips the rest
+    by its row-group bounds; a folder per shard would be millions of small files. The commit of the file output
+    makes a shard appear whole.
     """
     todo = complete.select(F.col("shard").alias("shard_id"))
     if existing is not None:
         todo = todo.join(existing.select("shard_id"), "shard_id", "left_anti")
     rows = blobs.withColumn("shard_id", bucket_of(F.col("num"), shard_size)).join(todo, "shard_id", "left_semi")
     placed = rows.withColumn("release_id", bucket_of(F.col("num"), release_size))
-    placed.repartition("shard_id").sortWithinPartitions("shard_id", "num").write.mode("append").partitionBy(
-        "release_id", "shard_id"
-    ).parquet(path)
+    ordered = placed.repartitionByRange("release_id", "shard_id").sortWithinPartitions("release_id", "shard_id", "num")
+    ordered.write.mode("append").partitionBy("release_id").parquet(path)
 
 
 def write_release(shards: DataFrame, releases: DataFrame, meta: DataFrame, path: str) -> None:

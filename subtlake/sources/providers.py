@@ -33,5 +33,5 @@ def expand_provider(provider: dict, paths: list[str]) -> list[dict]:
 
 
 def open_providers(spark: SparkSession, root: str) -> DataFrame:
-    """All shard tables below a root as one logical table; release and shard folders become columns."""
+    """All released shards below a root as one logical table; the release folder becomes a column."""
     return spark.read.option("basePath", root).parquet(root).withColumn("file", F.col("_metadata.file_path"))
