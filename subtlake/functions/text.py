@@ -53,9 +53,36 @@ def keyword_hit(text: Column, words: list[str] = AD_KEYWORDS) -> Column:
 
 def removal_regex(patterns: list[tuple[str, ...]]) -> str:
     """One alternation over patterns in their order; each also takes its closing line separator."""
-    end = LINE_SEPARATOR[:-1] + r"|\z)"
-    bodies = (LINE_SEPARATOR.join(lines) + end for lines in patterns)
-    return "(?d)" + "|".join(f"(?:{body})" for body in bodies)
+    return "(?d)" + "|".join(map(_removal_body, patterns))
+
+
+def grouped_removal_regex(patterns: list[tuple[str, ...]]) -> str:
+    """The same alternation for long lists: neighbours that start with a plain character are tried only where
+    that character stands. Patterns of different first characters exclude each other, so their order is free;
+    the order within one character, and against patterns that start otherwise, stays."""
+    out: list[str] = []
+    run: dict[str, list[str]] = {}
+
+    def close() -> None:
+        if run:
+            starts = "".join(map(java_literal, run))
+            out.append(f"(?=[{starts}])(?:" + "|".join(f"(?={java_literal(c)})(?:{'|'.join(b)})" for c, b in run.items()) + ")")
+            run.clear()
+
+    for lines in patterns:
+        first = lines[0]
+        plain = re.match(r"[A-Za-z0-9](?![?*+{])", first) and not any(re.search(r"(?<!\\)\|", line) for line in lines)
+        if plain:
+            run.setdefault(first[0], []).append(_removal_body(lines))
+        else:
+            close()
+            out.append(_removal_body(lines))
+    close()
+    return "(?d)" + "|".join(out)
+
+
+def _removal_body(lines: tuple[str, ...]) -> str:
+    return "(?:" + LINE_SEPARATOR.join(lines) + LINE_SEPARATOR[:-1] + r"|\z))"
 
 
 def java_literal(text: str) -> str:

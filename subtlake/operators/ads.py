@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from subtlake.fixed_values import AD_KEYWORDS, LONG_CUE_MS
-from subtlake.functions.text import keyword_hit, regex_escape, removal_regex, split_lines
+from subtlake.functions.text import keyword_hit, regex_escape, grouped_removal_regex, split_lines
 
 
 def repeated_blocks(cues: DataFrame, lang: str, sub: str, text: str = "text", more_than: int = 1) -> DataFrame:
@@ -72,7 +72,7 @@ def candidates_to_patterns(candidates: DataFrame, text: str = "text") -> DataFra
 
 def remove_ads(df: DataFrame, content: str, patterns: list[tuple[str, ...]], out: str | None = None) -> DataFrame:
     """Delete every match of the ordered patterns, with the closing separator, from a text column."""
-    return df.withColumn(out or content, F.regexp_replace(F.col(content), F.lit(removal_regex(patterns)), F.lit("")))
+    return df.withColumn(out or content, F.regexp_replace(F.col(content), F.lit(grouped_removal_regex(patterns)), F.lit("")))
 
 
 def remove_ads_bytes(df: DataFrame, content: str, patterns: list[tuple[str | bytes, ...]],
@@ -82,7 +82,7 @@ def remove_ads_bytes(df: DataFrame, content: str, patterns: list[tuple[str | byt
     Text lines of a pattern stand for their UTF-8 bytes.
     """
     as_latin = lambda line: (line.encode("utf8") if isinstance(line, str) else line).decode("latin1")
-    regex = removal_regex([tuple(map(as_latin, lines)) for lines in patterns])
+    regex = grouped_removal_regex([tuple(map(as_latin, lines)) for lines in patterns])
     cleaned = F.regexp_replace(F.decode(F.col(content), "ISO-8859-1"), F.lit(regex), F.lit(""))
     return df.withColumn(out or content, F.encode(cleaned, "ISO-8859-1"))
 

@@ -6,41 +6,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtlake.fixed_values import PSEUDO_FPS
+from subtlake.functions.names import bind
 
 # Cue shapes of time-based and frame-based files.
-_TIMING = r"(?s)(\d{1,3}):(\d{1,2}):(\d{1,2})[,.](\d{1,3})\s*-->\s*(\d{1,3}):(\d{1,2}):(\d{1,2})[,.](\d{1,3})[^\n]*\n?(.*)"
+_CLOCK = r"\d{1,3}:\d{1,2}:\d{1,2}[,.]\d{1,3}"
+_TIMING = rf"{_CLOCK}\s*-->\s*{_CLOCK}"
+_TIMED_TEXT = rf"(?s){_TIMING}[^\n]*\n?(.*)"
 _FRAMES = r"(?s)^\{(\d+)\}\{(\d+)\}(.*)"
 
 
 def cue_array(text: Column, fps: float = PSEUDO_FPS) -> Column:
     """Subtitle text -> array of struct(ord, start_ms, end_ms, text); blocks without a timing are left out."""
+
+    def milliseconds(parts: Column, first: int) -> Column:
+        number = lambda i: F.get(parts, F.lit(first + i)).cast("long")
+        fraction = F.rpad(F.get(parts, F.lit(first + 3)), 3, "0").cast("long")
+        return ((number(0) * 60 + number(1)) * 60 + number(2)) * 1000 + fraction
+
+    def timed(block: Column) -> Column:
+        parts = F.split(F.regexp_extract(block, _TIMING, 0), "[^0-9]+", -1)
+        body = F.regexp_replace(F.regexp_extract(block, _TIMED_TEXT, 1), r"\n+\z", "")
+        return bind(
+            parts,
+            lambda p: F.struct(
+                milliseconds(p, 0).alias("start_ms"), milliseconds(p, 4).alias("end_ms"), body.alias("text")
+            ),
+        )
+
+    def framed(line: Column) -> Column:
+        at = lambda group: F.round(F.regexp_extract(line, _FRAMES, group).cast("double") * 1000 / fps).cast("long")
+        body = F.replace(F.regexp_extract(line, _FRAMES, 3), F.lit("|"), F.lit("\n"))
+        return F.struct(at(1).alias("start_ms"), at(2).alias("end_ms"), body.alias("text"))
+
     unix = F.regexp_replace(text, r"\r\n?", "\n")
     blocks = F.split(unix, r"\n[ \t]*(?:\n[ \t]*)+", -1)
-    number = lambda block, group: F.regexp_extract(block, _TIMING, group).try_cast("long")
-
-    def milliseconds(block: Column, first: int) -> Column:
-        h, m, s = (number(block, first + i) for i in range(3))
-        fraction = F.rpad(F.regexp_extract(block, _TIMING, first + 3), 3, "0").try_cast("long")
-        return ((h * 60 + m) * 60 + s) * 1000 + fraction
-
-    timed = F.transform(
-        F.filter(blocks, lambda b: b.rlike(_TIMING)),
-        lambda b: F.struct(
-            milliseconds(b, 1).alias("start_ms"), milliseconds(b, 5).alias("end_ms"),
-            F.regexp_replace(F.regexp_extract(b, _TIMING, 9), r"\n+\z", "").alias("text"),
-        ),
-    )
-    frame_ms = lambda line, group: F.round(
-        F.regexp_extract(line, _FRAMES, group).try_cast("double") * 1000 / fps
-    ).cast("long")
-    framed = F.transform(
-        F.filter(F.split(unix, "\n", -1), lambda line: line.rlike(_FRAMES)),
-        lambda line: F.struct(
-            frame_ms(line, 1).alias("start_ms"), frame_ms(line, 2).alias("end_ms"),
-            F.replace(F.regexp_extract(line, _FRAMES, 3), F.lit("|"), F.lit("\n")).alias("text"),
-        ),
-    )
-    cues = F.when(text.rlike(r"(?m)^\{\d+\}\{\d+\}"), framed).otherwise(timed)
+    by_time = F.transform(F.filter(blocks, lambda b: b.rlike(_TIMING)), timed)
+    by_frame = F.transform(F.filter(F.split(unix, "\n", -1), lambda line: line.rlike(_FRAMES)), framed)
+    cues = F.when(text.rlike(r"(?m)^\{\d+\}\{\d+\}"), by_frame).otherwise(by_time)
     return F.transform(
         cues, lambda c, i: F.struct(i.alias("ord"), c["start_ms"], c["end_ms"], c["text"].alias("text"))
     )

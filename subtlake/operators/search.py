@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,38 +23,43 @@ def token_table(titles: DataFrame, num: str, fields: list[str]) -> DataFrame:
     return rows.select(F.col("f.field").alias("field"), F.explode("f.tokens").alias("token"), num)
 
 
-def _candidates(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str) -> DataFrame:
-    """(query fields, num, words) of titles that hold the rarest word of a query.
+def _candidates(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str, keep: list[str],
+                small_queries: int = 50_000) -> DataFrame:
+    """(query fields, num, keep…, words) of titles that hold the rarest word of a query.
 
     Joining on the rarest word only keeps frequent words (in a third of all titles) out of the join; the
-    other words are tested on the row.
+    other words are tested on the row. There is one such word per query, so both small sides are broadcast
+    when the queries are few, and shuffled otherwise.
     """
-    words = titles.select(num, fts_tokens(F.col(title)).alias("words"))
     asked = queries.withColumn("asked", F.array_distinct(fts_tokens(F.col(text)))).where(F.size("asked") > 0)
-    wanted = broadcast_if_small(asked.select(F.explode("asked").alias("token")).distinct())
-    tokens = words.select(num, F.explode(F.array_distinct("words")).alias("token"))
-    frequency = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    few = asked.limit(small_queries + 1).count() <= small_queries
+    hint = F.broadcast if few else (lambda df: df)
     each = asked.select("query_id", F.explode("asked").alias("token"))
+    tokens = titles.select(F.explode(F.array_distinct(fts_tokens(F.col(title)))).alias("token"))
+    frequency = tokens.join(hint(each.select("token").distinct()), "token", "left_semi").groupBy("token").agg(
+        F.count(F.lit(1)).alias("freq")
+    )
     rarest = (
-        each.join(frequency, "token", "left")
-        .groupBy("query_id")
+        each.join(frequency, "token", "left").groupBy("query_id")
         .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("token").alias("t"))).alias("r"))
         .select("query_id", F.col("r.t").alias("token"))
     )
-    keyed = broadcast_if_small(asked.join(rarest, "query_id"))
-    rows = words.select(num, "words", F.explode(F.array_distinct("words")).alias("token"))
-    return rows.join(keyed, "token")
+    rows = titles.select(num, *keep, fts_tokens(F.col(title)).alias("words"))
+    keyed = rows.withColumn("token", F.explode(F.array_distinct("words")))
+    return keyed.join(hint(asked.join(rarest, "query_id")), "token")
 
 
-def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
+def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
+            keep: list[str] | None = None) -> DataFrame:
     """Titles that hold every word of a query, in any order. ``queries`` has ``query_id``."""
-    hits = _candidates(titles, num, title, queries, text)
+    hits = _candidates(titles, num, title, queries, text, keep or [])
     return hits.where(F.size(F.array_except("asked", "words")) == 0).drop("token", "asked", "words")
 
 
-def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
+def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
+               keep: list[str] | None = None) -> DataFrame:
     """Titles that hold the words of a query next to each other in order."""
-    hits = _candidates(titles, num, title, queries.withColumn(text, phrase_text(F.col(text))), text)
+    hits = _candidates(titles, num, title, queries.withColumn(text, phrase_text(F.col(text))), text, keep or [])
     framed = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     ordered = fts_tokens(F.col(text))
     return hits.where(F.contains(framed(F.col("words")), framed(ordered))).drop("token", "asked", "words")
@@ -116,10 +121,8 @@ def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int = 500) -> DataFr
     """
     single = meta.where(F.col("SubSumCD") == 1)
     asked = queries.withColumn("langs", F.transform("langs", two_letter))
-    hits = fts_and(single, "IDSubtitle", "MovieName", asked)
-    rows = hits.join(
-        single.select("IDSubtitle", "MovieYear", "ISO639", "MovieKind", "SeriesSeason", "SeriesEpisode"), "IDSubtitle"
-    )
+    fields = ["MovieYear", "ISO639", "MovieKind", "SeriesSeason", "SeriesEpisode"]
+    rows = fts_and(single, "IDSubtitle", "MovieName", asked, keep=fields)
     movie = (F.col("type") == "movie") & (F.col("MovieKind") == "movie") & (
         F.col("year").isNull() | (F.col("MovieYear") == F.col("year"))
     )
