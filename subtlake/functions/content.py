@@ -65,9 +65,8 @@ def same_format(left: Column, right: Column) -> Column:
 
 def timeless_text(text: Column) -> Column:
     """Cue text without counters, timings, markup and line layout, to compare files that differ in offset."""
-    bare = F.regexp_replace(text, r"﻿", "")
-    bare = F.regexp_replace(bare, r"(?m)^\d+\s*\r?\n(?=\s*\d{1,2}:\d{2}:\d{2})", "")
-    bare = F.regexp_replace(bare, r"(?m)^\s*\d{1,2}:\d{2}:\d{2}[,.]\d{1,3}\s*-->.*$", "")
-    bare = F.regexp_replace(bare, r"(?m)^\{\d+\}\{\d+\}", "")
-    bare = F.regexp_replace(bare, r"<[^>]*>|\{\\[^}]*\}", "")
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    frame = (
+        r"(?m)﻿|^(?:\d+[ \t]*\r?\n)?[ \t]*\d{1,2}:\d{2}:\d{2}[,.]\d{1,3}\s*-->.*$|^\{\d+\}\{\d+\}"
+        r"|<[^<>]*>|\{\\[^{}]*\}"
+    )
+    return F.trim(F.regexp_replace(F.regexp_replace(text, frame, ""), r"\s+", " "))

@@ -18,6 +18,7 @@ from subtlake.functions.content import detect_format, is_microdvd, parse_integri
 from subtlake.functions.names import extension, fit_filename, fix_extension, normalise_quotes
 from subtlake.operators.numbering import number_rows
 from subtlake.operators.skew import join_groups
+from subtlake.session import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -177,9 +178,10 @@ def repair_members(members: DataFrame, meta: DataFrame, num: str = "num", fallba
 def same_text(files: DataFrame, num: str, text: Column) -> DataFrame:
     """Files with equal text apart from timing: each id with the lowest id and the size of its group.
 
-    The text is compared by its SHA-256; groups are joined back by that hash, one row per hash.
+    The text is compared by its SHA-256; groups are joined back by that hash, one row per hash. The table of
+    hashes is kept by a checkpoint, so texts are read and cleaned once.
     """
-    hashed = files.select(num, F.sha2(timeless_text(text), 256).alias("text_hash"))
+    hashed = checkpointed(files.select(num, F.sha2(timeless_text(text), 256).alias("text_hash")))
     groups = hashed.groupBy("text_hash").agg(F.min(num).alias("first_num"), F.count(F.lit(1)).alias("copies"))
     copies = join_groups(hashed, groups.where("copies > 1"), "text_hash", "copies")
     return copies.select(num, "first_num", "copies", "text_hash")

@@ -23,46 +23,51 @@ def token_table(titles: DataFrame, num: str, fields: list[str]) -> DataFrame:
     return rows.select(F.col("f.field").alias("field"), F.explode("f.tokens").alias("token"), num)
 
 
-def _candidates(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str, keep: list[str],
-                small_queries: int = 50_000) -> DataFrame:
-    """(query fields, num, keep…, words) of titles that hold the rarest word of a query.
+def _word_sets(queries: DataFrame, text: str) -> DataFrame:
+    """Queries with their words as a sorted set (``asked``); queries without a word can have no hit."""
+    words = F.array_sort(F.array_distinct(fts_tokens(F.col(text))))
+    return queries.withColumn("asked", words).where(F.size("asked") > 0)
 
-    Joining on the rarest word only keeps frequent words (in a third of all titles) out of the join; the
-    other words are tested on the row. There is one such word per query, so both small sides are broadcast
-    when the queries are few, and shuffled otherwise.
+
+def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: list[str],
+              small_queries: int = 50_000) -> DataFrame:
+    """(asked, num, keep…, words) of titles that hold all words of a set. Equal sets are searched once.
+
+    Joining on the rarest word of a set only keeps frequent words (in a third of all titles) out of the join;
+    the other words are tested on the row. There is one such word per set, so the small sides are broadcast when
+    the sets are few, and shuffled otherwise.
     """
-    asked = queries.withColumn("asked", F.array_distinct(fts_tokens(F.col(text)))).where(F.size("asked") > 0)
-    few = asked.limit(small_queries + 1).count() <= small_queries
+    sets = asked.select("asked").distinct()
+    few = sets.limit(small_queries + 1).count() <= small_queries
     hint = F.broadcast if few else (lambda df: df)
-    each = asked.select("query_id", F.explode("asked").alias("token"))
+    each = sets.select("asked", F.explode("asked").alias("token"))
     tokens = titles.select(F.explode(F.array_distinct(fts_tokens(F.col(title)))).alias("token"))
     frequency = tokens.join(hint(each.select("token").distinct()), "token", "left_semi").groupBy("token").agg(
         F.count(F.lit(1)).alias("freq")
     )
     rarest = (
-        each.join(frequency, "token", "left").groupBy("query_id")
+        each.join(frequency, "token", "left").groupBy("asked")
         .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("token").alias("t"))).alias("r"))
-        .select("query_id", F.col("r.t").alias("token"))
+        .select("asked", F.col("r.t").alias("token"))
     )
     rows = titles.select(num, *keep, fts_tokens(F.col(title)).alias("words"))
     keyed = rows.withColumn("token", F.explode(F.array_distinct("words")))
-    return keyed.join(hint(asked.join(rarest, "query_id")), "token")
+    return keyed.join(hint(rarest), "token").where(F.size(F.array_except("asked", "words")) == 0).drop("token")
 
 
-def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
-            keep: list[str] | None = None) -> DataFrame:
+def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
     """Titles that hold every word of a query, in any order. ``queries`` has ``query_id``."""
-    hits = _candidates(titles, num, title, queries, text, keep or [])
-    return hits.where(F.size(F.array_except("asked", "words")) == 0).drop("token", "asked", "words")
+    asked = _word_sets(queries, text)
+    return _set_hits(titles, num, title, asked, []).join(asked, "asked").drop("asked", "words")
 
 
-def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
-               keep: list[str] | None = None) -> DataFrame:
+def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
     """Titles that hold the words of a query next to each other in order."""
-    hits = _candidates(titles, num, title, queries.withColumn(text, phrase_text(F.col(text))), text, keep or [])
+    asked = _word_sets(queries.withColumn(text, phrase_text(F.col(text))), text)
+    hits = _set_hits(titles, num, title, asked, []).join(asked, "asked")
     framed = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     ordered = fts_tokens(F.col(text))
-    return hits.where(F.contains(framed(F.col("words")), framed(ordered))).drop("token", "asked", "words")
+    return hits.where(F.contains(framed(F.col("words")), framed(ordered))).drop("asked", "words")
 
 
 def limit_per_query(hits: DataFrame, num: str, n: int = 500) -> DataFrame:
@@ -120,17 +125,21 @@ def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int = 500) -> DataFr
     episode and language. Only single-part rows of the query's kind count.
     """
     single = meta.where(F.col("SubSumCD") == 1)
-    asked = queries.withColumn("langs", F.transform("langs", two_letter))
     fields = ["MovieYear", "ISO639", "MovieKind", "SeriesSeason", "SeriesEpisode"]
-    rows = fts_and(single, "IDSubtitle", "MovieName", asked, keep=fields)
-    movie = (F.col("type") == "movie") & (F.col("MovieKind") == "movie") & (
-        F.col("year").isNull() | (F.col("MovieYear") == F.col("year"))
-    )
-    episode = (F.col("type") == "episode") & (F.col("MovieKind") == "tv") & (
-        (F.col("SeriesSeason") == F.col("season")) & (F.col("SeriesEpisode") == F.col("episode"))
+    asked = _word_sets(queries, "title")
+    hits = _set_hits(single, "IDSubtitle", "MovieName", asked, fields)
+    # what a row can be asked for and what a query asks for, as one key each: an equi-join, no filter after it
+    movie = F.array(F.lit("movie"), F.concat_ws(":", F.lit("movie"), "MovieYear"))
+    episode = F.array(F.concat_ws(":", F.lit("episode"), "SeriesSeason", "SeriesEpisode"))
+    offers = F.when(F.col("MovieKind") == "movie", movie).when(F.col("MovieKind") == "tv", episode)
+    wants = F.when(F.col("type") == "movie", F.concat_ws(":", "type", "year")).when(
+        F.col("season").isNotNull() & F.col("episode").isNotNull(), F.concat_ws(":", "type", "season", "episode")
     )
-    kept = rows.where(F.array_contains("langs", F.col("ISO639")) & (movie | episode))
-    return limit_per_query(kept.select("query_id", "IDSubtitle", "ISO639"), "IDSubtitle", limit)
+    langs = F.explode(F.array_distinct(F.transform("langs", two_letter)))
+    offered = hits.select("asked", "IDSubtitle", "ISO639", F.explode(offers).alias("want"))
+    wanted = asked.select("query_id", "asked", wants.alias("want"), langs.alias("ISO639"))
+    found = offered.join(wanted, ["asked", "ISO639", "want"])
+    return limit_per_query(found.select("query_id", "IDSubtitle", "ISO639"), "IDSubtitle", limit)
 
 
 def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: list[dict],

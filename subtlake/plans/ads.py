@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from subtlake.functions.text import removal_regex, split_lines
 from subtlake.operators import ads, cues
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 _LINES = """
 WITH l AS (SELECT doc_id, lang, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS lines FROM documents),
@@ -30,7 +30,7 @@ _PATTERNS = [
 
 
 def document_lines(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = files(spark, sf).select("doc_id", "lang", "text")
     return docs.select("doc_id", "lang", F.inline(cues.line_array(F.col("text"))))
 
 
@@ -43,7 +43,7 @@ def repeated_blocks(spark, sf):
 
 @query(_EDGES + "SELECT doc_id, pos, line AS text FROM edges")
 def edge_cues(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     return cues.edge_cues(docs, "doc_id", cues.line_array(F.col("text"))).select("doc_id", "pos", "text")
 
 
@@ -51,7 +51,7 @@ def edge_cues(spark, sf):
 SELECT lang, line AS text, count(DISTINCT doc_id) AS files, count(*) AS occurrences FROM edges
 GROUP BY lang, line HAVING count(DISTINCT doc_id) > 1""")
 def find_repeated_blocks(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     edges = cues.edge_cues(docs, "doc_id", cues.line_array(F.col("text")), keep=["lang"])
     return ads.repeated_blocks(edges, "lang", "doc_id")
 
@@ -61,7 +61,7 @@ SELECT line AS txt, count(*) AS occurrences, count(DISTINCT doc_id) AS files, mi
        max(length(line)) AS max_len, round(count(*) FILTER (pos >= 0) / count(*), 6) AS share_start
 FROM edges GROUP BY line""")
 def ad_stats(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     edges = cues.edge_cues(docs, "doc_id", cues.line_array(F.col("text")))
     samples = edges.select(
         F.col("text").alias("txt"), F.length("text").cast("long").alias("len"), "pos", F.col("doc_id").alias("sub")
@@ -80,7 +80,7 @@ def first_seen_text(spark, sf):
 SELECT doc_id, CAST(ord AS INTEGER) AS ord, line AS text, lag(line) OVER w AS prev_text, lead(line) OVER w AS next_text
 FROM cues WINDOW w AS (PARTITION BY doc_id ORDER BY ord)""")
 def with_context(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     return cues.with_context(docs, "doc_id", cues.line_array(F.col("text"))).select(
         "doc_id", "ord", "text", "prev_text", "next_text"
     )
@@ -97,7 +97,7 @@ SELECT doc_id, CAST(ord AS INTEGER) AS ord, line AS text, CAST(class AS INTEGER)
        CAST(CASE WHEN class = 0 AND before > 0 THEN before END AS INTEGER) AS context_after
 FROM first""")
 def ad_candidates(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     near = cues.with_context(docs, "doc_id", cues.line_array(F.col("text")))
     # documents have no times: 25 ms per character stand for the time on screen
     return ads.ad_candidates(near, "doc_id", _KEYWORDS, F.length("text") * 25)
@@ -120,12 +120,12 @@ _REGEX = removal_regex(_PATTERNS).removeprefix("(?d)")
 
 @query(f"SELECT doc_id, regexp_replace(text, '{_REGEX}', '', 'g') AS text FROM documents")
 def remove_ads(spark, sf):
-    return ads.remove_ads(table(spark, sf, "documents").select("doc_id", "text"), "text", _PATTERNS)
+    return ads.remove_ads(files(spark, sf).select("doc_id", "text"), "text", _PATTERNS)
 
 
 @query(f"SELECT doc_id, regexp_replace(text, '{_REGEX}', '', 'g') AS text FROM documents")
 def remove_ads_bytes(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    docs = files(spark, sf).select("doc_id", F.encode("text", "UTF-8").alias("content"))
     cleaned = ads.remove_ads_bytes(docs, "content", _PATTERNS)
     return cleaned.select("doc_id", F.col("content").cast("string").alias("text"))
 
@@ -142,7 +142,7 @@ def keyword_hits(spark, sf):
 @query("""
 SELECT doc_id, array_to_string(string_split_regex(text, '\\r\\n|\\n|\\r|\\\\N|\\|'), '¦') AS lines FROM documents""")
 def split_lines_query(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(split_lines(F.col("text")), "¦").alias("lines"))
+    return files(spark, sf).select("doc_id", F.array_join(split_lines(F.col("text")), "¦").alias("lines"))
 
 
 @query(_LINES + "SELECT line AS txt, lang FROM cues UNION SELECT role, 'en' FROM conversations")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from subtlake.functions.content import parse_integrity
 from subtlake.operators import archive, cues
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -42,7 +42,7 @@ SELECT doc_id, ord, line FROM (
 @query(f"""
 SELECT doc_id, CAST(ord AS INTEGER) AS ord, ord * 3000 + 250 AS start_ms, ord * 3000 + 2750 AS end_ms, line AS text FROM ({_LINES})""")
 def explode_cues(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", _srt(F.col("text")).alias("srt"))
+    docs = files(spark, sf).select("doc_id", _srt(F.col("text")).alias("srt"))
     return cues.explode_cues(docs, "doc_id", "srt")
 
 
@@ -54,12 +54,12 @@ def explode_frames(spark, sf):
     framed = F.array_join(
         F.transform(lines, lambda line, i: F.concat(F.lit("{"), (i * 24).cast("string"), F.lit("}{"), (i * 24 + 12).cast("string"), F.lit("}"), line)), "\n"
     )
-    return cues.explode_cues(table(spark, sf, "documents").select("doc_id", framed.alias("sub")), "doc_id", "sub")
+    return cues.explode_cues(files(spark, sf).select("doc_id", framed.alias("sub")), "doc_id", "sub")
 
 
 def _document_archives(spark, sf):
     """One archive per document: a folder, the text and its integrity text."""
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     line = lambda label, value: F.concat(F.lit(f"Û  {label:<15}: "), value, F.lit(" Û\n"))
     nfo = F.concat(
         line("Filename", F.concat("source", F.lit(".srt"))), line("Size", F.concat(F.octet_length("text").cast("string"), F.lit(" bytes"))),
@@ -80,7 +80,7 @@ UNION ALL SELECT doc_id AS num, NULL, NULL, NULL, NULL, true FROM documents WHER
 def unpack_archives(spark, sf):
     """The texts of all archives; those of Spanish documents come once more cut short, thus broken."""
     blobs = _document_archives(spark, sf)
-    spanish = table(spark, sf, "documents").where(F.col("lang") == "es").select(F.col("doc_id").alias("num"))
+    spanish = files(spark, sf).where(F.col("lang") == "es").select(F.col("doc_id").alias("num"))
     cut = blobs.join(spanish, "num", "left_semi").select("num", F.substring("content", 1, 40).alias("content"))
     members = archive.unpack_archives(blobs.unionByName(cut))
     texts = members.where(F.col("broken") | F.endswith("path", F.lit(".srt")))
@@ -110,7 +110,7 @@ SELECT doc_id AS num, new_path, CASE WHEN lang = 'fr' THEN 'latin ' ELSE '' END
 def repair_members(spark, sf):
     """Archives with typographic quotes, an equal copy, a second text of the same name for German documents, latin1
     bytes for French ones and a wrong extension, repaired; metadata says smi."""
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     lang = F.col("lang")
     timed = F.concat(F.lit("1\n00:00:01,000 --> 00:00:02,000\n"), F.col("text"))
     body = (

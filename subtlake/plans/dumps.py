@@ -11,7 +11,7 @@ from subtlake.functions.dates import date_text, epoch_seconds
 from subtlake.functions.registry import select_columns
 from subtlake.operators import ranking, recon
 from subtlake.plans.completeness import _FLAGS, _RELEASE, _SHARD, expected_ids, flags
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 from subtlake.session import scratch_path
 from subtlake.sinks import tables as sinks
 from subtlake.sources import dump
@@ -135,7 +135,7 @@ SELECT d.doc_id AS num, CASE lang WHEN 'en' THEN 'eng' WHEN 'de' THEN 'ger' WHEN
 FROM documents d""")
 def split_by_lang(spark, sf):
     path = scratch_path(spark, "langs")
-    docs = table(spark, sf, "documents").withColumnRenamed("doc_id", "num")
+    docs = files(spark, sf).withColumnRenamed("doc_id", "num")
     meta = docs.select("num", F.when(F.col("lang") == "fr", "").otherwise(F.col("lang")).alias("ISO639"))
     sinks.split_by_lang(docs.select("num", "text"), meta, path)
     return spark.read.parquet(path).select("num", F.col("lang").cast("string").alias("lang"))
@@ -144,7 +144,7 @@ def split_by_lang(spark, sf):
 @query("SELECT doc_id AS num, text FROM documents WHERE lang = 'de'")
 def split_one_lang(spark, sf):
     path = scratch_path(spark, "langs")
-    docs = table(spark, sf, "documents").withColumnRenamed("doc_id", "num")
+    docs = files(spark, sf).withColumnRenamed("doc_id", "num")
     sinks.split_by_lang(docs.select("num", "text"), docs.select("num", F.col("lang").alias("ISO639")), path)
     return sinks.read_language(spark, path, "ger").select("num", "text")
 
@@ -168,17 +168,17 @@ def read_id_lists(spark, sf):
 
 
 @query(_FLAGS + """
-SELECT DISTINCT l_orderkey AS num, l_orderkey // 10 AS shard_id, l_orderkey // 1000 AS release_id FROM lineitem
+SELECT DISTINCT l_orderkey AS num, l_orderkey // 10 AS shard_id, l_orderkey // 10000 AS release_id FROM lineitem
 WHERE l_orderkey // 10 IN (SELECT shard FROM shards WHERE complete)""")
 def write_shards(spark, sf):
-    """Complete shards in two steps: those without deleted ids, then all that are not there yet. Releases of 1000 ids."""
+    """Complete shards in two steps: those without deleted ids, then all that are not there yet. Releases of 10000 ids."""
     path = scratch_path(spark, "shards")
     blobs = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("num")).distinct()
     complete = recon.shard_status(flags(spark, sf), _SHARD).where("complete")
     early = complete.where((F.col("not_found") == 0) & (F.col("takedown") == 0))
-    sinks.write_shards(blobs, early, path, None, _SHARD, _SHARD * 100)
+    sinks.write_shards(blobs, early, path, None, _SHARD, _SHARD * 1000)
     existing = spark.read.parquet(path).select("shard_id").distinct()
-    sinks.write_shards(blobs, complete, path, existing, _SHARD, _SHARD * 100)
+    sinks.write_shards(blobs, complete, path, existing, _SHARD, _SHARD * 1000)
     done = spark.read.parquet(path)
     return done.select("num", F.col("shard_id").cast("long").alias("shard_id"), F.col("release_id").cast("long").alias("release_id"))
 

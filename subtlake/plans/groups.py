@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.operators import archive, grouping, ranking
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 
 @query("""
@@ -62,7 +62,7 @@ def bucket_by_title_hash(spark, sf):
 SELECT doc_id, lang, CASE WHEN rn > 1 THEN source || '.' || rn || '.srt' ELSE source || '.srt' END AS new_path
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS rn FROM documents)""")
 def number_duplicates(spark, sf):
-    members = table(spark, sf, "documents").select("doc_id", "lang", F.concat("source", F.lit(".srt")).alias("path"))
+    members = files(spark, sf).select("doc_id", "lang", F.concat("source", F.lit(".srt")).alias("path"))
     return archive.number_duplicates(members, "lang", "path", "doc_id", bounded=False).select("doc_id", "lang", "new_path")
 
 
@@ -71,7 +71,7 @@ SELECT doc_id, lang FROM (
   SELECT doc_id, lang, row_number() OVER (PARTITION BY lang, octet_length(encode(text)), sha1(text) ORDER BY doc_id) AS rn
   FROM documents) WHERE rn = 1""")
 def drop_equal_content(spark, sf):
-    members = table(spark, sf, "documents").select(
+    members = files(spark, sf).select(
         "doc_id", F.col("lang").alias("num"), F.lit("a.srt").alias("path"), F.encode("text", "UTF-8").alias("content")
     )
     kept = archive.drop_equal_content(members, "num", "path", "doc_id", bounded=False)
@@ -94,7 +94,7 @@ SELECT doc_id, first_num, copies, body_hash AS text_hash FROM (
          sha256(body) AS body_hash FROM t) WHERE copies > 1""")
 def same_text(spark, sf):
     # every line becomes a cue; the offset of its times differs per file
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     stamp = F.format_string("00:%02d:01,000 --> 00:%02d:03,000\n", F.pmod("doc_id", F.lit(60)), F.pmod("doc_id", F.lit(60)))
     cues = F.array_join(
         F.transform(F.split("text", "\n", -1), lambda line: F.concat(F.lit("1\n"), stamp, line, F.lit("\n"))), "\n"

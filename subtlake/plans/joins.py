@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.operators import archive
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 
 @query("""
@@ -15,7 +15,7 @@ SELECT d.doc_id AS num, d.source || '.srt' AS path, octet_length(encode(d.text))
 FROM documents d""")
 def verify_members(spark, sf):
     """Declared records were made before German texts lost their outer blanks, French ones under another name."""
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     body = F.encode("text", "UTF-8")
     members = docs.select(
         F.col("doc_id").alias("num"), F.concat("source", F.lit(".srt")).alias("path"),
@@ -38,7 +38,7 @@ FROM documents
 WHERE (CASE lang WHEN 'en' THEN 'srt' WHEN 'fr' THEN 'sub' ELSE 'ssa' END)
    <> (CASE WHEN source < 'src5' THEN 'sub' ELSE 'srt' END)""")
 def format_mismatch(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     declared = docs.select(
         F.col("doc_id").alias("num"),
         F.when(F.col("lang") == "en", "srt").when(F.col("lang") == "fr", "txt").otherwise("ssa").alias("format"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
 from subtlake.functions import content, ids, names, text
 from subtlake.operators import stats
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 _DOTTED = "replace(p_name, ' ', '.')"
 # one family of archive names per part type
@@ -100,7 +100,7 @@ def modernise_name(spark, sf):
 SELECT doc_id, 'attachment' AS type, CASE lang WHEN 'en' THEN replace(replace(text, '/', '_'), '\\', '_')
   WHEN 'fr' THEN replace(replace(text, '/', '_'), '\\', '_') ELSE source || '.part2.srt' END AS filename FROM documents""")
 def disposition_filename(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     coded = F.replace(F.url_encode("text"), F.lit("+"), F.lit("%20"))
     quoted = F.regexp_replace("text", r'(["\\])', r"\\$1")
     header = (
@@ -151,7 +151,7 @@ def release_range(spark, sf):
 def normalise_quotes(spark, sf):
     # typographic quotes and no-break spaces put in, then folded
     odd = F.translate("text", "'|\n", "’„ ")
-    return table(spark, sf, "documents").select(
+    return files(spark, sf).select(
         "doc_id", F.replace(names.normalise_quotes(odd), F.lit("\n"), F.lit(" ")).alias("text")
     )
 
@@ -164,7 +164,7 @@ SELECT doc_id, CASE WHEN length(name) > 255 THEN substr(name, 1, 126) || '...' |
 FROM (SELECT doc_id, {_NAME} AS name FROM documents)""")
 def fit_filename(spark, sf):
     name = F.concat(F.regexp_replace("text", r"[^\x20-\x7E]|/", ""), F.lit(".srt"))
-    return table(spark, sf, "documents").select("doc_id", names.fit_filename(name).alias("name"))
+    return files(spark, sf).select("doc_id", names.fit_filename(name).alias("name"))
 
 
 @query("""
@@ -179,7 +179,7 @@ def fix_extension(spark, sf):
         .when(lang == "fr", F.lit("")).otherwise(F.concat("source", F.lit(".ass")))
     )
     fmt = F.when(lang == "es", "ssa").otherwise("srt")
-    return table(spark, sf, "documents").select(
+    return files(spark, sf).select(
         "doc_id", names.fix_download_extension(name).alias("lookup_name"),
         names.fix_extension(name, fmt, content.is_microdvd(F.col("text"))).alias("repaired"),
     )
@@ -209,7 +209,7 @@ def detect_format(spark, sf):
         F.when(F.col("lang") == "en", framed).when(F.col("lang") == "de", timed).when(F.col("lang") == "fr", styled)
         .otherwise(F.col("text"))
     )
-    docs = table(spark, sf, "documents").select("doc_id", made.alias("made"))
+    docs = files(spark, sf).select("doc_id", made.alias("made"))
     return docs.select(
         "doc_id", content.is_microdvd(F.col("made")).alias("framed"),
         content.detect_format(F.col("made"), F.lit("txt")).alias("format"),
@@ -219,14 +219,14 @@ def detect_format(spark, sf):
 @query("""
 SELECT doc_id, regexp_replace(text, '([\\[\\](){}?*+.^$])', '\\\\\\1', 'g') AS escaped FROM documents""")
 def regex_escape(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.regex_escape(F.col("text")).alias("escaped"))
+    return files(spark, sf).select("doc_id", text.regex_escape(F.col("text")).alias("escaped"))
 
 
 @query("""
 SELECT doc_id, md5(text) AS md5, sha1(text) AS sha1, octet_length(encode(text)) AS size FROM documents""")
 def checksums(spark, sf):
     sums = content.checksums(F.encode("text", "UTF-8"))
-    docs = table(spark, sf, "documents").select("doc_id", sums.alias("c")).select("doc_id", "c.*")
+    docs = files(spark, sf).select("doc_id", sums.alias("c")).select("doc_id", "c.*")
     return docs.withColumn("size", F.col("size").cast("long"))
 
 
@@ -234,7 +234,7 @@ def checksums(spark, sf):
 def crc16(spark, sf):
     from subtlake.functions.codecs import crc16 as crc
 
-    return table(spark, sf, "documents").select("doc_id", crc(F.encode("text", "UTF-8")).alias("crc16"))
+    return files(spark, sf).select("doc_id", crc(F.encode("text", "UTF-8")).alias("crc16"))
 
 
 @query("""
@@ -244,7 +244,7 @@ def fix_mojibake(spark, sf):
     from subtlake.functions.codecs import fix_mojibake as fix
     from subtlake.plans.archives import misread_cp437
 
-    docs = table(spark, sf, "documents")
+    docs = files(spark, sf)
     latin = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     rows = docs.select("doc_id", latin.alias("odd")).unionByName(
         docs.select((-1 - F.col("doc_id")).alias("doc_id"), misread_cp437(F.encode("text", "UTF-8")).alias("odd"))
@@ -261,7 +261,7 @@ def to_utf8(spark, sf):
         F.when(F.col("lang") == "fr", F.encode("text", "ISO-8859-1"))
         .when(F.col("lang") == "de", F.encode("text", "UTF-16")).otherwise(F.encode("text", "UTF-8"))
     )
-    return table(spark, sf, "documents").select("doc_id", recode(data, "iso-8859-1").alias("text"))
+    return files(spark, sf).select("doc_id", recode(data, "iso-8859-1").alias("text"))
 
 
 @query(f"""
@@ -269,6 +269,6 @@ SELECT doc_id, token, count(*) AS n FROM (
   SELECT doc_id, unnest(regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
     '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents WHERE lang = 'en') GROUP BY doc_id, token""")
 def fts_tokens(spark, sf):
-    english = table(spark, sf, "documents").where(F.col("lang") == "en")
+    english = files(spark, sf).where(F.col("lang") == "en")
     words = english.select("doc_id", F.explode(text.fts_tokens(F.col("text"))).alias("token"))
     return words.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
 from subtlake.operators import archive, ranking, search, stats
-from subtlake.plans.registry import query, table
+from subtlake.plans.registry import files, query, table
 
 # metadata columns of a part; kinds and seasons by size, languages by type
 _META = """
@@ -94,7 +94,7 @@ SELECT 'text' AS field, token, count(*) AS ids, min(doc_id) AS first_num FROM (
   SELECT DISTINCT doc_id, unnest(regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
     '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents) GROUP BY token""")
 def token_table(spark, sf):
-    tokens = search.token_table(table(spark, sf, "documents"), "doc_id", ["text"])
+    tokens = search.token_table(files(spark, sf), "doc_id", ["text"])
     return tokens.groupBy("field", "token").agg(F.count(F.lit(1)).alias("ids"), F.min("doc_id").alias("first_num"))
 
 
@@ -195,6 +195,6 @@ def lang_map(spark, sf):
 
     # a country code and a three-letter code among the two-letter ones
     code = F.when(F.col("lang") == "es", "mx").when(F.col("lang") == "de", "ger").otherwise(F.col("lang"))
-    docs = table(spark, sf, "documents").select(code.alias("ISO639"))
+    docs = files(spark, sf).select(code.alias("ISO639"))
     counted = docs.groupBy("ISO639").agg(F.count(F.lit(1)).alias("n"))
     return with_languages(counted, "ISO639")

@@ -59,3 +59,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
 
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """An input of fewer splits than cores (one row group, one gzip file) is spread for heavy work per row.
+
+    Large inputs have many splits and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
