@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtlake.functions.names import legacy_num
+from subtlake.sources.listing import list_files
 
 
 def classify_inbox(listing: DataFrame, path: str = "path", size: str = "size") -> DataFrame:
@@ -32,10 +33,9 @@ def classify_inbox(listing: DataFrame, path: str = "path", size: str = "size") -
     )
 
 
-def list_inbox(spark: SparkSession, path: str) -> DataFrame:
-    """Files of a folder, classified; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return classify_inbox(files.select("path", F.col("length").alias("size")))
+def list_inbox(spark: SparkSession, *folders: str) -> DataFrame:
+    """Files of one or more folders, classified; contents are not read."""
+    return classify_inbox(list_files(spark, list(folders)))
 
 
 def done_ids(inbox: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtlake.operators.ranking import dedupe_latest
-from subtlake.session import scratch_path
 from subtlake.sources.inbox import classify_inbox
+from subtlake.sources.listing import stream_files
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -28,14 +28,9 @@ def run_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], chec
     query.trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_inbox(spark: SparkSession, path: str) -> DataFrame:
-    """New result files of a folder, classified by name; contents are not kept."""
-    files = (
-        spark.readStream.format("binaryFile").schema(
-            "path string, modificationTime timestamp, length long, content binary"
-        ).option("recursiveFileLookup", "true").load(path)
-    )
-    return classify_inbox(files.select("path", F.col("length").alias("size")))
+def stream_inbox(spark: SparkSession, *folders: str, settle_ms: int = 1000) -> DataFrame:
+    """New result files of folders, classified by name."""
+    return classify_inbox(stream_files(spark, list(folders), settle_ms))
 
 
 def classify_stream(listing: DataFrame) -> DataFrame:
