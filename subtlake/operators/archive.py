@@ -17,7 +17,7 @@ from subtlake.functions.codecs import fix_mojibake, to_utf8
 from subtlake.functions.content import detect_format, is_microdvd, parse_integrity, same_format, timeless_text
 from subtlake.functions.names import extension, fit_filename, fix_extension, normalise_quotes
 from subtlake.operators.numbering import number_rows
-from subtlake.operators.skew import join_groups
+from subtlake.operators.skew import salted_join
 from subtlake.session import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -183,5 +183,7 @@ def same_text(files: DataFrame, num: str, text: Column) -> DataFrame:
     """
     hashed = checkpointed(files.select(num, F.sha2(timeless_text(text), 256).alias("text_hash")))
     groups = hashed.groupBy("text_hash").agg(F.min(num).alias("first_num"), F.count(F.lit(1)).alias("copies"))
-    copies = join_groups(hashed, groups.where("copies > 1"), "text_hash", "copies")
+    copies = salted_join(
+        hashed, groups.where("copies > 1"), "text_hash", counts=groups.select("text_hash", F.col("copies").alias("n"))
+    )
     return copies.select(num, "first_num", "copies", "text_hash")

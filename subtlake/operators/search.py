@@ -10,8 +10,9 @@ from subtlake.functions.ids import bucket_of, pad_num
 from subtlake.functions.names import extension, fix_download_extension, render_path
 from subtlake.functions.text import fts_tokens, phrase_text
 from subtlake.operators.archive import unpack_archives
-from subtlake.operators.languages import two_letter, three_letter
-from subtlake.session import broadcast_if_small
+from subtlake.operators.languages import three_letter, two_letter
+from subtlake.operators.skew import salted_join
+from subtlake.session import checkpointed
 
 
 def token_table(titles: DataFrame, num: str, fields: list[str]) -> DataFrame:
@@ -77,7 +78,7 @@ def limit_per_query(hits: DataFrame, num: str, n: int = 500) -> DataFrame:
 
 
 def route_to_provider(ids: DataFrame, providers: list[dict], num: str = "num", lang: str | None = None,
-                      bucket: int = 100_000) -> DataFrame:
+                      bucket: int = 100_000, small_buckets: int = 50_000) -> DataFrame:
     """Adds ``provider``: the first provider whose id range and language cover the row; null when none does.
 
     ``providers`` are in order of preference, disabled ones left out; a range end that is missing or 0 makes
@@ -105,7 +106,11 @@ def route_to_provider(ids: DataFrame, providers: list[dict], num: str = "num", l
     empty = F.array().cast("array<struct<ord:int,id:string,num_from:bigint,num_to:bigint,lang:string>>")
     anywhere = F.concat(empty, *[F.array(entry(e)) for e in entries if is_open(e)])
     speaks = lambda p: F.lit(True) if lang is None else (p["lang"] == "*") | (p["lang"] == F.col(lang))
-    joined = ids.withColumn("_b", bucket_of(F.col(num), bucket)).join(broadcast_if_small(by_bucket), "_b", "left")
+    rows = ids.withColumn("_b", bucket_of(F.col(num), bucket))
+    if by_bucket.limit(small_buckets + 1).count() <= small_buckets:
+        joined = rows.join(F.broadcast(by_bucket), "_b", "left")
+    else:
+        joined = salted_join(rows, by_bucket, "_b", "left")
     covering = F.filter(
         F.concat(F.coalesce("_near", empty), anywhere),
         lambda p: F.col(num).between(p["num_from"], p["num_to"]) & speaks(p),
@@ -114,8 +119,8 @@ def route_to_provider(ids: DataFrame, providers: list[dict], num: str = "num", l
 
 
 def fetch_content(hits: DataFrame, blobs: DataFrame, num: str = "num") -> DataFrame:
-    """Archive bytes of the hit ids, by join."""
-    return hits.join(blobs, num)
+    """Archive bytes of the hit ids, by join; many queries may hit one archive."""
+    return salted_join(hits, blobs, num)
 
 
 def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int = 500) -> DataFrame:
@@ -152,7 +157,8 @@ def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: lis
         "query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang")
     )
     routed = route_to_provider(hits.withColumn("lang3", three_letter(F.col("lang"))), providers, "num", "lang3")
-    wanted = routed.where(F.col("provider").isNotNull())
+    # at most ``limit`` rows per query, used twice below: kept by a checkpoint instead of searched twice
+    wanted = checkpointed(routed.where(F.col("provider").isNotNull()))
     archives = blobs.join(wanted.select("num").distinct(), "num", "left_semi")
     members = unpack_archives(archives).where(~F.col("broken") & (extension(F.col("path")) != ".nfo"))
     first = members.groupBy("num").agg(F.min_by(F.struct("path", "content"), "ord").alias("m")).select("num", "m.*")

@@ -84,18 +84,21 @@ def compress_runs(runs: DataFrame) -> DataFrame:
     )
 
 
-def is_num_done(ids: DataFrame, runs: DataFrame, num: str = "num", bucket: int = BUCKET) -> DataFrame:
-    """Adds ``done``: the id lies in one of the disjoint ranges. Equi-join on the id bucket."""
-    size = F.lit(bucket)
-    pieces = runs.select(
-        F.explode(F.sequence(bucket_of(F.col("lo"), bucket), bucket_of(F.col("hi"), bucket))).alias("_b"),
-        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
-    )
-    rows = ids.withColumn("_b", F.floor(F.col(num) / size).cast("long"))
-    joined = rows.join(
-        pieces, (rows["_b"] == pieces["_b"]) & F.col(num).between(F.col("_lo"), F.col("_hi")), "left"
+def is_num_done(ids: DataFrame, runs: DataFrame, num: str = "num", cell: int = 256) -> DataFrame:
+    """Adds ``done``: the id lies in one of the disjoint ranges.
+
+    Equi-join on small cells of the id axis: a cell meets at most ``cell / 2`` disjoint ranges, usually one, so an
+    id is compared with few of them. A long range becomes one row per cell.
+    """
+    cells = runs.select(
+        F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), bucket_of(F.col("lo"), cell).alias("_first"),
+        bucket_of(F.col("hi"), cell).alias("_last"),
     )
-    return joined.withColumn("done", F.col("_lo").isNotNull()).drop("_b", "_lo", "_hi")
+    pieces = expand_ranges(cells, "_first", "_last", "_cell").select("_cell", "_lo", "_hi")
+    rows = ids.withColumn("_c", bucket_of(F.col(num), cell))
+    covers = (F.col("_c") == F.col("_cell")) & F.col(num).between(F.col("_lo"), F.col("_hi"))
+    joined = rows.join(pieces, covers, "left").withColumn("done", F.col("_lo").isNotNull())
+    return joined.drop("_c", "_cell", "_lo", "_hi")
 
 
 def first_missing(runs: DataFrame, after: int) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins of rows with the table of their groups when one group may hold most rows."""
+"""Joins when one key may hold a third of all rows."""
 
 from __future__ import annotations
 
@@ -6,13 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, hot_rows: int = 1_000_000) -> DataFrame:
-    """Inner join of rows with their group (one row per key, ``size`` = rows of the group).
+def salted_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", hot_rows: int = 1_000_000,
+                counts: DataFrame | None = None) -> DataFrame:
+    """Join ``rows`` with ``table`` on ``key``; rows of a hot key are spread, its table rows repeated.
 
-    Groups above ``hot_rows`` are few, at most total rows / ``hot_rows``, so they are broadcast and their rows
-    stay where they are; only rows of smaller groups are shuffled.
+    A key is hot above ``hot_rows`` rows, so there are at most total rows / ``hot_rows`` of them: few enough to
+    broadcast. A hot key gets one part per ``hot_rows`` rows. ``counts`` (key, n) saves counting the rows again.
     """
-    hot = F.broadcast(groups.where(F.col(size) > hot_rows))
-    cold = groups.where(F.col(size) <= hot_rows)
-    spread = rows.join(hot.select(key), key, "left_anti").join(cold, key)
-    return rows.join(hot, key).unionByName(spread)
+    if counts is None:
+        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(
+        counts.where(F.col("n") > hot_rows).select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts"))
+    )
+    any_column = F.xxhash64(*rows.columns)
+    left = rows.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_parts").isNotNull(), F.pmod(any_column, F.col("_parts").cast("long")).cast("int")).otherwise(0)
+    ).drop("_parts")
+    each = F.when(F.col("_parts").isNotNull(), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array(F.lit(0)))
+    right = table.join(hot, key, "left").withColumn("_salt", F.explode(each)).drop("_parts")
+    return left.join(right, [key, "_salt"], how).drop("_salt")

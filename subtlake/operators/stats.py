@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtlake.operators.numbering import rolling
+from subtlake.operators.skew import salted_join
 
 
 def count_by_date(df: DataFrame, date: Column, chars: int, name: str) -> DataFrame:
@@ -133,7 +134,8 @@ def daily_quota(df: DataFrame, account: str, ts: str, quota: int, share: float)
 
 
 def title_to_subs(titles: DataFrame, meta: DataFrame, catalogue_id: str) -> DataFrame:
-    return titles.join(meta, catalogue_id)
+    """Metadata rows of each title. One title may own most rows."""
+    return salted_join(meta, titles, catalogue_id)
 
 
 def episode_rollup(episodes: DataFrame, titles: DataFrame, meta: DataFrame) -> DataFrame:

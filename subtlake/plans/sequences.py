@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from subtlake.functions.dates import epoch_seconds
 from subtlake.operators import grouping, sequences
 from subtlake.plans.registry import query, table
 
@@ -65,7 +64,7 @@ SELECT event_id AS num, event_id IN (SELECT event_id FROM events WHERE event_typ
 def num_done(spark, sf):
     ids = table(spark, sf, "events").select(F.col("event_id").alias("num"))
     runs = sequences.islands(clicks(spark, sf), bucket=_BUCKET)
-    return sequences.is_num_done(ids, runs, "num", _BUCKET)
+    return sequences.is_num_done(ids, runs, "num")
 
 
 @query("""

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from subtlake.operators.numbering import id_lists, number_by_id, number_rows, rolling
-from subtlake.operators.skew import join_groups
+from subtlake.operators.skew import salted_join
 from subtlake.operators.stats import fetch_windows
 
 
@@ -77,8 +77,13 @@ def test_id_lists_are_whole_and_bounded(spark):
         assert {r.group_len for r in parts} == {len(ids)}
 
 
-def test_join_groups(spark):
-    df = hot_rows(spark).where("k is not null")
+def test_salted_join(spark):
+    df = hot_rows(spark)
     groups = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    want = sorted(map(tuple, df.join(groups, "k").select("k", "id", "n").collect()))
-    assert sorted(map(tuple, join_groups(df, groups, "k", "n", 700).select("k", "id", "n").collect())) == want
+    table = groups.where("k <> 'a'").unionByName(groups.where("k = 'hot'"))
+    for how in ("inner", "left", "left_semi"):
+        want = sorted(map(str, df.join(table, "k", how).collect()))
+        got = salted_join(df, table, "k", how, hot_rows=100).select(df.join(table, "k", how).columns)
+        assert sorted(map(str, got.collect())) == want
+    given = salted_join(df, table, "k", hot_rows=100, counts=groups)
+    assert given.count() == df.join(table, "k").count()

@@ -42,8 +42,9 @@ def test_first_missing_and_done(spark):
     runs = sequences.islands(ids(spark, [1, 2, 3, 5, 6]), bucket=2)
     first = lambda after: sequences.first_missing(runs, after).first()[0]
     assert [first(0), first(1), first(3), first(4), first(9)] == [4, 4, 4, 7, 10]
-    done = sequences.is_num_done(ids(spark, range(8)), runs, bucket=2)
-    assert sorted(r.num for r in done.where("done").collect()) == [1, 2, 3, 5, 6]
+    for cell in (2, 256):
+        done = sequences.is_num_done(ids(spark, range(8)), runs, cell=cell)
+        assert done.count() == 8 and sorted(r.num for r in done.where("done").collect()) == [1, 2, 3, 5, 6]
 
 
 def test_steady_run(spark):
