@@ -74,8 +74,9 @@ def delayed_release(stream: DataFrame, keys: list[str], ts: str, days: int = 7,
 
 def releasable(df: DataFrame, ts: str, days: int = 7) -> DataFrame:
     """Batch form: rows at least ``days`` older than the newest row."""
-    newest = df.agg(F.max(ts)).first()[0]
-    return df.where(F.col(ts) <= F.lit(newest) - F.expr(f"interval {days} days"))
+    newest = df.agg(F.max(ts).cast("string")).first()[0]
+    kind = df.schema[ts].dataType
+    return df.where(F.col(ts) <= F.lit(newest).cast(kind) - F.expr(f"interval {days} days"))
 
 
 def shard_progress(stream: DataFrame, num: str, ts: str, shard: Column, delay: str = "30 days") -> DataFrame:
