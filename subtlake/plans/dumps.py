@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from subtlake.fixed_values import DUMP_COLUMNS
+from subtlake.fixed_values import DETAIL_PAGE, DUMP_COLUMNS
 from subtlake.functions.dates import date_text, epoch_seconds
 from subtlake.functions.registry import select_columns
 from subtlake.operators import ranking, recon
@@ -34,7 +34,7 @@ def write_dump(spark, sf) -> str:
         key, F.concat(F.lit("It's "), "o_orderpriority"), F.when(status == "F", "").otherwise(F.year("o_orderdate").cast("string")),
         F.lit("English"), lang, date_text(F.col("o_orderdate")), F.concat(F.lit("202222222222"), F.lpad("o_custkey", 5, "0")),
         F.lit("srt"), F.lit("1"), release, F.lit("23.976"), F.lit(""), F.lit(""), F.lit(""), kind,
-        F.concat(F.lit("http://www.opensubtitles.org/subtitles/"), key, F.lit("/it-s")),
+        F.concat(F.lit(DETAIL_PAGE), key, F.lit("/it-s")),
     ]
     # each part file starts with the header
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0

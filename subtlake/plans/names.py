@@ -265,10 +265,12 @@ def to_utf8(spark, sf):
 
 
 @query(f"""
-SELECT doc_id, token, count(*) AS n FROM (
-  SELECT doc_id, unnest(regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
-    '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents WHERE lang = 'en') GROUP BY doc_id, token""")
+SELECT doc_id, len(words) AS words, len(list_distinct(words)) AS different, md5(array_to_string(words, ' ')) AS joined FROM (
+  SELECT doc_id, regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
+    '([\\p{{L}}\\p{{N}}_]+)', 1) AS words FROM documents)""")
 def fts_tokens(spark, sf):
-    english = files(spark, sf).where(F.col("lang") == "en")
-    words = english.select("doc_id", F.explode(text.fts_tokens(F.col("text"))).alias("token"))
-    return words.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    words = files(spark, sf).select("doc_id", text.fts_tokens(F.col("text")).alias("w"))
+    return words.select(
+        "doc_id", F.size("w").cast("long").alias("words"), F.size(F.array_distinct("w")).cast("long").alias("different"),
+        F.md5(F.array_join("w", " ")).alias("joined"),
+    )

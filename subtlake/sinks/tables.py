@@ -77,8 +77,8 @@ def write_release(shards: DataFrame, releases: DataFrame, meta: DataFrame, path:
     """Union of the shards of complete releases, restricted to ids the metadata still lists."""
     rows = shards.join(releases.select("release_id"), "release_id", "left_semi")
     kept = release_semi(rows, meta)
-    slices = F.pmod(F.xxhash64("num"), F.lit(32))
-    kept.repartition(F.col("release_id"), slices).write.mode("append").partitionBy("release_id").parquet(path)
+    ordered = kept.repartitionByRange("release_id", "num").sortWithinPartitions("release_id", "num")
+    ordered.write.mode("append").partitionBy("release_id").parquet(path)
 
 
 def write_id_lists(flags: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subtlake.fixed_values import (
-    DUMP_COLUMNS, DUMP_PATTERNS, FREE_COLUMN, INTEGER_COLUMNS, ROWS_WITH_SURPLUS_FIELD,
+    DETAIL_PAGE, DUMP_COLUMNS, DUMP_PATTERNS, FREE_COLUMN, INTEGER_COLUMNS, ROWS_WITH_SURPLUS_FIELD,
 )
 
 DUMP_SCHEMA = T.StructType(
@@ -36,7 +36,7 @@ def read_dump_rows(spark: SparkSession, path: str, max_lines: int = 1000) -> Dat
     )
     # old line ends: \r\n loses its \r, a lone \r is a line break of its own
     unix = F.regexp_replace(F.regexp_replace("value", "\r\\z", ""), "\r", "\n")
-    is_end = F.col("line").rlike(r"\thttp://www\.opensubtitles\.org/subtitles/\d+/[^\t\n]*\z")
+    is_end = F.col("line").rlike(rf"\t{DETAIL_PAGE}\d+/[^\t\n]*\z")
     marked = (
         lines.withColumn("line", unix).withColumn("is_end", is_end.cast("int"))
         .withColumn("stretch", F.floor(F.col("pos").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(_STRETCH)))

@@ -8,13 +8,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from subtlake.fixed_values import DUMP_COLUMNS
+from subtlake.fixed_values import DETAIL_PAGE, DUMP_COLUMNS
 from subtlake.operators import ranking, search
 from subtlake.sinks import tables as sinks
 from subtlake.sources import dump, inbox, providers, tables
 from subtlake.streaming import streams
 
-URL = "http://www.opensubtitles.org/subtitles/%d/x"
+URL = DETAIL_PAGE + "%d/x"
 
 
 def row(num, name="Some Title", year="2001", lang="en", release="Rel.2001", kind="movie", imdb="133093", fps="23.976"):
