@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from subtlake.session import local_session
 
-    session = local_session(8, "subtlake-tests")
+    session = local_session(4, "subtlake-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
