@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import components
+from subtlake.llm.common import components, stored
 from subtlake.llm.tokens import bounded_batches, scan, slices
 from subtlake.session import checkpointed
 
@@ -196,7 +196,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", differ
     own = signed.groupBy("fp").agg(F.min("id").alias("low"))
     groups = components(links(own.select("fp"), differing), "a", "b")
     named = own.join(groups, own["fp"] == groups["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lowest = named.groupBy("component").agg(F.min("low").alias("low"))
+    lowest = stored(named.groupBy("component").agg(F.min("low").alias("low")), "groups")
     named = named.select("fp", "component").join(lowest, "component")
     out = signed.join(named, "fp")
     return out.select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component",

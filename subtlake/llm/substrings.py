@@ -23,9 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import bit_filter, passes
+from subtlake.llm.common import bit_filter, passes, stored
 from subtlake.llm.tokens import bounded_batches, gram_hashes, grams_inside, scan, slices, word_hashes, Words
-from subtlake.session import checkpointed
 
 
 def path_pieces(words: Words, k: int, anchor: int):
@@ -81,7 +80,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", keys: tuple[str, ...] =
 
     met = docs.select("text").mapInArrow(anchors, "anchor long, digest long").groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    met = checkpointed(met.where("n > 1"))
+    met = stored(met.where("n > 1"), "anchors")
     shared, branching = bit_filter(met, "anchor", filter_bits), bit_filter(met.where("low <> high"), "anchor", filter_bits)
     fields = [f for f in docs.schema.fields if f.name not in ("text", "h")]
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in fields]
@@ -109,25 +108,24 @@ def repeated_spans(docs: DataFrame, text: str = "text", keys: tuple[str, ...] =
                             pa.array(anchored.view(np.int64)), pa.array(digests.view(np.int64)), lists]
                 yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in fields], "h", "first", "windows", "anchor", "digest", "edges"])
 
-    found = checkpointed(docs.mapInArrow(pieces, schema))
+    found = stored(docs.mapInArrow(pieces, schema), "pieces")
     ids = [*[f.name for f in fields], "h"]
     place = [*ids, "first", "windows"]
-    # without a branch: equal pieces, repeated if there are two of them
+    # without a branch: equal pieces, repeated if the anchor was met twice
     straight = found.where("edges is null").select(*place, "anchor")
-    twice = straight.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    whole = straight.join(twice, "anchor").select(*place, F.lit(None).cast("long").alias("mask"))
+    whole = straight.join(met.select("anchor"), "anchor").select(*place, F.lit(None).cast("long").alias("mask"))
     # branches: pieces met more than once, and the edges of the others
     branched = found.where("edges is not null")
-    counts = branched.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"))
-    branched = branched.join(counts, ["anchor", "digest"])
-    again = branched.where("n > 1").select(*place, F.lit(None).cast("long").alias("mask"))
+    counts = branched.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", "digest", F.lit(True).alias("twice"))
+    branched = branched.join(stored(counts, "branches"), ["anchor", "digest"], "left")
+    again = branched.where("twice").select(*place, F.lit(None).cast("long").alias("mask"))
     edge_counts = (
         found.where("edges is not null").select("anchor", F.explode("edges").alias("edge"))
         .groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor", "edge")
     )
-    single = branched.where("n = 1").select(*place, "anchor", F.posexplode("edges").alias("bit", "edge"))
+    single = branched.where("twice is null").select(*place, "anchor", F.posexplode("edges").alias("bit", "edge"))
     opened = (
-        single.join(edge_counts, ["anchor", "edge"]).groupBy(*place)
+        single.join(stored(edge_counts, "edges"), ["anchor", "edge"]).groupBy(*place)
         .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask"))
     )
     spans = whole.unionAll(again).unionAll(opened.select(*place, "mask"))

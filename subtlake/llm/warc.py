@@ -21,6 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subtlake.llm.common import stored
 from subtlake.llm.tokens import bounded_batches, slices
 
 INDEX = "page_id long, archive string, offset long, length long, url string, payload_digest string, record_type string, refers_to long"
@@ -66,7 +67,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     rows = rows.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
     seen = rows.select("sha1", F.octet_length("html").alias("size"), "page_id").where(F.col("size") >= least)
     first = seen.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha1", "first")
-    joined = rows.join(first, "sha1", "left")
+    joined = rows.join(stored(first, "payloads"), "sha1", "left")
     archives = f"{folder.rstrip('/')}/archives"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
