@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from subtlake.llm.common import stored
 from subtlake.llm.tokens import bounded_batches, slices
+from subtlake.session import shuffle_partitions
 
 INDEX = "page_id long, archive string, offset long, length long, url string, payload_digest string, record_type string, refers_to long"
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary, "
@@ -182,7 +183,8 @@ def read_records(selected: DataFrame, gap: int = 1 << 16, most: int = 8 << 20, s
         if source is not None:
             source.close()
 
-    dealt = wanted.repartition("archive", part).sortWithinPartitions("archive", "offset")
+    # index rows are few bytes for much to read, so the number of tasks is set and not left to their size
+    dealt = wanted.repartition(shuffle_partitions(selected), "archive", part).sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(read, RECORD)
 
 
