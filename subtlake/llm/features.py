@@ -151,4 +151,5 @@ def with_labels(rows: DataFrame, labels: DataFrame, key: str, columns: dict[str,
     """``rows`` with the label columns ``columns`` (expression: name); a key that is labelled repeatedly has the majority, 0 in a tie."""
     votes = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_labelled")).agg(
         *[(F.avg(F.expr(e).cast("double")) > 0.5).cast("int").alias(n) for e, n in columns.items()])
-    return rows.join(votes, F.col(key) == F.col("_labelled"), "left").drop("_labelled")
+    # labels grow with the corpus: one plan for all sizes, and no broadcast
+    return rows.join(votes.hint("merge"), F.col(key) == F.col("_labelled"), "left").drop("_labelled")

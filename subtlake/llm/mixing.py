@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subtlake.llm.common import stored
 from subtlake.llm.features import bayes, class_counts, document_features, sums, with_labels
 from subtlake.session import checkpointed
 
@@ -49,7 +50,7 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str
     rows = with_labels(rows, labels, key, {f"cast(coalesce({e}, false) as int)": f"_d{i}" for i, e in enumerate(domains.values())})
     which = F.coalesce(*[F.when(F.col(f"_d{i}") == 1, F.lit(i)) for i in range(len(names))])
     rows = rows.withColumn("label", which).drop(*[f"_d{i}" for i in range(len(names))])
-    rows = checkpointed(rows.withColumn("own", F.when(F.pmod(F.xxhash64(F.col(key), F.lit("held")), F.lit(held_out)) != 0, F.col("label"))))
+    rows = stored(rows.withColumn("own", F.when(F.pmod(F.xxhash64(F.col(key), F.lit("held")), F.lit(held_out)) != 0, F.col("label"))), "features")
     models = {v: bayes(c) for v, c in class_counts(rows, {"words": "own", "page": "own"}, len(names)).items()}
     prior = models["page"][1]
     models = {v: likelihood for v, (likelihood, _) in models.items()}

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subtlake.llm.common import stored
 from subtlake.llm.features import bayes, class_counts, document_features, sums, with_labels
-from subtlake.session import checkpointed
 
 VIEWS = ("words", "page")
 _STEPS = np.linspace(-1, 1, 81)  # cells in which raw scores are counted for the calibration
@@ -82,7 +82,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
     """
     rows = document_features(docs, text, (key,))
     rows = with_labels(rows, labels, key, {f"cast(({good}) as int)": "label"})
-    rows = checkpointed(rows.withColumn("held", F.pmod(F.xxhash64(F.col(key), F.lit("held")), F.lit(held_out)) == 0))
+    rows = stored(rows.withColumn("held", F.pmod(F.xxhash64(F.col(key), F.lit("held")), F.lit(held_out)) == 0), "features")
     teach = rows.withColumn("own", F.when(~F.col("held"), F.col("label")))
     models = {v: bayes(c) for v, c in class_counts(teach, {"words": "own", "page": "own"}, 2).items()}
     for _ in range(rounds):
