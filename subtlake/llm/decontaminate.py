@@ -116,7 +116,8 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str
                                                  ["item", "size", "tokens", "seeds"])
 
     tests = items.mapInArrow(item_seeds, f"item {item_type}, size int, tokens array<long>, seeds array<long>").where("size > 0")
-    tests = checkpointed(tests.withColumn("number", F.xxhash64("item", "tokens")).dropDuplicates(["item", "number"]))
+    # one number stands for an item's key and tokens, null keys included
+    tests = checkpointed(tests.withColumn("number", F.xxhash64("item", "tokens")).dropDuplicates(["number"]))
     lengths = sorted(r["size"] for r in tests.select("size").distinct().collect())  # at most ``shortest`` numbers
     wanted = bit_filter(tests.select(F.explode("seeds").alias("seed")), "seed", filter_bits)
 
@@ -158,16 +159,16 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", key: str
     near = docs.mapInArrow(doc_seeds, f"id {id_type}, h long, seeds array<long>, tokens array<long>")
     near = checkpointed(near.withColumn("doc", F.xxhash64("id", "h", "tokens")))
     # a tile of n tokens holds at least n / shortest seeds, so fewer common seeds can not cover the share
-    asked = tests.select("number", "item", F.size("tokens").alias("n"), F.size("seeds").alias("different"), F.explode("seeds").alias("seed"))
+    asked = tests.select("number", F.size("tokens").alias("n"), F.explode("seeds").alias("seed"))
     offered = near.select("doc", F.explode("seeds").alias("seed")).distinct()
-    common = offered.join(asked, "seed").groupBy("doc", "number", "item", "n").agg(F.count(F.lit(1)).alias("common"))
+    common = offered.join(asked, "seed").groupBy("doc", "number", "n").agg(F.count(F.lit(1)).alias("common"))
     # repeated seeds inside an item may stand for several places: only the different ones are counted, at the least they can be
     least = F.ceil(F.lit(share) * F.col("n") / shortest)
-    repeated = tests.select("number", "item", (F.size("tokens") - F.size("seeds") >= F.col("size")).alias("repeats"))
-    pairs = common.join(repeated, ["number", "item"]).where(F.col("repeats") | (F.col("common") >= least)).select("doc", "number", "item")
+    repeated = tests.select("number", (F.size("tokens") - F.size("seeds") >= F.col("size")).alias("repeats"))
+    pairs = common.join(repeated, "number").where(F.col("repeats") | (F.col("common") >= least)).select("doc", "number")
     one = near.withColumn("copy", F.row_number().over(Window.partitionBy("doc").orderBy("doc"))).where("copy = 1").drop("copy", "seeds")
-    asked = tests.select("number", F.col("item").alias("own"), F.col("tokens").alias("item_tokens"))
-    full = pairs.join(one, "doc").join(asked, "number").where(F.col("item").eqNullSafe(F.col("own")))
+    asked = tests.select("number", "item", F.col("tokens").alias("item_tokens"))
+    full = pairs.join(one, "doc").join(asked, "number")
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

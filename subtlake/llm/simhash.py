@@ -223,6 +223,6 @@ def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", *
 def _nameless(docs: DataFrame, labels: DataFrame, text: str, key: str, options: dict) -> DataFrame:
     """One row of each group in which no row has a key."""
     without = labels.where(F.col("component_id").isNull()).select("fingerprint", "component").distinct()
-    signed = fingerprints(docs.withColumn("_text", F.col(text)), "_text", options.get("shingle", 4))
-    signed = signed.withColumn("_print", F.lower(F.lpad(F.hex("fp"), 16, "0")))
-    return signed.join(without, signed["_print"] == without["fingerprint"]).dropDuplicates(["component"]).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
+    signed = fingerprints(rows, "_text", options.get("shingle", 4)).withColumn("_print", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    return signed.join(without, signed["_print"] == without["fingerprint"]).dropDuplicates(["component"]).select("_row.*")
