@@ -13,13 +13,9 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _remade(name: str | None) -> str | None:
-    for codec in ("cp437", "iso-8859-1"):
-        try:
-            return name.encode(codec).decode("utf8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
-            continue
-    return name
+#: The characters of bytes 128 to 255 in cp437 and in latin1.
+_CP437 = bytes(range(128, 256)).decode("cp437")
+_LATIN1 = bytes(range(128, 256)).decode("latin1")
 
 
 def _recoded(content: bytes | None, fallback: str) -> str | None:
@@ -29,19 +25,7 @@ def _recoded(content: bytes | None, fallback: str) -> str | None:
     for mark, codec in ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
         if content.startswith(mark):
             return content.decode(codec, errors="replace")
-    if fallback != "guess":
-        return content.decode(fallback, errors="replace")
-    try:
-        import charset_normalizer
-    except ImportError:
-        return content.decode("cp1252", errors="replace")
-    best = charset_normalizer.from_bytes(content).best()
-    return content.decode("cp1252", errors="replace") if best is None else str(best)
-
-
-@F.pandas_udf(T.StringType())
-def _remake_names(names: pd.Series) -> pd.Series:
-    return names.map(_remade, na_action="ignore")
+    return content.decode(fallback, errors="replace")
 
 
 @F.pandas_udf(T.StringType())
@@ -57,14 +41,18 @@ def _crc16(contents: pd.Series) -> pd.Series:
 
 
 def fix_mojibake(name: Column) -> Column:
-    """Names read as cp437 or latin1 that are UTF-8; plain ASCII names never leave the JVM."""
-    return F.when(name.rlike(r"[^\x00-\x7F]"), _remake_names(F.when(name.rlike(r"[^\x00-\x7F]"), name))).otherwise(name)
+    """Names read as cp437 or latin1 that are UTF-8; others stay."""
+    odd = name.rlike(r"[^\x00-\x7F]")
+    whole = F.translate(name, _CP437, "").rlike(r"^[\x00-\x7F]*$")
+    box = F.encode(F.when(whole, F.translate(name, _CP437, _LATIN1)), "ISO-8859-1").cast("string")
+    latin = F.encode(F.when(name.rlike(r"^[\x00-\x{FF}]*$"), name), "ISO-8859-1").cast("string")
+    return F.when(odd & F.is_valid_utf8(box), box).when(odd & F.is_valid_utf8(latin), latin).otherwise(name)
 
 
-def to_utf8(content: Column, fallback: str = "guess") -> Column:
+def to_utf8(content: Column, fallback: str = "cp1252") -> Column:
     """Bytes -> text. Valid UTF-8 without a byte-order mark is cast in the JVM; the rest is recoded.
 
-    ``fallback`` names a codec, or ``guess`` to detect one per file.
+    ``fallback`` names the codec of what is neither UTF-8 nor marked.
     """
     plain = F.is_valid_utf8(content.cast("string")) & (F.hex(F.substring(content, 1, 3)) != "EFBBBF")
     odd = _recode(F.when(~plain, content), F.lit(fallback))

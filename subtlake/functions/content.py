@@ -36,25 +36,24 @@ def detect_format(text: Column, declared: Column) -> Column:
 def parse_integrity(nfo: Column) -> Column:
     """Integrity text -> struct(members array<name57,size,md5>, format).
 
-    A record closes at its MD5 line; the first Format line counts.
+    A record is what stands up to its MD5 line, so a line that it lacks is null and not the next record's; the first Format line
+    counts.
     """
-    lines = F.split(nfo, "\n", -1)
-    value = lambda line: F.rtrim(F.substring(line, F.lit(21), F.length(line) - F.lit(22)))
-    rows = lambda label: F.transform(
-        F.filter(lines, lambda line: F.startswith(line, F.lit(f"Û  {label:<15}: "))), value
-    )
+    field = lambda record, label: F.nullif(
+        F.rtrim(F.regexp_extract(record, rf"(?m)^Û  {label} *: (.*).{{2}}$", 1)), F.lit(""))
+    close = r"(?m)^Û  MD5 *: .*$"
+    records = F.arrays_zip(
+        F.slice(F.split(nfo, close, -1), F.lit(1), F.size(F.regexp_extract_all(nfo, F.lit(close), F.lit(0)))).alias("above"),
+        F.regexp_extract_all(nfo, F.lit(close), F.lit(0)).alias("last"))
     members = F.transform(
-        F.arrays_zip(rows("Filename").alias("n"), rows("Size").alias("s"), rows("MD5").alias("m")),
-        lambda m: F.struct(
-            F.regexp_replace(m["n"], "\\x00+$", "").alias("name57"),
-            F.regexp_extract(m["s"], r"^(\d+) bytes$", 1).try_cast("long").alias("size"),
-            F.lower(m["m"]).alias("md5"),
+        records,
+        lambda r: F.struct(
+            F.regexp_replace(field(r["above"], "Filename"), "\\x00+$", "").alias("name57"),
+            F.regexp_extract(field(r["above"], "Size"), r"^(\d+) bytes$", 1).try_cast("long").alias("size"),
+            F.lower(field(r["last"], "MD5")).alias("md5"),
         ),
     )
-    return F.struct(
-        F.filter(members, lambda m: m["md5"].isNotNull()).alias("members"),
-        F.lower(F.try_element_at(rows("Format"), F.lit(1))).alias("format"),
-    )
+    return F.struct(members.alias("members"), F.lower(field(nfo, "Format")).alias("format"))
 
 
 def same_format(left: Column, right: Column) -> Column:

@@ -39,12 +39,13 @@ def shard_file(shard: Column) -> Column:
 
 
 def shard_path(shard: Column) -> Column:
-    """123456 -> 12/34/56xxx.db; null outside 0..999999"""
+    """987654 -> 98/76/54xxx.db; a shard outside 0..999999 ends the job, a null one is null."""
     padded = F.lpad(shard.cast("string"), 6, "0")
     tree = F.concat(
         padded.substr(1, 2), F.lit("/"), padded.substr(3, 2), F.lit("/"), padded.substr(5, 2), F.lit("xxx.db")
     )
-    return F.when((shard >= 0) & (shard < 1_000_000), tree)
+    beyond = F.raise_error(F.concat(F.lit("no path for shard "), shard.cast("string"))).cast("string")
+    return F.when((shard >= 0) & (shard < 1_000_000), tree).when(shard.isNotNull(), beyond)
 
 
 def pad_num(num: Column, width: int = 8) -> Column:

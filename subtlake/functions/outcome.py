@@ -18,7 +18,7 @@ def classify_outcome(status: Column, content_type: Column, body: Column) -> Colu
     kind = F.coalesce(content_type, F.lit(""))
     page = (status != 200) | F.startswith(kind, F.lit("text/html"))
     refused = status.isin(422, 403, 503)
-    rules = F.when(status.isin(503, 520) & (text != ""), F.lit("wait"))
+    rules = F.when(status.isin(503, 520), F.lit("wait"))
     for phrase, outcome in PAGE_PHRASES:
         rules = rules.when(page & F.contains(text, F.lit(phrase)), F.lit(outcome))
     rules = (

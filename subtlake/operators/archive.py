@@ -148,7 +148,7 @@ def drop_equal_content(members: DataFrame, num: str = "num", path: str = "path",
     return members.join(kept, [num, order], "left_semi")
 
 
-def repair_members(members: DataFrame, meta: DataFrame, num: str = "num", fallback: str = "guess") -> DataFrame:
+def repair_members(members: DataFrame, meta: DataFrame, num: str = "num", fallback: str = "cp1252") -> DataFrame:
     """Members with repaired names and UTF-8 text: (num, ord, path, new_path, text, format, name_len).
 
     Names: encoding, quotes, extension by content, id prefix, duplicates, byte limit. ``.nfo`` members and

@@ -123,11 +123,11 @@ def fetch_content(hits: DataFrame, blobs: DataFrame, num: str = "num") -> DataFr
     return salted_join(hits, blobs, num)
 
 
-def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int = 500) -> DataFrame:
+def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int | None = None) -> DataFrame:
     """Hits of a table of queries (query_id, type, title, year, season, episode, langs array).
 
     Movies match on words, language and the year where the query has one; episodes on words, season,
-    episode and language. Only single-part rows of the query's kind count.
+    episode and language. Only single-part rows of the query's kind count. ``limit`` keeps that many per query.
     """
     single = meta.where(F.col("SubSumCD") == 1)
     fields = ["MovieYear", "ISO639", "MovieKind", "SeriesSeason", "SeriesEpisode"]
@@ -144,11 +144,12 @@ def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int = 500) -> DataFr
     offered = hits.select("asked", "IDSubtitle", "ISO639", F.explode(offers).alias("want"))
     wanted = asked.select("query_id", "asked", wants.alias("want"), langs.alias("ISO639"))
     found = offered.join(wanted, ["asked", "ISO639", "want"])
-    return limit_per_query(found.select("query_id", "IDSubtitle", "ISO639"), "IDSubtitle", limit)
+    found = found.select("query_id", "IDSubtitle", "ISO639")
+    return found if limit is None else limit_per_query(found, "IDSubtitle", limit)
 
 
 def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: list[dict],
-           template: str = "$video_base.$num0.$lang.$ext", limit: int = 500) -> DataFrame:
+           template: str = "$video_base.$num0.$lang.$ext", limit: int | None = None) -> DataFrame:
     """Queries to subtitle files: (query_id, num, provider, path, content).
 
     The first member of each archive that is no ``.nfo`` is the answer. ``queries`` also has ``video_base``.
@@ -157,7 +158,7 @@ def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: lis
         "query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang")
     )
     routed = route_to_provider(hits.withColumn("lang3", three_letter(F.col("lang"))), providers, "num", "lang3")
-    # at most ``limit`` rows per query, used twice below: kept by a checkpoint instead of searched twice
+    # used twice below: kept by a checkpoint instead of searched twice
     wanted = checkpointed(routed.where(F.col("provider").isNotNull()))
     archives = blobs.join(wanted.select("num").distinct(), "num", "left_semi")
     members = unpack_archives(archives).where(~F.col("broken") & (extension(F.col("path")) != ".nfo"))

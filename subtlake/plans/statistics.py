@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.functions.dates import date_text
-from subtlake.functions.listing import LISTING_ROW, captures
+from subtlake.functions.listing import captures
 from subtlake.operators import stats
 from subtlake.operators.sequences import bucket_bounds as bounds
 from subtlake.plans.registry import query, table

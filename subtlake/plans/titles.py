@@ -106,7 +106,7 @@ def limit_per_query(spark, sf):
 
 @query(_META + "SELECT query_id, num, lang FROM ranked WHERE rn <= 500")
 def lookup_batch(spark, sf):
-    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf))
+    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf), 500)
     return hits.select("query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang"))
 
 
@@ -135,7 +135,7 @@ def lookup(spark, sf):
         member("dir/Title.txt", F.concat_ws(" ", "p_name", "p_brand")), member("dir/other.srt", F.lit("other")),
     )
     blobs = archive.pack_archives(table(spark, sf, "part"), "p_partkey", members)
-    found = search.lookup(part_meta(spark, sf), blobs, part_queries(spark, sf), _PROVIDERS)
+    found = search.lookup(part_meta(spark, sf), blobs, part_queries(spark, sf), _PROVIDERS, limit=500)
     return found.withColumn("content", F.col("content").cast("string"))
 
 

@@ -112,7 +112,10 @@ def validate_columns(df: DataFrame) -> DataFrame:
             raw[name] = F.regexp_replace(joined, r"(?U)^\s+|\s+\z", "")
     reason = F.when(extra < 0, F.lit("fields"))
     for name, pattern in DUMP_PATTERNS.items():
-        reason = reason.when(~raw[name].rlike(rf"(?d)^(?:{pattern})\z"), F.lit(name))
+        fits = raw[name].rlike(rf"(?d)^(?:{pattern})\z")
+        if name in INTEGER_COLUMNS:  # digits that no long holds
+            fits = fits & ((raw[name] == "") | raw[name].try_cast("long").isNotNull())
+        reason = reason.when(~fits, F.lit(name))
     kept = [c for c in df.columns if c not in ("fields",)]
     return df.select(*kept, "fields", *[_parsed(n, raw[n]).alias(n) for n in DUMP_COLUMNS], reason.alias("reason"))
 
