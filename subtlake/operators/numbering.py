@@ -17,10 +17,6 @@ from pyspark.sql.window import WindowSpec
 from subtlake.functions.ids import bucket_of
 from subtlake.session import checkpointed, shuffle_partitions
 
-# a group up to this size is numbered by one ordinary window
-PLAIN_GROUP_ROWS = 2_000_000
-
-
 def number_by_id(df: DataFrame, keys: list[str], num: str, out: str = "rn", bucket: int = 100_000) -> DataFrame:
     """1-based position of each row in its group by ascending id. One shuffle of the rows, by group and bucket."""
     group = F.struct(*keys) if keys else F.lit(0)
@@ -38,20 +34,12 @@ def number_by_id(df: DataFrame, keys: list[str], num: str, out: str = "rn", buck
     )
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if keys else df.agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
-def number_rows(
-    df: DataFrame, keys: list[str], order: list[Column], out: str = "rn", plain_rows: int = PLAIN_GROUP_ROWS,
-    bounded: bool = False,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[Column], out: str = "rn", bounded: bool = False) -> DataFrame:
     """1-based position of each row in its group by any total order.
 
-    ``bounded`` says that groups are small by nature, so their size need not be counted first.
+    ``bounded`` says that groups are small by nature (each came from one row), so one window per group will do.
     """
-    if bounded or largest_group(df, keys) <= plain_rows:
+    if bounded:
         return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
     ranged = df.repartitionByRange(shuffle_partitions(df), *[F.col(k) for k in keys], *order)
     parts = checkpointed(
@@ -77,20 +65,16 @@ def rolling(
     order: list[Column],
     columns: Callable[[Callable[[int], WindowSpec]], dict[str, Column]],
     longest: int,
-    plain_rows: int = PLAIN_GROUP_ROWS,
     block: int = 100_000,
 ) -> DataFrame:
     """Columns over frames of the last n rows (n <= ``longest``) of each group.
 
-    ``columns`` receives ``last(n) -> WindowSpec``. A group too large for one window is cut into blocks
-    of ``block`` rows; each block also receives the ``longest - 1`` rows before it, so frames stay whole.
+    ``columns`` receives ``last(n) -> WindowSpec``. Groups are cut into blocks of ``block`` rows; each block also
+    receives the ``longest - 1`` rows before it, so frames stay whole.
     """
-    if largest_group(df, keys) <= plain_rows:
-        spec = W.partitionBy(*keys).orderBy(*order)
-        return df.withColumns(columns(lambda n: spec.rowsBetween(-(n - 1), 0)))
     if longest > block:
         raise ValueError("longest frame exceeds the block size")
-    numbered = number_rows(df, keys, order, "_rn", plain_rows)
+    numbered = number_rows(df, keys, order, "_rn")
     own = F.floor((F.col("_rn") - 1) / F.lit(block)).cast("long")
     late = (F.col("_rn") - 1) % block >= block - (longest - 1)
     blocks = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from subtlake.functions.ids import bucket_of, pad_num
+from subtlake.functions.ids import pad_num
 from subtlake.functions.names import extension, fix_download_extension, render_path
 from subtlake.functions.text import fts_tokens, phrase_text
 from subtlake.operators.archive import unpack_archives
@@ -30,20 +30,17 @@ def _word_sets(queries: DataFrame, text: str) -> DataFrame:
     return queries.withColumn("asked", words).where(F.size("asked") > 0)
 
 
-def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: list[str],
-              small_queries: int = 50_000) -> DataFrame:
+def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: list[str]) -> DataFrame:
     """(asked, num, keep…, words) of titles that hold all words of a set. Equal sets are searched once.
 
     Joining on the rarest word of a set only keeps frequent words (in a third of all titles) out of the join;
-    the other words are tested on the row. There is one such word per set, so the small sides are broadcast when
-    the sets are few, and shuffled otherwise.
+    the other words are tested on the row. Rows of a word that is in very many titles and still the rarest of a set
+    are spread by the counts at hand.
     """
     sets = asked.select("asked").distinct()
-    few = sets.limit(small_queries + 1).count() <= small_queries
-    hint = F.broadcast if few else (lambda df: df)
     each = sets.select("asked", F.explode("asked").alias("token"))
     tokens = titles.select(F.explode(F.array_distinct(fts_tokens(F.col(title)))).alias("token"))
-    frequency = tokens.join(hint(each.select("token").distinct()), "token", "left_semi").groupBy("token").agg(
+    frequency = tokens.join(each.select("token").distinct(), "token", "left_semi").groupBy("token").agg(
         F.count(F.lit(1)).alias("freq")
     )
     rarest = (
@@ -53,7 +50,8 @@ def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: l
     )
     rows = titles.select(num, *keep, fts_tokens(F.col(title)).alias("words"))
     keyed = rows.withColumn("token", F.explode(F.array_distinct("words")))
-    return keyed.join(hint(rarest), "token").where(F.size(F.array_except("asked", "words")) == 0).drop("token")
+    counts = frequency.withColumnRenamed("freq", "n")
+    return salted_join(keyed, rarest, "token", counts=counts).where(F.size(F.array_except("asked", "words")) == 0).drop("token")
 
 
 def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
@@ -77,45 +75,30 @@ def limit_per_query(hits: DataFrame, num: str, n: int = 500) -> DataFrame:
     return hits.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def route_to_provider(ids: DataFrame, providers: list[dict], num: str = "num", lang: str | None = None,
-                      bucket: int = 100_000, small_buckets: int = 50_000) -> DataFrame:
+def route_to_provider(ids: DataFrame, providers: list[dict], num: str = "num", lang: str | None = None) -> DataFrame:
     """Adds ``provider``: the first provider whose id range and language cover the row; null when none does.
 
     ``providers`` are in order of preference, disabled ones left out; a range end that is missing or 0 makes
-    the range open. Bounded ranges are cut at id buckets and joined by bucket, each bucket carrying its few
-    providers as an array, so no row is matched against the whole list.
+    the range open. The ends of all ranges cut the ids into segments, at most two more per provider. A row
+    finds its segment by them, and the providers of the segment by a join with that table, which is as small
+    as the registry. A null id has no provider.
     """
-    spark = ids.sparkSession
-    schema = "ord int, id string, num_from long, num_to long, lang string"
-    entries = [
-        (i, p["id"], int(p.get("num_range_from") or 0), int(p.get("num_range_to") or 0), p.get("lang", "*"))
-        for i, p in enumerate(providers) if p.get("enabled") is not False
+    entries = []
+    for i, p in enumerate(providers):
+        low, high = int(p.get("num_range_from") or 0), int(p.get("num_range_to") or 0)
+        if p.get("enabled") is not False:
+            entries.append((i, p["id"], p.get("lang", "*"), *((low, high) if low and high else (None, None))))
+    cuts = sorted({low for *_, low, _ in entries if low is not None} | {high + 1 for *_, high in entries if high is not None})
+    covers = lambda e, at: e[3] is None or (at is not None and e[3] <= at <= e[4])
+    segments = [
+        (i, [(e[0], e[1], e[2]) for e in entries if covers(e, cuts[i - 1] if i else None)]) for i in range(len(cuts) + 1)
     ]
-    is_open = lambda e: e[2] == 0 or e[3] == 0
-    bounded = spark.createDataFrame([e for e in entries if not is_open(e)], schema)
-    by_bucket = (
-        bounded.withColumn(
-            "_b", F.explode(F.sequence(bucket_of(F.col("num_from"), bucket), bucket_of(F.col("num_to"), bucket)))
-        )
-        .groupBy("_b").agg(F.collect_list(F.struct("ord", "id", "num_from", "num_to", "lang")).alias("_near"))
-    )
-    entry = lambda e: F.struct(
-        F.lit(e[0]).alias("ord"), F.lit(e[1]).alias("id"), F.lit(0).cast("long").alias("num_from"),
-        F.lit(2**62).alias("num_to"), F.lit(e[4]).alias("lang"),
-    )
-    empty = F.array().cast("array<struct<ord:int,id:string,num_from:bigint,num_to:bigint,lang:string>>")
-    anywhere = F.concat(empty, *[F.array(entry(e)) for e in entries if is_open(e)])
-    speaks = lambda p: F.lit(True) if lang is None else (p["lang"] == "*") | (p["lang"] == F.col(lang))
-    rows = ids.withColumn("_b", bucket_of(F.col(num), bucket))
-    if by_bucket.limit(small_buckets + 1).count() <= small_buckets:
-        joined = rows.join(F.broadcast(by_bucket), "_b", "left")
-    else:
-        joined = salted_join(rows, by_bucket, "_b", "left")
-    covering = F.filter(
-        F.concat(F.coalesce("_near", empty), anywhere),
-        lambda p: F.col(num).between(p["num_from"], p["num_to"]) & speaks(p),
-    )
-    return joined.withColumn("provider", F.array_min(covering)["id"]).drop("_b", "_near")
+    table = ids.sparkSession.createDataFrame(segments, "_segment int, _near array<struct<ord:int,id:string,lang:string>>")
+    below = F.filter(F.lit(cuts), lambda c: c <= F.col(num)) if cuts else F.array()
+    rows = ids.withColumn("_segment", F.when(F.col(num).isNotNull(), F.size(below)))
+    near = F.col("_near") if lang is None else F.filter("_near", lambda p: (p["lang"] == "*") | (p["lang"] == F.col(lang)))
+    joined = rows.join(F.broadcast(table), "_segment", "left")
+    return joined.withColumn("provider", F.array_min(near)["id"]).drop("_segment", "_near")
 
 
 def fetch_content(hits: DataFrame, blobs: DataFrame, num: str = "num") -> DataFrame:

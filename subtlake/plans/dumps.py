@@ -20,21 +20,25 @@ from subtlake.sources.tables import read_id_list, read_title_basics, read_title_
 
 def write_dump(spark, sf) -> str:
     """Orders as a metadata dump: status P has a line break in its release name, F a tab and an empty year, O an
-    old line end; priority 1 of status P has a bad last column, priority 2 of status F a bad first one."""
+    old line end. Damaged, by status and priority: P1 the kind, F2 the language, O1 an overlong number, O2 the address,
+    O3 the id, O5 a field lost. Good rows and other damaged ones follow."""
     path = scratch_path(spark, "dump")
     orders = table(spark, sf, "orders")
     status, key = F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
+    damaged = lambda s, p: (status == s) & F.startswith("o_orderpriority", F.lit(p))
     release = (
         F.when(status == "P", F.concat(F.lit("Some.Release\nsecond line "), key))
         .when(status == "F", F.concat(F.lit("Some\tRelease "), key)).otherwise(F.concat(F.lit("Some.Release.x\rmore "), key))
     )
-    kind = F.when((status == "P") & (F.col("o_orderpriority") == "1-URGENT"), "radio").otherwise("movie")
-    lang = F.when((status == "F") & (F.col("o_orderpriority") == "2-HIGH"), "EN").otherwise("en")
+    kind = F.when(damaged("P", "1"), "radio").otherwise("movie")
+    lang = F.when(damaged("F", "2"), "EN").otherwise("en")
+    number = F.concat(F.when(damaged("O", "1"), "9" * 20).otherwise(""), F.lit("202222222222"), F.lpad("o_custkey", 5, "0"))
+    page = F.when(damaged("O", "2"), "bad-address/").otherwise(DETAIL_PAGE)
     fields = [
-        key, F.concat(F.lit("It's "), "o_orderpriority"), F.when(status == "F", "").otherwise(F.year("o_orderdate").cast("string")),
-        F.lit("English"), lang, date_text(F.col("o_orderdate")), F.concat(F.lit("202222222222"), F.lpad("o_custkey", 5, "0")),
-        F.lit("srt"), F.lit("1"), release, F.lit("23.976"), F.lit(""), F.lit(""), F.lit(""), kind,
-        F.concat(F.lit(DETAIL_PAGE), key, F.lit("/it-s")),
+        F.concat(F.when(damaged("O", "3"), "x").otherwise(""), key), F.concat(F.lit("It's "), "o_orderpriority"),
+        F.when(status == "F", "").otherwise(F.year("o_orderdate").cast("string")), F.lit("English"), lang,
+        date_text(F.col("o_orderdate")), number, F.when(~damaged("O", "5"), "srt"), F.lit("1"), release, F.lit("23.976"),
+        F.lit(""), F.lit(""), F.lit(""), kind, F.concat(page, key, F.lit("/it-s")),
     ]
     # each part file starts with the header
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
@@ -45,7 +49,8 @@ def write_dump(spark, sf) -> str:
     return path
 
 
-_BAD = """(o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') OR (o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')"""
+_REASON = """CASE o_orderstatus || substr(o_orderpriority, 1, 1) WHEN 'P1' THEN 'MovieKind' WHEN 'F2' THEN 'ISO639' WHEN 'O1' THEN 'ImdbID'
+  WHEN 'O2' THEN 'URL' WHEN 'O3' THEN 'IDSubtitle' WHEN 'O5' THEN 'fields' END"""
 
 
 @query(f"""
@@ -56,7 +61,7 @@ SELECT o_orderkey AS IDSubtitle, 'It''s ' || o_orderpriority AS MovieName,
   CASE o_orderstatus WHEN 'P' THEN 'Some.Release' || chr(10) || 'second line ' || o_orderkey
     WHEN 'F' THEN 'Some' || chr(9) || 'Release ' || o_orderkey ELSE 'Some.Release.x' || chr(10) || 'more ' || o_orderkey END
     AS MovieReleaseName, CAST(0 AS BIGINT) AS SeriesSeason, CAST(23.976 AS DOUBLE) AS MovieFPS
-FROM orders WHERE NOT ({_BAD})""")
+FROM orders WHERE {_REASON} IS NULL""")
 def dump_parse(spark, sf):
     good, _ = dump.split_valid(dump.read_dump(spark, write_dump(spark, sf)))
     return good.select(
@@ -65,8 +70,7 @@ def dump_parse(spark, sf):
 
 
 @query(f"""
-SELECT CASE WHEN o_orderstatus = 'P' THEN 'MovieKind' ELSE 'ISO639' END AS reason, count(*) AS n FROM orders WHERE {_BAD}
-GROUP BY 1""")
+SELECT {_REASON} AS reason, count(*) AS n FROM orders WHERE {_REASON} IS NOT NULL GROUP BY 1""")
 def quarantine(spark, sf):
     _, bad = dump.split_valid(dump.read_dump(spark, write_dump(spark, sf)))
     path = scratch_path(spark, "quarantine")
@@ -76,7 +80,7 @@ def quarantine(spark, sf):
 
 @query(f"""
 SELECT o_orderkey AS IDSubtitle, 'It''s ' || o_orderpriority AS MovieName, 'Its ' || o_orderpriority AS _MovieNameClean,
-  CASE WHEN o_orderstatus = 'F' THEN 0 ELSE year(o_orderdate) END AS MovieYear, 'en' AS ISO639 FROM orders WHERE NOT ({_BAD})""")
+  CASE WHEN o_orderstatus = 'F' THEN 0 ELSE year(o_orderdate) END AS MovieYear, 'en' AS ISO639 FROM orders WHERE {_REASON} IS NULL""")
 def metadata_refresh(spark, sf):
     """Dump to stored table: read, check, project, keep the last row per id, publish a snapshot, read it."""
     path = write_dump(spark, sf)

@@ -146,7 +146,7 @@ SELECT o_orderkey AS num, CASE WHEN o_orderkey BETWEEN 1 AND 900 AND o_orderstat
 def route_to_provider(spark, sf):
     lang = F.when(F.col("o_orderstatus") == "P", "ger").otherwise("eng")
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("num"), lang.alias("lang"))
-    return search.route_to_provider(ids, _PROVIDERS, "num", "lang", 1000).select("num", "provider")
+    return search.route_to_provider(ids, _PROVIDERS, "num", "lang").select("num", "provider")
 
 
 @query("""

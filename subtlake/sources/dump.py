@@ -20,64 +20,86 @@ DUMP_SCHEMA = T.StructType(
 _FIELDS = len(DUMP_COLUMNS)
 _FREE = DUMP_COLUMNS.index(FREE_COLUMN)
 _STRETCH = 50_000
-
-
-def read_dump_rows(spark: SparkSession, path: str, max_lines: int = 1000) -> DataFrame:
-    """Logical rows: (file, row_id, row), numbered per file.
-
-    A row ends at the line whose last field is a detail-page address. Lines are assigned to rows by counting
-    row ends, first per stretch of lines, then before each line inside its stretch; so neither a large file
-    nor an unsplittable gzip file is ordered as a whole. A "row" of more than ``max_lines`` lines has lost its
-    end: its lines come out one by one, to be rejected.
+_STRETCHES = 4
+_HEADER = "\t".join(DUMP_COLUMNS)
+_TIME = DUMP_COLUMNS.index("SubAddDate")
+# a field more or less before the time column still makes a start: the row is judged later
+_START = rf"^(?:[^\t]*\t){{{_TIME - 1},{_TIME + 1}}}{DUMP_PATTERNS['SubAddDate']}\t"
+_END = rf"\t{DETAIL_PAGE}\d+/[^\t]*\z"
+
+
+def read_dump_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Logical rows: (file, row_id, row), in ascending ``row_id`` per file; headers are left out.
+
+    A row starts at a line that carries the time column in its place, and ends at the line whose last field is a
+    detail-page address. A line opens a new row if it is a start or follows an end, so a row that has lost its
+    end does not reach into the next one. Starts and ends are counted first per stretch of lines, then inside
+    each stretch; so neither a large file nor an unsplittable gzip file is ordered as a whole. A row with
+    start and end is put together however long it is. What lacks one of them comes out in pieces of at most four
+    stretches, lines that belong to no row one by one, all to be rejected. The first line of every file must be the header.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"), F.col("value"),
+        F.monotonically_increasing_id().alias("pos"),
+        # old line ends: \r\n loses its \r, a lone \r is a line break of its own
+        F.posexplode(F.split(F.regexp_replace("value", "\r\\z", ""), "\r")).alias("sub", "line"),
     )
-    # old line ends: \r\n loses its \r, a lone \r is a line break of its own
-    unix = F.regexp_replace(F.regexp_replace("value", "\r\\z", ""), "\r", "\n")
-    is_end = F.col("line").rlike(rf"\t{DETAIL_PAGE}\d+/[^\t\n]*\z")
-    marked = (
-        lines.withColumn("line", unix).withColumn("is_end", is_end.cast("int"))
-        .withColumn("stretch", F.floor(F.col("pos").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(_STRETCH)))
+    marked = lines.select(
+        "*", F.col("line").rlike(_START).cast("int").alias("is_start"), F.col("line").rlike(_END).cast("int").alias("is_end"),
+        F.floor(F.col("pos").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(_STRETCH)).alias("stretch"),
     )
     place = ["file", "block", "stretch"]
     earlier = W.partitionBy("file").orderBy("block", "stretch").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        marked.groupBy(*place).agg(F.sum("is_end").alias("ends"))
-        .select(*place, F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("offset"))
+        marked.groupBy(*place).agg(F.sum(F.col("is_start") + F.col("is_end")).alias("marks"))
+        .select(*place, F.coalesce(F.sum("marks").over(earlier), F.lit(0)).alias("offset"),
+                (F.count(F.lit(1)).over(earlier) == 0).alias("opens_file"))
     )
-    before = W.partitionBy(*place).orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*place).orderBy("pos", "sub")
+    ends = F.coalesce(F.sum("is_end").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = F.sum("is_start").over(inside.rowsBetween(W.unboundedPreceding, 0))
     numbered = (
-        marked.withColumn("inside", F.coalesce(F.sum("is_end").over(before), F.lit(0)))
-        .join(offsets, place).withColumn("row_id", F.col("offset") + F.col("inside"))
-        .withColumn("lines", F.count(F.lit(1)).over(W.partitionBy("file", "row_id")))
-        .withColumn("single", F.when(F.col("lines") > max_lines, F.struct("block", "pos")))
+        marked.withColumn("inside", ends + starts).withColumn("nth", F.row_number().over(inside)).join(offsets, place)
+        .withColumn("row_id", F.col("offset") + F.col("inside"))
     )
-    assembled = F.sort_array(F.collect_list(F.struct("block", "pos", "line")))
+    wrong = F.raise_error(F.concat(F.lit("unexpected first line of "), "file")).cast("boolean")
+    is_header = F.when(F.col("line") == _HEADER, True).otherwise(wrong)
+    body = numbered.where(F.when(F.col("opens_file") & (F.col("nth") == 1), ~is_header).otherwise(True))
+    pieces = body.groupBy("file", "row_id", "block", "stretch").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "sub", "line"))).alias("l"),
+        F.max("is_start").alias("is_start"), F.max("is_end").alias("is_end"),
+    )
+    row = W.partitionBy("file", "row_id")
+    starts_well, ends_well = F.max("is_start").over(row) == 1, F.max("is_end").over(row) == 1
+    single = F.transform("l", lambda x: x["line"])
+    texts = F.when(starts_well | ends_well, F.array(F.array_join(single, "\n"))).otherwise(single)
+    # of a row that lacks its start or end, a few stretches at a time; of lines that belong to no row, each one
+    some = F.floor((F.row_number().over(row.orderBy("block", "stretch")) - 1) / _STRETCHES)
+    parts = pieces.select(
+        "file", "row_id", F.struct("block", "stretch").alias("place"), texts.alias("texts"),
+        (starts_well & ends_well).alias("complete"), (starts_well | ends_well).alias("marked"), some.alias("some"),
+    ).select("*", F.posexplode("texts").alias("nth", "text"))
+    loose = F.when(~F.col("complete"), F.struct(F.when(F.col("marked"), F.col("some")).alias("some"),
+                                                F.when(~F.col("marked"), F.struct("place", "nth")).alias("line")))
     return (
-        numbered.groupBy("file", "row_id", "single").agg(assembled.alias("l"))
-        .select("file", "row_id", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("row"))
+        parts.groupBy("file", "row_id", loose.alias("loose"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("t"))
+        .select("file", "row_id", F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("row"))
     )
 
 
 def check_header(spark: SparkSession, path: str) -> None:
-    """The first line of a dump must be the column names; anything else ends the read."""
+    """An early look at one file: its first line must be the column names. The plan checks every file."""
     first = spark.read.text(path).first()
     found = first[0].rstrip("\r") if first else None
-    if found != "\t".join(DUMP_COLUMNS):
+    if found != _HEADER:
         raise ValueError(f"unexpected first line of {path}: {found!r}")
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """(file, row_id, fields): fields of each logical row, the header left out."""
+    """(file, row_id, fields): fields of each logical row, the headers left out. A wrong header ends the read."""
     check_header(spark, path)
-    # the header is the first line of the first row of each file
-    header = "^" + "\t".join(DUMP_COLUMNS) + "\n"
-    rows = read_dump_rows(spark, path).withColumn(
-        "row", F.when(F.col("row_id") == 0, F.regexp_replace("row", header, "")).otherwise(F.col("row"))
-    )
-    return split_fields(rows)
+    return split_fields(read_dump_rows(spark, path))
 
 
 def split_fields(rows: DataFrame) -> DataFrame:
@@ -97,7 +119,8 @@ def _parsed(name: str, raw: Column) -> Column:
 def validate_columns(df: DataFrame) -> DataFrame:
     """Typed columns plus ``reason``: null for a good row, else the first column that does not fit.
 
-    Surplus fields belong to the free-text column. Rows with too few fields have reason ``fields``.
+    Surplus fields belong to the free-text column. Rows with too few fields have reason ``fields``. A row of several
+    lines whose address names another id than the row has reason ``URL``.
     """
     size = F.size("fields")
     extra = size - _FIELDS
@@ -116,6 +139,10 @@ def validate_columns(df: DataFrame) -> DataFrame:
         if name in INTEGER_COLUMNS:  # digits that no long holds
             fits = fits & ((raw[name] == "") | raw[name].try_cast("long").isNotNull())
         reason = reason.when(~fits, F.lit(name))
+    # lines of two rows run together, when the first lost its end and the second its start
+    address_id = F.regexp_extract(raw["URL"], rf"^{DETAIL_PAGE}(\d+)/", 1).try_cast("long")
+    joined_rows = F.contains(raw[FREE_COLUMN], F.lit("\n")) & ~address_id.eqNullSafe(raw["IDSubtitle"].try_cast("long"))
+    reason = reason.when(joined_rows, F.lit("URL"))
     kept = [c for c in df.columns if c not in ("fields",)]
     return df.select(*kept, "fields", *[_parsed(n, raw[n]).alias(n) for n in DUMP_COLUMNS], reason.alias("reason"))
 

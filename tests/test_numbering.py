@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,10 +32,11 @@ def test_number_by_id(spark):
 def test_number_rows_split_groups(spark):
     df = hot_rows(spark)
     order = [F.col("t").desc(), F.col("id")]
-    plain = {r.id: r.n for r in number_rows(df, ["k"], order, "n").collect()}
-    split = {r.id: r.n for r in number_rows(df, ["k"], order, "n", plain_rows=10).collect()}
+    plain = {r.id: r.n for r in df.withColumn("n", F.row_number().over(W.partitionBy("k").orderBy(*order))).collect()}
+    split = {r.id: r.n for r in number_rows(df, ["k"], order, "n").collect()}
     assert len(plain) == 3000 and split == plain
-    whole = {r.id: r.n for r in number_rows(df, [], [F.col("id")], "n", plain_rows=10).collect()}
+    assert plain == {r.id: r.n for r in number_rows(df, ["k"], order, "n", bounded=True).collect()}
+    whole = {r.id: r.n for r in number_rows(df, [], [F.col("id")], "n").collect()}
     assert all(n == i + 1 for i, n in whole.items())
 
 
@@ -45,9 +47,13 @@ def test_rolling_blocks(spark):
         return {"s": F.sum("v").over(last(9)), "m": F.max("v").over(last(30)), "n": F.count(F.lit(1)).over(last(30))}
 
     order = [F.col("t"), F.col("id")]
-    plain = {r.id: (r.s, r.m, r.n) for r in rolling(df, ["w"], order, columns, 30).collect()}
-    split = {r.id: (r.s, r.m, r.n) for r in rolling(df, ["w"], order, columns, 30, plain_rows=10, block=40).collect()}
-    assert len(plain) == 3000 and split == plain
+    spec = W.partitionBy("w").orderBy(*order)
+    plain = {r.id: (r.s, r.m, r.n) for r in df.withColumns(columns(lambda n: spec.rowsBetween(1 - n, 0))).collect()}
+    for block in (40, 100_000):
+        split = {r.id: (r.s, r.m, r.n) for r in rolling(df, ["w"], order, columns, 30, block=block).collect()}
+        assert len(plain) == 3000 and split == plain
+    with pytest.raises(ValueError):
+        rolling(df, ["w"], order, columns, 30, block=29)
 
 
 def test_fetch_windows_brute_force(spark):

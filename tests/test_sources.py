@@ -76,6 +76,35 @@ def test_dump_header(spark, tmp_path):
         dump.read_dump(spark, str(tmp_path / "bad.tsv"))
 
 
+def test_dump_header_of_every_file(spark, tmp_path):
+    folder = tmp_path / "headers"
+    folder.mkdir()
+    write(folder / "a.tsv", "\t".join(DUMP_COLUMNS) + "\n" + row(1) + "\n")
+    write(folder / "b.tsv", "a\tb\n" + row(2) + "\n")
+    with pytest.raises(Exception, match="unexpected first line"):
+        dump.split_valid(dump.read_dump(spark, str(folder)))[0].collect()
+
+
+@pytest.mark.parametrize("block", ["128m", "90b"])
+def test_dump_damage_stays_in_its_row(spark, tmp_path, block, monkeypatch):
+    """A row without its address, one without its time, both in sequence, and a very long good row."""
+    monkeypatch.setattr(dump, "_STRETCH", 7)
+    no_end = lambda n: row(n, release="a\nb").replace(DETAIL_PAGE, "bad/")
+    no_start = lambda n: row(n).replace("2006-11-19", "never")
+    long = "\n".join(f"line {i}" for i in range(60))
+    rows = [no_end(1), row(2), no_start(3), row(4), no_end(5), no_start(6), row(7, release=long), row(8) + "\r" + row(9)]
+    write(tmp_path / "d.tsv", "\t".join(DUMP_COLUMNS) + "\n" + "\n".join(rows) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        good, bad = dump.split_valid(dump.read_dump(spark, str(tmp_path / "d.tsv")))
+        kept, reasons = {r.IDSubtitle: r for r in good.collect()}, {r.row.split("\t")[0]: r.reason for r in bad.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(kept) == [2, 4, 7, 8, 9] and kept[7].MovieReleaseName == long
+    assert reasons == {"1": "URL", "3": "SubAddDate", "5": "URL"}
+
+
 def test_inbox_folder_and_stream(spark, tmp_path):
     names = {"1.x.zip": "archive", "2.zip": "archive", "3.not-found": "not_found", "4.not-found-dmca": "takedown", "5.dmca": "takedown",
              "6.dcma": "takedown", "7.html": "html", "7.2.html": "html", "8.zip.broken": "broken", "9.unknown": "unknown",
@@ -154,7 +183,7 @@ def test_providers(spark, tmp_path):
     langs = providers.expand_provider({"id": "l", "db_path_format": "/langs/{lang}.db"}, ["l/ger.db", "l/eng.db"])
     assert {(p["id"], p["lang"]) for p in langs} == {("l/lang-ger", "ger"), ("l/lang-eng", "eng")}
     routed = spark.createDataFrame([(12, "ger"), (16, "eng"), (16, "ger"), (40, "ger"), (40, "eng"), (1500, "ger"), (31, "ger")], "num long, lang string")
-    got = search.route_to_provider(routed, registry[:2] + shards + registry[3:], "num", "lang", 7)
+    got = search.route_to_provider(routed, registry[:2] + shards + registry[3:], "num", "lang")
     assert {(r.num, r.lang): r.provider for r in got.collect()} == {
         (12, "ger"): "a", (16, "eng"): "b", (16, "ger"): "a", (40, "ger"): None, (40, "eng"): "open",
         (1500, "ger"): "multi/shard-1", (31, "ger"): None}

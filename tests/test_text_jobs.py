@@ -107,7 +107,7 @@ def test_duplicate_forms_agree(spark):
     a = sorted(r.ord for r in archive.drop_equal_content(df).collect())
     b = sorted(r.ord for r in archive.drop_equal_content(df, bounded=False).collect())
     assert a == b and len(a) == len({(r[0], r[1], bytes(r[3])) for r in rows})
-    split = archive.number_duplicates(df, bounded=False, plain_rows=2)
+    split = archive.number_duplicates(df, bounded=False)
     assert {r.ord: r.new_path for r in split.collect()} == {r.ord: r.new_path for r in archive.number_duplicates(df).collect()}
 
 
