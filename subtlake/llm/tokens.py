@@ -28,7 +28,7 @@ PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches by bytes, so that long texts do not pile up in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
