@@ -102,8 +102,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", keys: tuple[str, ...] =
                 which = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(first, sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(edges[which].view(np.int64)),
                                                  mask=pa.array(~opened))
-                taken = part.take(pa.array(row))
-                columns = [taken.column(f.name) for f in fields] + [taken.column("h")]
+                # ids only: a long text has thousands of pieces and must not be repeated for each
+                taken = part.select([*[f.name for f in fields], "h"]).take(pa.array(row))
+                columns = taken.columns
                 columns += [pa.array((first - words.first[row]).astype(np.int32)), pa.array(count.astype(np.int32)),
                             pa.array(anchored.view(np.int64)), pa.array(digests.view(np.int64)), lists]
                 yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in fields], "h", "first", "windows", "anchor", "digest", "edges"])
