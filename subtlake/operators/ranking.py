@@ -23,7 +23,7 @@ def last_row(df: DataFrame, num: str, columns: list[str]) -> DataFrame:
 
 def sample_rows(df: DataFrame, num: str, n: int, seed: int = 42) -> DataFrame:
     """Repeatable sample of ``n`` ids."""
-    return df.select(num).orderBy(F.xxhash64(num, F.lit(seed)), num).limit(n)
+    return df.select(num).orderBy(F.md5(F.concat_ws(":", F.col(num).cast("string"), F.lit(str(seed)))), num).limit(n)
 
 
 def version_sort(df: DataFrame, name: str) -> DataFrame:

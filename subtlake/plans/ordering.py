@@ -14,9 +14,9 @@ def last_row(spark, sf):
     return ranking.last_row(table(spark, sf, "orders"), "o_orderkey", ["o_orderdate"])
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey || ':7'), o_orderkey LIMIT 1000")
 def sample_rows(spark, sf):
-    return ranking.sample_rows(table(spark, sf, "orders"), "o_orderkey", 1000)
+    return ranking.sample_rows(table(spark, sf, "orders"), "o_orderkey", 1000, seed=7)
 
 
 @query("""
