@@ -18,10 +18,15 @@ from subtlake.operators.numbering import id_lists, number_by_id
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def valid_catalogue_ids(meta: DataFrame, catalogue_id: str, highest: int = MAX_CATALOGUE_ID) -> DataFrame:
+    """Rows whose id is above 0 and not above ``highest``; others are no catalogue ids."""
+    return meta.where((F.col(catalogue_id) > 0) & (F.col(catalogue_id) <= highest))
+
+
 def group_by_catalogue_id(meta: DataFrame, catalogue_id: str, num: str = "num", bucket: int = 100_000,
                           highest: int = MAX_CATALOGUE_ID) -> DataFrame:
-    """(catalogue_id, part, members, group_len, group_name); ids 0 and above ``highest`` are no catalogue ids."""
-    valid = meta.where((F.col(catalogue_id) > 0) & (F.col(catalogue_id) <= highest))
+    """(catalogue_id, part, members, group_len, group_name) of the valid catalogue ids."""
+    valid = valid_catalogue_ids(meta, catalogue_id, highest)
     return id_lists(valid, [catalogue_id], num, bucket=bucket).withColumn(
         "group_name", F.format_string("imdb-%d-len-%d", catalogue_id, "group_len")
     )
@@ -62,6 +67,12 @@ def chunk_by_count(meta: DataFrame, lang: str, num: str = "num", size: int = 100
     )
 
 
+def files_to_pack(files: DataFrame, num: str, size: str, first: int | None = None) -> DataFrame:
+    """Files that are not empty, from the id ``first`` on, where an earlier run ended."""
+    kept = files.where(F.col(size) > 0)
+    return kept if first is None else kept.where(F.col(num) >= first)
+
+
 def _fill(sizes: np.ndarray, limit: float) -> np.ndarray:
     """Pack number of each size: a new pack starts where the running size would reach ``limit``."""
     packs = np.zeros(len(sizes), dtype=np.int64)
@@ -75,10 +86,10 @@ def _fill(sizes: np.ndarray, limit: float) -> np.ndarray:
 
 
 def pack_by_size(files: DataFrame, keys: list[str], num: str, size: str, max_size: int,
-                 tolerance: float = 0.02, release_size: int = 100_000) -> DataFrame:
+                 tolerance: float = 0.02, release_size: int = 100_000, first: int | None = None) -> DataFrame:
     """Sequential fill of packs below ``max_size * (1 - tolerance)`` within each release and key.
 
-    Zero-size files are ignored. A group is one release of one key, so at most ``release_size`` rows of two
+    Empty files and those below the id ``first`` are left out. A group is one release of one key, so at most ``release_size`` rows of two
     numbers; a file over the limit is a pack of its own.
     """
     limit = max_size * (1 - tolerance)
@@ -87,7 +98,7 @@ def pack_by_size(files: DataFrame, keys: list[str], num: str, size: str, max_siz
         frame = frame.sort_values(num, kind="stable").reset_index(drop=True)
         return frame.assign(pack=_fill(frame[size].to_numpy(), limit))
 
-    rows = files.where(F.col(size) > 0).select(
+    rows = files_to_pack(files, num, size, first).select(
         *keys, bucket_of(F.col(num), release_size).alias("release_id"), num, F.col(size).cast("long").alias(size)
     )
     schema = rows.schema.simpleString()[len("struct<"):-1].replace(":", " ") + ", pack bigint"

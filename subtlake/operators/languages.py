@@ -37,5 +37,12 @@ def with_languages(df: DataFrame, code: str) -> DataFrame:
     return df.withColumn("lang2", lang2).withColumn("lang3", lang3)
 
 
-def valid_three_letter(code: Column) -> Column:
-    return code.isin(*LANGUAGE_CODES.values(), "und")
+def undefined_language(df: DataFrame, code: str) -> DataFrame:
+    """Rows without a language code."""
+    return df.where(F.coalesce(F.col(code), F.lit("")) == "")
+
+
+def invalid_languages(df: DataFrame, code: str) -> DataFrame:
+    """(code, ids): codes that lead to no known three-letter code, with their number of rows."""
+    coded = with_languages(df.select(code), code).where(~F.col("lang3").isin(*LANGUAGE_CODES.values(), "und"))
+    return coded.groupBy(code).agg(F.count(F.lit(1)).alias("ids"))

@@ -93,17 +93,17 @@ def id_lists(
 ) -> DataFrame:
     """Group members as lists of bounded length: one row per group and id bucket.
 
-    Columns: keys, ``part`` (id bucket), ``members`` (by ascending id), ``group_len`` (whole group).
-    Ids must be unique within a group, so no list exceeds ``bucket`` entries.
+    Columns: keys, ``part`` (id bucket), ``members`` (by ascending id), ``group_len`` (whole group). An id that a group
+    repeats with the same entry is listed and counted once, so no list exceeds ``bucket`` ids with their entries. Null ids are left out.
     """
     entry = F.col(num) if entry is None else entry
-    rows = df.withColumn("_g", F.struct(*keys)).withColumn("part", bucket_of(F.col(num), bucket))
+    rows = df.withColumn("_g", F.struct(*keys)).withColumn("part", bucket_of(F.col(num), bucket)).where("part is not null")
     lists = (
         rows.groupBy("_g", "part")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(num).alias("k"), entry.alias("v")))).alias("_m"))
+        .agg(F.sort_array(F.collect_set(F.struct(F.col(num).alias("k"), entry.alias("v")))).alias("_m"))
         .withColumn("members", F.transform("_m", lambda m: m["v"])).drop("_m")
     )
-    # totals come from the small table of counts, so no list is moved again
-    counts = rows.groupBy("_g", "part").agg(F.count(F.lit(1)).alias("_n"))
+    # totals come from the small table of sizes, so no list is moved again
+    counts = lists.select("_g", "part", F.size("members").cast("long").alias("_n"))
     totals = counts.select("_g", "part", F.sum("_n").over(W.partitionBy("_g")).alias("group_len"))
     return lists.join(totals, ["_g", "part"]).select("_g.*", "part", "members", "group_len")

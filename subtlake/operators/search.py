@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,13 +15,23 @@ from subtlake.operators.skew import salted_join
 from subtlake.session import checkpointed
 
 
+def write_token_table(tokens: DataFrame, path: str) -> None:
+    """The token table by field and in the order of tokens, so that a search for some words skips most row groups."""
+    tokens.repartitionByRange("field", "token", "num").sortWithinPartitions("field", "token").write.partitionBy("field").parquet(path)
+
+
+def read_tokens(spark: SparkSession, path: str, field: str, num: str) -> DataFrame:
+    """(token, id) of one field."""
+    return spark.read.parquet(path).where(F.col("field") == field).select("token", F.col("num").alias(num))
+
+
 def token_table(titles: DataFrame, num: str, fields: list[str]) -> DataFrame:
-    """(field, token, num): each word of each field once per id; write it partitioned by field, sorted by token."""
+    """(field, token, num): each word of each field once per id."""
     per_field = F.array(*[
         F.struct(F.lit(f).alias("field"), F.array_distinct(fts_tokens(F.col(f))).alias("tokens")) for f in fields
     ])
     rows = titles.select(num, F.explode(per_field).alias("f"))
-    return rows.select(F.col("f.field").alias("field"), F.explode("f.tokens").alias("token"), num)
+    return rows.select(F.col("f.field").alias("field"), F.explode("f.tokens").alias("token"), F.col(num).alias("num"))
 
 
 def _word_sets(queries: DataFrame, text: str) -> DataFrame:
@@ -30,40 +40,42 @@ def _word_sets(queries: DataFrame, text: str) -> DataFrame:
     return queries.withColumn("asked", words).where(F.size("asked") > 0)
 
 
-def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: list[str]) -> DataFrame:
+def _set_hits(titles: DataFrame, num: str, title: str, asked: DataFrame, keep: list[str], tokens: DataFrame | None) -> DataFrame:
     """(asked, num, keep…, words) of titles that hold all words of a set. Equal sets are searched once.
 
-    Joining on the rarest word of a set only keeps frequent words (in a third of all titles) out of the join;
-    the other words are tested on the row. Rows of a word that is in very many titles and still the rarest of a set
-    are spread by the counts at hand.
+    ``tokens`` is the written token table of this title (token, num); without it the titles are cut into words here. Only
+    words that are asked for are taken from it, and only the rarest word of a set is joined, so frequent words (in a
+    third of all titles) stay out of the join; the other words are tested on the title. Rows of a word that is in very
+    many titles and still the rarest of a set are spread by the counts at hand.
     """
+    if tokens is None:
+        tokens = titles.select(num, F.explode(F.array_distinct(fts_tokens(F.col(title)))).alias("token"))
     sets = asked.select("asked").distinct()
     each = sets.select("asked", F.explode("asked").alias("token"))
-    tokens = titles.select(F.explode(F.array_distinct(fts_tokens(F.col(title)))).alias("token"))
-    frequency = tokens.join(each.select("token").distinct(), "token", "left_semi").groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq")
-    )
+    near = tokens.select("token", num).join(each.select("token").distinct(), "token", "left_semi")
+    frequency = near.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rarest = (
         each.join(frequency, "token", "left").groupBy("asked")
-        .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), F.col("token").alias("t"))).alias("r"))
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("f"), F.col("token").alias("t"))).alias("r"))
         .select("asked", F.col("r.t").alias("token"))
     )
+    found = salted_join(near, rarest, "token", counts=frequency).select("asked", num)
     rows = titles.select(num, *keep, fts_tokens(F.col(title)).alias("words"))
-    keyed = rows.withColumn("token", F.explode(F.array_distinct("words")))
-    counts = frequency.withColumnRenamed("freq", "n")
-    return salted_join(keyed, rarest, "token", counts=counts).where(F.size(F.array_except("asked", "words")) == 0).drop("token")
+    return found.join(rows, num).where(F.size(F.array_except("asked", "words")) == 0)
 
 
-def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
+def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
+            tokens: DataFrame | None = None) -> DataFrame:
     """Titles that hold every word of a query, in any order. ``queries`` has ``query_id``."""
     asked = _word_sets(queries, text)
-    return _set_hits(titles, num, title, asked, []).join(asked, "asked").drop("asked", "words")
+    return _set_hits(titles, num, title, asked, [], tokens).join(asked, "asked").drop("asked", "words")
 
 
-def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title") -> DataFrame:
+def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
+               tokens: DataFrame | None = None) -> DataFrame:
     """Titles that hold the words of a query next to each other in order."""
     asked = _word_sets(queries.withColumn(text, phrase_text(F.col(text))), text)
-    hits = _set_hits(titles, num, title, asked, []).join(asked, "asked")
+    hits = _set_hits(titles, num, title, asked, [], tokens).join(asked, "asked")
     framed = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     ordered = fts_tokens(F.col(text))
     return hits.where(F.contains(framed(F.col("words")), framed(ordered))).drop("asked", "words")
@@ -106,16 +118,18 @@ def fetch_content(hits: DataFrame, blobs: DataFrame, num: str = "num") -> DataFr
     return salted_join(hits, blobs, num)
 
 
-def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int | None = None) -> DataFrame:
+def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int | None = None, tokens: DataFrame | None = None) -> DataFrame:
     """Hits of a table of queries (query_id, type, title, year, season, episode, langs array).
 
     Movies match on words, language and the year where the query has one; episodes on words, season,
-    episode and language. Only single-part rows of the query's kind count. ``limit`` keeps that many per query.
+    episode and language. Only single-part rows of the query's kind count. ``limit`` keeps that many per query:
+    hits are cut to as many per word set, language and wish before they meet the queries, so a title that many ask
+    for is not multiplied by all its rows. ``tokens`` is the written token table of the titles (token, IDSubtitle).
     """
     single = meta.where(F.col("SubSumCD") == 1)
     fields = ["MovieYear", "ISO639", "MovieKind", "SeriesSeason", "SeriesEpisode"]
     asked = _word_sets(queries, "title")
-    hits = _set_hits(single, "IDSubtitle", "MovieName", asked, fields)
+    hits = _set_hits(single, "IDSubtitle", "MovieName", asked, fields, tokens)
     # what a row can be asked for and what a query asks for, as one key each: an equi-join, no filter after it
     movie = F.array(F.lit("movie"), F.concat_ws(":", F.lit("movie"), "MovieYear"))
     episode = F.array(F.concat_ws(":", F.lit("episode"), "SeriesSeason", "SeriesEpisode"))
@@ -125,6 +139,9 @@ def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int | None = None) -
     )
     langs = F.explode(F.array_distinct(F.transform("langs", two_letter)))
     offered = hits.select("asked", "IDSubtitle", "ISO639", F.explode(offers).alias("want"))
+    if limit is not None:
+        rank = F.row_number().over(W.partitionBy("asked", "ISO639", "want").orderBy("IDSubtitle"))
+        offered = offered.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
     wanted = asked.select("query_id", "asked", wants.alias("want"), langs.alias("ISO639"))
     found = offered.join(wanted, ["asked", "ISO639", "want"])
     found = found.select("query_id", "IDSubtitle", "ISO639")
@@ -132,12 +149,12 @@ def lookup_hits(meta: DataFrame, queries: DataFrame, limit: int | None = None) -
 
 
 def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: list[dict],
-           template: str = "$video_base.$num0.$lang.$ext", limit: int | None = None) -> DataFrame:
+           template: str = "$video_base.$num0.$lang.$ext", limit: int | None = None, tokens: DataFrame | None = None) -> DataFrame:
     """Queries to subtitle files: (query_id, num, provider, path, content).
 
     The first member of each archive that is no ``.nfo`` is the answer. ``queries`` also has ``video_base``.
     """
-    hits = lookup_hits(meta, queries, limit).select(
+    hits = lookup_hits(meta, queries, limit, tokens).select(
         "query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang")
     )
     routed = route_to_provider(hits.withColumn("lang3", three_letter(F.col("lang"))), providers, "num", "lang3")

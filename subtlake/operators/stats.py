@@ -125,6 +125,11 @@ def error_histogram(df: DataFrame, errors: Column) -> DataFrame:
     return df.select(F.explode(errors).alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"))
 
 
+def row_count(df: DataFrame, kind: Column | None = None) -> DataFrame:
+    """(rows): all rows, or those of a kind."""
+    return df.agg((F.count(F.lit(1)) if kind is None else F.count_if(kind)).alias("rows"))
+
+
 def daily_quota(df: DataFrame, account: str, ts: str, quota: int, share: float) -> DataFrame:
     """Downloads per account and day; exceeded above the given share of the quota."""
     return (

@@ -145,10 +145,10 @@ def split_lines_query(spark, sf):
     return files(spark, sf).select("doc_id", F.array_join(split_lines(F.col("text")), "¦").alias("lines"))
 
 
-@query(_LINES + "SELECT line AS txt, lang FROM cues UNION SELECT role, 'en' FROM conversations")
+@query(_LINES + "SELECT line AS txt, lang FROM cues UNION SELECT text, 'en' FROM conversations")
 def distinct_ads(spark, sf):
     old = document_lines(spark, sf).select(F.col("text").alias("txt"), "lang")
-    new = table(spark, sf, "conversations").select(F.col("role").alias("txt"), F.lit("en").alias("lang"))
+    new = table(spark, sf, "conversations").select(F.col("text").alias("txt"), F.lit("en").alias("lang"))
     return ads.merge_samples(old, new)
 
 

@@ -6,7 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.operators import recon
+from subtlake.plans.inputs import write_marks
 from subtlake.plans.registry import query, table
+from subtlake.session import scratch_path
+from subtlake.sources import inbox
 
 _SHARD, _RELEASE = 10, 5
 
@@ -174,8 +177,7 @@ SELECT event_type, count(*) AS n, count(DISTINCT num) AS ids, min(state) AS stat
     WHEN 'purchase' THEN 'not_found' WHEN 'view' THEN 'html' ELSE 'broken' END AS state FROM events
 ) GROUP BY event_type""")
 def list_inbox(spark, sf):
-    from subtlake.sources.inbox import classify_inbox
-
+    """A file per event in several folders, listed and classified."""
     num = F.col("event_id").cast("string")
     ending = (
         F.when(F.col("event_type") == "click", F.lit(".t.(1999).eng.1cd.zip"))
@@ -183,10 +185,9 @@ def list_inbox(spark, sf):
         .when(F.col("event_type") == "view", F.lit(".2.html")).otherwise(F.lit(".zip.broken"))
     )
     size = F.when(F.col("event_type") == "purchase", 0).otherwise(10)
-    listing = table(spark, sf, "events").select(
-        "event_type", F.concat(F.lit("new/"), num, ending).alias("path"), size.alias("size")
-    )
-    states = classify_inbox(listing.select("path", "size")).join(listing.select("path", "event_type"), "path")
+    names = table(spark, sf, "events").select("event_type", F.concat(num, ending).alias("name"), size.alias("size"))
+    folders = write_marks(names, scratch_path(spark, "marks"))
+    states = inbox.list_inbox(spark, *folders).join(names.select("event_type", "name"), "name")
     return states.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("num").alias("ids"), F.min("state").alias("state")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from subtlake.fixed_values import DETAIL_PAGE, DUMP_COLUMNS
 from subtlake.functions.dates import date_text, epoch_seconds
 from subtlake.functions.registry import select_columns
-from subtlake.operators import ranking, recon
+from subtlake.operators import languages, ranking, recon
 from subtlake.plans.completeness import _FLAGS, _RELEASE, _SHARD, expected_ids, flags
 from subtlake.plans.registry import files, query, table
 from subtlake.session import scratch_path
@@ -145,6 +145,14 @@ def split_by_lang(spark, sf):
     return spark.read.parquet(path).select("num", F.col("lang").cast("string").alias("lang"))
 
 
+@query("""
+SELECT CASE lang WHEN 'fr' THEN 'x1' ELSE 'zzz' END AS "ISO639", count(*) AS ids FROM documents WHERE lang IN ('fr', 'es') GROUP BY 1""")
+def invalid_languages(spark, sf):
+    """Languages of the documents, two of them misspelt."""
+    code = F.when(F.col("lang") == "fr", "x1").when(F.col("lang") == "es", "zzz").otherwise(F.col("lang"))
+    return languages.invalid_languages(table(spark, sf, "documents").select(code.alias("ISO639")), "ISO639")
+
+
 @query("SELECT doc_id AS num, text FROM documents WHERE lang = 'de'")
 def split_one_lang(spark, sf):
     path = scratch_path(spark, "langs")

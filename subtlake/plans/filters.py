@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from subtlake.fixed_values import MAX_CATALOGUE_ID
 from subtlake.functions import dates, registry, text
-from subtlake.operators import ranking
+from subtlake.operators import grouping, languages, ranking
 from subtlake.plans.registry import query, table
 from subtlake.plans.titles import _META, part_meta
 from subtlake.sources.tables import scan_blobs
@@ -96,17 +95,16 @@ def kind_any_year(spark, sf):
     return rows.select(F.col("IDSubtitle").alias("num"), F.col("MovieName").alias("title"))
 
 
-@query(f"""
-SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey > 0 AND l_partkey <= {MAX_CATALOGUE_ID}""")
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_partkey > 0 AND l_partkey <= 150")
 def valid_catalogue_id(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return rows.where((F.col("l_partkey") > 0) & (F.col("l_partkey") <= MAX_CATALOGUE_ID))
+    return grouping.valid_catalogue_ids(rows, "l_partkey", 150)
 
 
 @query("SELECT event_id, value FROM events WHERE event_id >= 100 AND CAST(floor(value / 10) AS BIGINT) > 0")
 def min_id_nonzero(spark, sf):
     events = table(spark, sf, "events").select("event_id", "value", F.floor(F.col("value") / 10).alias("size"))
-    return events.where((F.col("event_id") >= 100) & (F.col("size") > 0)).select("event_id", "value")
+    return grouping.files_to_pack(events, "event_id", "size", 100).select("event_id", "value")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O'")
@@ -114,7 +112,7 @@ def undefined_language(spark, sf):
     coded = table(spark, sf, "orders").select(
         "o_orderkey", F.when(F.col("o_orderstatus") == "O", "").otherwise("en").alias("ISO639")
     )
-    return coded.where(F.col("ISO639") == "").select("o_orderkey")
+    return languages.undefined_language(coded, "ISO639").select("o_orderkey")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_name ILIKE 'RED %'")

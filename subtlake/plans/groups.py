@@ -50,12 +50,10 @@ def group_index(spark, sf):
 
 
 @query("""
-SELECT CAST(('0x' || substr(md5(l_shipdate_text), 1, 4)) AS BIGINT) AS bucket, count(*) AS rows,
-       count(DISTINCT l_shipdate_text) AS titles
-FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate_text FROM lineitem) GROUP BY 1""")
+SELECT CAST(('0x' || substr(md5(p_name), 1, 4)) AS BIGINT) AS bucket, count(*) AS rows, count(DISTINCT p_name) AS titles
+FROM part GROUP BY 1""")
 def bucket_by_title_hash(spark, sf):
-    titles = table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").cast("string").alias("title"))
-    return grouping.title_buckets(titles, "title")
+    return grouping.title_buckets(table(spark, sf, "part"), "p_name")
 
 
 @query("""

@@ -9,19 +9,19 @@ from subtlake.plans.registry import files, query, table
 
 
 @query("""
-SELECT d.doc_id AS num, d.source || '.srt' AS path, octet_length(encode(d.text)) AS size, md5(d.text) AS md5,
-       d.lang <> 'de' OR trim(d.text) = d.text AS content_ok,
-       (d.lang <> 'de' OR trim(d.text) = d.text) AND d.lang <> 'fr' AS name_ok
-FROM documents d""")
+SELECT doc_id AS num, source || '.srt' AS path, octet_length(encode(body)) AS size, md5(body) AS md5,
+       body = text AS content_ok, body = text AND lang <> 'fr' AS name_ok
+FROM (SELECT *, CASE WHEN lang = 'de' AND doc_id % 2 = 0 THEN replace(text, 'e', 'o') || '.' ELSE text END AS body FROM documents)""")
 def verify_members(spark, sf):
-    """Declared records were made before German texts lost their outer blanks, French ones under another name."""
+    """Declared records were made before half of the German texts were changed, French ones under another name."""
     docs = files(spark, sf)
-    body = F.encode("text", "UTF-8")
+    changed = (F.col("lang") == "de") & (F.col("doc_id") % 2 == 0)
+    now = F.when(changed, F.concat(F.replace("text", F.lit("e"), F.lit("o")), F.lit("."))).otherwise(F.col("text"))
     members = docs.select(
         F.col("doc_id").alias("num"), F.concat("source", F.lit(".srt")).alias("path"),
-        F.octet_length("text").cast("long").alias("size"), body.alias("content"),
+        F.octet_length(now).cast("long").alias("size"), F.encode(now, "UTF-8").alias("content"),
     )
-    before = F.when(F.col("lang") == "de", F.trim("text")).otherwise(F.col("text"))
+    before = F.col("text")
     name = F.when(F.col("lang") == "fr", F.lit("Other name")).otherwise(F.col("source"))
     declared = docs.select(
         F.col("doc_id").alias("num"), F.octet_length(before).cast("long").alias("size"), F.md5(before).alias("md5"),

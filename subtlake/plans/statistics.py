@@ -46,7 +46,7 @@ def bucket_bounds(spark, sf):
 
 @query("SELECT count(*) AS rows FROM lineitem")
 def row_count(spark, sf):
-    return table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("rows"))
+    return stats.row_count(table(spark, sf, "lineitem"))
 
 
 @query("SELECT count(DISTINCT p_name) AS titles FROM part WHERE p_type = 'ECONOMY'")
@@ -56,7 +56,7 @@ def distinct_titles(spark, sf):
 
 @query("SELECT count(*) AS rows FROM part WHERE p_type = 'ECONOMY'")
 def count_kind(spark, sf):
-    return table(spark, sf, "part").where(F.col("p_type") == "ECONOMY").agg(F.count(F.lit(1)).alias("rows"))
+    return stats.row_count(table(spark, sf, "part"), F.col("p_type") == "ECONOMY")
 
 
 @query("""

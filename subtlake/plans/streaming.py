@@ -1,34 +1,47 @@
-"""Streams over the events table as a file source, run until their input is used up."""
+"""Streams over the events table, dealt to several files with late rows, run until their input is used up."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from subtlake.operators import ranking
+from subtlake.plans.inputs import write_marks
 from subtlake.plans.registry import query, table
 from subtlake.session import scratch_path
 from subtlake.streaming import streams
 
 
+#: Rows come at most so late.
+LATE = "8 days"
+
+
 def event_stream(spark, sf):
-    """The events file as a stream. Times are read as the table has them."""
-    schema = table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return rows.withColumn("at", F.col("ts").cast("timestamp"))
+    """The events as a stream of at least five files, one a batch: by time, but every seventh id a file late."""
+    rows = table(spark, sf, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    part = F.least(F.lit(3), F.floor(F.dayofmonth("ts") / 8)) + (F.col("event_id") % 7 == 0).cast("int")
+    path = scratch_path(spark, "events")
+    for i in range(5):  # one after the other: the source takes files in the order they were written
+        rows.where(part == i).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @query("""
 SELECT event_id AS num, CASE event_type WHEN 'click' THEN 'archive' WHEN 'error' THEN 'takedown' WHEN 'purchase' THEN 'not_found'
   ELSE 'html' END AS state FROM events""")
 def stream_inbox(spark, sf):
+    """A file per event in folders; the stream runs after the first half of the month and again after the second."""
     num = F.col("event_id").cast("string")
     ending = (
         F.when(F.col("event_type") == "click", ".t.(1999).eng.1cd.zip").when(F.col("event_type") == "error", ".dmca")
         .when(F.col("event_type") == "purchase", ".not-found").otherwise(".html")
     )
-    listing = event_stream(spark, sf).select(F.concat(F.lit("new/"), num, ending).alias("path"), F.lit(1).cast("long").alias("size"))
     root = scratch_path(spark, "inbox")
-    streams.run_available(streams.classify_stream(listing), f"{root}/table", f"{root}/checkpoint")
+    size = F.when(F.col("event_type") == "click", 10).otherwise(0)
+    names = table(spark, sf, "events").select(F.concat(num, ending).alias("name"), size.alias("size"), F.dayofmonth("ts").alias("day"))
+    for half in (names.where("day <= 15"), names.where("day > 15")):
+        folders = write_marks(half, f"{root}/new")
+        listed = streams.stream_inbox(spark, *folders, settle_ms=0)
+        streams.run_available(listed, f"{root}/table", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/table").select("num", "state")
 
 
@@ -38,7 +51,7 @@ SELECT user_id, event_id, value FROM (
 def upsert_latest(spark, sf):
     root = scratch_path(spark, "ratings")
     rows = event_stream(spark, sf).select("user_id", "event_id", "ts", "value")
-    streams.upsert_latest(rows, ["user_id"], ["ts", "event_id"], root)
+    streams.upsert_latest(rows, ["user_id"], ["ts", "event_id"], root, every=2)
     return streams.read_latest(spark, root, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
 
 
@@ -50,19 +63,22 @@ def incremental_metadata(spark, sf):
     """A full table, then the rows of a stream laid over it by id."""
     root = scratch_path(spark, "meta")
     full = table(spark, sf, "orders").select(F.col("o_orderkey").alias("num"), F.lit(0).alias("seq"), F.col("o_totalprice").alias("value"))
-    full.write.parquet(f"{root}/version=-1")
+    streams.replace_table(full, root)
     newer = event_stream(spark, sf).select(F.col("event_id").alias("num"), F.lit(1).alias("seq"), "value")
     streams.upsert_latest(newer, ["num"], ["seq"], root)
     return streams.read_latest(spark, root, ["num"], ["seq"]).select("num", "value")
 
 
 @query("""
-SELECT event_id, value FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 7 DAY""")
+SELECT user_id, event_id, value FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next, max(ts) OVER () AS newest FROM events)
+WHERE (next IS NULL OR next >= ts + INTERVAL 7 DAY) AND ts <= newest - INTERVAL 15 DAY""")
 def delayed_release(spark, sf):
+    """The newest row of each user that no other followed within seven days, once nothing late can come before that."""
     root = scratch_path(spark, "delayed")
-    rows = event_stream(spark, sf).select("event_id", "at", "value")
-    streams.run_available(streams.delayed_release(rows, ["event_id"], "at"), f"{root}/table", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/table").select("event_id", "value")
+    rows = event_stream(spark, sf).select("user_id", "event_id", "at", "value")
+    streams.run_available(streams.delayed_release(rows, ["user_id"], "at", late=LATE), f"{root}/table", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/table").select("user_id", "event_id", "value")
 
 
 @query("SELECT event_id, value FROM events WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
@@ -71,17 +87,15 @@ def releasable(spark, sf):
 
 
 @query("""
-SELECT e.shard, e.have FROM (SELECT event_id // 100 AS shard, count(DISTINCT event_id) AS have FROM events GROUP BY 1) e
-JOIN (SELECT o_orderkey // 100 AS shard, count(*) AS expected FROM orders GROUP BY 1) x ON x.shard = e.shard
-WHERE have = expected""")
+SELECT o_orderkey // 5 AS shard, count(*) AS have, max(ts) AS last_arrival FROM orders LEFT JOIN events ON event_id = o_orderkey
+GROUP BY 1 HAVING count(event_id) = count(*)""")
 def shard_completion(spark, sf):
-    """Shards of 100 ids whose expected ids (orders) have all arrived as events."""
+    """Shards of five ids whose expected ids (orders) have all arrived as events; other events do not count."""
     root = scratch_path(spark, "completion")
-    shard = lambda c: F.floor(F.col(c) / 100).cast("long")
-    expected = table(spark, sf, "orders").groupBy(shard("o_orderkey").alias("shard")).agg(F.count(F.lit(1)).alias("expected"))
-    streams.shard_completion(event_stream(spark, sf), expected, "event_id", "at", shard("event_id"), root)
+    expected = table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"))
+    streams.shard_completion(event_stream(spark, sf), expected, "event_id", "at", root, 5)
     done = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/version=*")
-    return done.select("shard", "have")
+    return done.select("shard", "have", F.col("last_arrival").cast("timestamp_ntz").alias("last_arrival"))
 
 
 @query("""
@@ -90,7 +104,7 @@ SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS requests,
 def tumbling_totals(spark, sf):
     root = scratch_path(spark, "tumbling")
     outcome = F.when(F.col("event_type") == "error", "retry").otherwise("ok")
-    totals = streams.tumbling_totals(event_stream(spark, sf), "at", ["event_type"], outcome)
+    totals = streams.tumbling_totals(event_stream(spark, sf), "at", ["event_type"], outcome, late=LATE)
     return _window_rows(spark, totals, root, ["window_start", "event_type"])
 
 
@@ -101,7 +115,7 @@ SELECT window_start, count(*) AS requests, round(avg(e), 6) AS error_rate FROM (
   FROM events, (SELECT unnest(generate_series(0, 5)) AS k)) GROUP BY window_start""")
 def sliding_error_rate(spark, sf):
     root = scratch_path(spark, "sliding")
-    rates = streams.sliding_error_rate(event_stream(spark, sf), "at", F.col("event_type") == "error")
+    rates = streams.sliding_error_rate(event_stream(spark, sf), "at", F.col("event_type") == "error", late=LATE)
     return _window_rows(spark, rates, root, ["window_start"])
 
 
@@ -120,10 +134,8 @@ def _window_rows(spark, windows, root, keys):
 SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS downloads, count(*) > 10 * 0.5 AS exceeded FROM events GROUP BY 1, 2""")
 def stream_daily_quota(spark, sf):
     """The same count kept by a stream, updated batch by batch."""
-    from subtlake.operators.stats import daily_quota
-
     root = scratch_path(spark, "quota")
-    counts = daily_quota(event_stream(spark, sf).withWatermark("at", "1 day"), "user_id", "ts", 10, 0.5)
+    counts = streams.daily_quota(event_stream(spark, sf), "user_id", "at", 10, 0.5, LATE)
 
     def write(batch, epoch):
         batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/version={epoch}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
 from subtlake.operators import archive, ranking, search, stats
 from subtlake.plans.registry import files, query, table
+from subtlake.session import scratch_path
 
 # metadata columns of a part; kinds and seasons by size, languages by type
 _META = """
@@ -50,6 +51,13 @@ def part_meta(spark, sf):
     )
 
 
+def part_tokens(spark, sf):
+    """The token table of the parts' names, written and read back."""
+    path = scratch_path(spark, "tokens")
+    search.write_token_table(search.token_table(part_meta(spark, sf), "IDSubtitle", ["MovieName"]), path)
+    return search.read_tokens(spark, path, "MovieName", "IDSubtitle")
+
+
 def part_queries(spark, sf):
     """Queries with their words in reverse order: by title, by title and year, by episode."""
     part = table(spark, sf, "part")
@@ -72,7 +80,7 @@ SELECT a.query_id, m.num FROM asked a JOIN meta m
 ON list_sort(string_split(a.title, ' ')) = list_sort(string_split(m.title, ' ')) WHERE a.query_id LIKE 'm:%'""")
 def fts_and(spark, sf):
     asked = part_queries(spark, sf).where(F.startswith("query_id", F.lit("m:"))).select("query_id", "title")
-    hits = search.fts_and(part_meta(spark, sf), "IDSubtitle", "MovieName", asked)
+    hits = search.fts_and(part_meta(spark, sf), "IDSubtitle", "MovieName", asked, tokens=part_tokens(spark, sf))
     return hits.select("query_id", F.col("IDSubtitle").alias("num"))
 
 
@@ -95,18 +103,18 @@ SELECT 'text' AS field, token, count(*) AS ids, min(doc_id) AS first_num FROM (
     '([\\p{{L}}\\p{{N}}_]+)', 1)) AS token FROM documents) GROUP BY token""")
 def token_table(spark, sf):
     tokens = search.token_table(files(spark, sf), "doc_id", ["text"])
-    return tokens.groupBy("field", "token").agg(F.count(F.lit(1)).alias("ids"), F.min("doc_id").alias("first_num"))
+    return tokens.groupBy("field", "token").agg(F.count(F.lit(1)).alias("ids"), F.min("num").alias("first_num"))
 
 
 @query(_META + "SELECT query_id, num FROM ranked WHERE rn <= 3")
 def limit_per_query(spark, sf):
-    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf), 3)
+    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf), 3, part_tokens(spark, sf))
     return hits.select("query_id", F.col("IDSubtitle").alias("num"))
 
 
 @query(_META + "SELECT query_id, num, lang FROM ranked WHERE rn <= 500")
 def lookup_batch(spark, sf):
-    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf), 500)
+    hits = search.lookup_hits(part_meta(spark, sf), part_queries(spark, sf), 500, part_tokens(spark, sf))
     return hits.select("query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang"))
 
 
@@ -135,7 +143,7 @@ def lookup(spark, sf):
         member("dir/Title.txt", F.concat_ws(" ", "p_name", "p_brand")), member("dir/other.srt", F.lit("other")),
     )
     blobs = archive.pack_archives(table(spark, sf, "part"), "p_partkey", members)
-    found = search.lookup(part_meta(spark, sf), blobs, part_queries(spark, sf), _PROVIDERS, limit=500)
+    found = search.lookup(part_meta(spark, sf), blobs, part_queries(spark, sf), _PROVIDERS, limit=500, tokens=part_tokens(spark, sf))
     return found.withColumn("content", F.col("content").cast("string"))
 
 

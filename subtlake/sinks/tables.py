@@ -40,15 +40,15 @@ def export_schema(df: DataFrame, derivations: dict[str, str] | None = None) -> s
     )
 
 
-def split_by_lang(blobs: DataFrame, meta: DataFrame, path: str, slices: int = 64) -> None:
+def split_by_lang(blobs: DataFrame, meta: DataFrame, path: str) -> None:
     """One folder per three-letter language; the metadata's language counts, none is ``und``.
 
-    Each language is spread over ``slices`` writers by id, since one language may hold most rows.
+    Rows are brought together by language in parts of even size: a language with most rows has as many writers as
+    its size asks for. ``invalid_languages`` tells codes that are none.
     """
     coded = with_languages(meta.select("num", "ISO639"), "ISO639").select("num", F.col("lang3").alias("lang"))
     rows = blobs.join(coded, "num", "left").withColumn("lang", F.coalesce("lang", F.lit("und")))
-    spread = rows.repartition(F.col("lang"), F.pmod(F.xxhash64("num"), F.lit(slices)))
-    spread.write.mode("overwrite").partitionBy("lang").parquet(path)
+    rows.hint("rebalance", "lang").write.mode("overwrite").partitionBy("lang").parquet(path)
 
 
 def read_language(spark: SparkSession, path: str, lang: str) -> DataFrame:

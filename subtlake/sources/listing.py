@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 import time
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -20,23 +21,34 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LISTING_SCHEMA = "path string, size long, modified_ms long"
 
 
+def opened(folder: str):
+    """(file system, path in it) of a folder's address."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+
+
 def _entries(folder: str) -> Iterator[tuple[str, int, int]]:
+    """Files below a folder, one folder's names at a time."""
     from pyarrow import fs
 
-    if "://" in folder:
-        system, path = fs.FileSystem.from_uri(folder)
-    else:
-        system, path = fs.LocalFileSystem(), folder.removeprefix("file:")
-    for info in system.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True)):
-        if info.type == fs.FileType.File:
-            yield info.path, info.size, int((info.mtime_ns or 0) // 1_000_000)
+    system, path = opened(folder)
+    left = [path]
+    while left:
+        for info in system.get_file_info(fs.FileSelector(left.pop(), allow_not_found=True)):
+            if info.type == fs.FileType.Directory:
+                left.append(info.path)
+            elif info.type == fs.FileType.File:
+                yield info.path, info.size, int((info.mtime_ns or 0) // 1_000_000)
 
 
 def _listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [part.split()[0] for part in LISTING_SCHEMA.split(", ")]
     for frame in frames:
         for folder in frame["folder"]:
-            yield pd.DataFrame(list(_entries(folder)), columns=columns).astype({"size": "int64", "modified_ms": "int64"})
+            entries = _entries(folder)
+            while rows := list(islice(entries, 10_000)):
+                yield pd.DataFrame(rows, columns=columns).astype({"size": "int64", "modified_ms": "int64"})
 
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -46,8 +58,8 @@ def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 class _Slice(InputPartition):
-    def __init__(self, folder: str, after: int, until: int):
-        self.folder, self.after, self.until = folder, after, until
+    def __init__(self, folder: str, until: int):
+        self.folder, self.until = folder, until
 
 
 class _Reader(DataSourceReader):
@@ -55,14 +67,14 @@ class _Reader(DataSourceReader):
         self.folders = folders
 
     def partitions(self):
-        return [_Slice(f, -1, 1 << 62) for f in self.folders]
+        return [_Slice(f, 1 << 62) for f in self.folders]
 
     def read(self, partition):
         yield from _entries(partition.folder)
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Offsets are modification times; a batch holds the files changed in (start, end]."""
+    """Each batch is a whole listing; ``stream_files`` keeps what it has seen as state. Offsets only count the clock on."""
 
     def __init__(self, folders: list[str], settle_ms: int):
         self.folders, self.settle_ms = folders, settle_ms
@@ -71,15 +83,15 @@ class _StreamReader(DataSourceStreamReader):
         return {"ms": -1}
 
     def latestOffset(self):
-        # files written right now may still share their time with later ones
-        return {"ms": int(time.time() * 1000) - self.settle_ms}
+        return {"ms": int(time.time() * 1000)}
 
     def partitions(self, start, end):
-        return [_Slice(f, start["ms"], end["ms"]) for f in self.folders]
+        return [_Slice(f, end["ms"] - self.settle_ms) for f in self.folders]
 
     def read(self, partition):
+        # files changed right now may still be written to; a later listing has them
         for path, size, modified in _entries(partition.folder):
-            if partition.after < modified <= partition.until:
+            if modified <= partition.until:
                 yield path, size, modified
 
 
@@ -104,9 +116,14 @@ class FolderListing(DataSource):
 
 
 def stream_files(spark: SparkSession, folders: list[str], settle_ms: int = 1000) -> DataFrame:
-    """New and changed files of the folders as a stream, empty files included."""
+    """New and changed files of the folders as a stream, empty files included.
+
+    Names, sizes and times seen are kept as state, so a file counts whatever its time says: one moved in with an old
+    time, or written under a clock that runs behind, is as new as any other.
+    """
     spark.dataSource.register(FolderListing)
-    return (
+    listing = (
         spark.readStream.format("folder_listing").option("folders", "\n".join(folders))
         .option("settleMs", str(settle_ms)).load()
     )
+    return listing.dropDuplicates(["path", "size", "modified_ms"])

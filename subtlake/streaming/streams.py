@@ -6,15 +6,25 @@ query (``availableNow``), so the same code serves a steady trigger.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from subtlake.fixed_values import SHARD_SIZE
+from subtlake.functions.ids import bucket_of
 from subtlake.operators.ranking import dedupe_latest
 from subtlake.sources.inbox import classify_inbox
 from subtlake.sources.listing import stream_files
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Append a stream's rows to a Parquet table until its input is used up."""
@@ -38,27 +48,53 @@ def classify_stream(listing: DataFrame) -> DataFrame:
     return classify_inbox(listing)
 
 
-def upsert_latest(stream: DataFrame, keys: list[str], seq: list[str], root: str, slices: int = 64) -> None:
-    """Keep the latest row per key of a stream in a table of versions below ``root``.
+def _generation(spark: SparkSession, root: str) -> int:
+    """Number of the table's current folder: the highest in its log, 0 before the first entry."""
+    try:
+        return spark.read.schema("generation long").json(f"{root}/log").agg(F.max("generation")).first()[0] or 0
+    except AnalysisException as error:  # no log yet
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
+def replace_table(rows: DataFrame, root: str) -> None:
+    """Make ``rows`` the whole content of the table below ``root``.
+
+    They are written as the base of a new folder; the log then points readers and later batches to it. A run that
+    ends before the log entry leaves the table as it was. Folders of lower numbers are read no more and may be deleted.
+    """
+    spark = rows.sparkSession
+    generation = _generation(spark, root) + 1
+    rows.write.mode("overwrite").parquet(f"{root}/generation-{generation}/base")
+    spark.createDataFrame([(generation,)], "generation long").coalesce(1).write.mode("append").json(f"{root}/log")
+
 
-    Every batch is reduced to its own latest rows and appended as one version; ``read_latest`` merges
-    versions by key. A repeated batch writes the same version again, so the result does not change.
-    ``compact_latest`` folds the versions into one.
+def upsert_latest(stream: DataFrame, keys: list[str], seq: list[str], root: str, every: int = 50) -> None:
+    """Keep the latest row per key of a stream in the table below ``root``, one writer at a time.
+
+    Every batch is reduced to its own latest rows and added to the current folder under the stream's id and the batch
+    number, so a repeated batch replaces itself, and another stream on the same table replaces nothing. After each
+    ``every`` batches the folder is folded into a new one, so a read never merges more than that.
     """
     def write(batch: DataFrame, epoch: int) -> None:
-        reduced = dedupe_latest(batch, keys, seq)
-        reduced.write.mode("overwrite").parquet(f"{root}/version={epoch}")
+        spark = batch.sparkSession
+        stream_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"{root}/generation-{_generation(spark, root)}"
+        dedupe_latest(batch, keys, seq).write.mode("overwrite").parquet(f"{place}/{stream_id}-{epoch}")
+        if epoch % every == every - 1:
+            compact_latest(spark, root, keys, seq)
 
     run_batches(stream, write, f"{root}/_checkpoint", "append")
 
 
 def read_latest(spark: SparkSession, root: str, keys: list[str], seq: list[str]) -> DataFrame:
-    versions = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet").parquet(f"{root}/version=*")
-    return dedupe_latest(versions.drop("version"), keys, seq)
+    return dedupe_latest(spark.read.parquet(f"{root}/generation-{_generation(spark, root)}/*"), keys, seq)
 
 
-def compact_latest(spark: SparkSession, root: str, keys: list[str], seq: list[str], out: str) -> None:
-    read_latest(spark, root, keys, seq).write.mode("errorifexists").parquet(f"{out}/version=0")
+def compact_latest(spark: SparkSession, root: str, keys: list[str], seq: list[str]) -> None:
+    """Fold the table into one sorted-out copy; not beside a running stream, which folds by itself."""
+    replace_table(read_latest(spark, root, keys, seq), root)
 
 
 def delayed_release(stream: DataFrame, keys: list[str], ts: str, days: int = 7, late: str = "0 seconds") -> DataFrame:
@@ -74,30 +110,63 @@ def delayed_release(stream: DataFrame, keys: list[str], ts: str, days: int = 7,
 
 def releasable(df: DataFrame, ts: str, days: int = 7) -> DataFrame:
     """Batch form: rows at least ``days`` older than the newest row."""
-    newest = df.agg(F.max(ts).cast("string")).first()[0]
-    kind = df.schema[ts].dataType
-    return df.where(F.col(ts) <= F.lit(newest).cast(kind) - F.expr(f"interval {days} days"))
+    return df.where(F.col(ts) <= df.agg(F.max(ts)).scalar() - F.expr(f"interval {days} days"))
 
 
-def shard_progress(stream: DataFrame, num: str, ts: str, shard: Column, delay: str = "30 days") -> DataFrame:
-    """Distinct ids per shard so far, with the arrival of the last one (update mode).
+def shard_completion(stream: DataFrame, expected: DataFrame, num: str, ts: str, root: str, shard_size: int = SHARD_SIZE) -> None:
+    """Append (shard, have, last_arrival) to the table at ``root`` once the last expected id of a shard has arrived.
 
-    Ids are made distinct first, so the state per shard is one counter.
+    ``expected`` holds the ids that shards consist of; other ids and repeats do not count, null ids neither. The state
+    of a shard is one bit per id until it is complete and an empty mark from then on, so each is reported once.
+    ``last_arrival`` is the latest time among the ids that counted.
     """
-    arrived = stream.withWatermark(ts, delay).dropDuplicates([num])
-    return arrived.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("have"), F.max(ts).alias("last_arrival"))
-
+    ids = expected.select(F.col(num)).where(F.col(num).isNotNull()).distinct()
+    counts = ids.groupBy(bucket_of(F.col(num), shard_size).alias("shard")).agg(F.count(F.lit(1)).alias("expected"))
+    shard = bucket_of(F.col(num), shard_size)
+    arrived = stream.join(ids, num, "left_semi").select(
+        shard.alias("shard"), (F.col(num) - shard * shard_size).cast("int").alias("slot"), F.unix_micros(ts).alias("at")
+    )
 
-def shard_completion(stream: DataFrame, expected: DataFrame, num: str, ts: str, shard: Column, root: str) -> None:
-    """Append each shard to the table at ``root`` once its last missing id has arrived.
+    def fill(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen, last = np.zeros(shard_size, bool), -(1 << 62)
+        if state.exists:
+            bits, last = state.get
+            if not bits:
+                return
+            seen = np.unpackbits(np.frombuffer(bits, np.uint8), count=shard_size).astype(bool)
+        want = 0
+        for frame in frames:
+            want, slots = int(frame["expected"].iat[0]), frame["slot"].to_numpy()
+            new = frame["at"][~seen[slots]].max()
+            last = max(last, int(new)) if pd.notna(new) else last
+            seen[slots] = True
+        if seen.sum() < want:
+            state.update((np.packbits(seen).tobytes(), last))
+        else:
+            state.update((b"", last))
+            yield pd.DataFrame({"shard": [key[0]], "have": [want], "last": [last]})
+
+    done = arrived.join(counts, "shard").groupBy("shard").applyInPandasWithState(
+        fill, "shard long, have long, last long", "seen binary, last long", "update", GroupStateTimeout.NoTimeout
+    )
 
-    ``expected`` is (shard, expected). A batch holds only shards that changed in it.
-    """
     def write(batch: DataFrame, epoch: int) -> None:
-        done = batch.join(expected, "shard").where(F.col("have") == F.col("expected"))
-        done.write.mode("overwrite").parquet(f"{root}/version={epoch}")
+        rows = batch.select("shard", "have", F.when(F.col("last") > -(1 << 62), F.timestamp_micros("last")).alias("last_arrival"))
+        rows.write.mode("overwrite").parquet(f"{root}/version={epoch}")
+
+    run_batches(done, write, f"{root}/_checkpoint")
 
-    run_batches(shard_progress(stream, num, ts, shard), write, f"{root}/_checkpoint")
+
+def daily_quota(stream: DataFrame, account: str, ts: str, quota: int, share: float, late: str = "1 day") -> DataFrame:
+    """Downloads per account and day, exceeded above the given share of the quota.
+
+    Days are those of UTC; the state of a day ends ``late`` after it.
+    """
+    counts = stream.withWatermark(ts, late).groupBy(account, F.window(ts, "1 day")).agg(F.count(F.lit(1)).alias("downloads"))
+    return counts.select(
+        account, F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86_400).cast("int")).alias("day"), "downloads",
+        (F.col("downloads") > F.lit(quota * share)).alias("exceeded"),
+    )
 
 
 def tumbling_totals(stream: DataFrame, ts: str, keys: list[str], outcome: Column, size: str = "1 hour",

@@ -122,8 +122,14 @@ def test_inbox_folder_and_stream(spark, tmp_path):
     write(folder / "12.zip", "x")
     time.sleep(0.2)
     streams.run_available(streams.stream_inbox(spark, str(folder), settle_ms=50), out, state)
+    # moved in with an old time, and a file that is there twice
+    write(folder / "13.zip", "x")
+    os.utime(folder / "13.zip", (1_000_000_000, 1_000_000_000))
+    for _ in range(2):
+        time.sleep(0.2)
+        streams.run_available(streams.stream_inbox(spark, str(folder), settle_ms=50), out, state)
     rows = spark.read.parquet(out)
-    assert {r.name: r.state for r in rows.collect()} == {**names, "12.zip": "archive"} and rows.count() == 14
+    assert {r.name: r.state for r in rows.collect()} == {**names, "12.zip": "archive", "13.zip": "archive"} and rows.count() == 15
 
 
 def test_upsert_stream_over_batches(spark, tmp_path):
@@ -133,26 +139,51 @@ def test_upsert_stream_over_batches(spark, tmp_path):
     for batch in ([(1, 1, "a"), (2, 1, "b"), (1, 2, "c")], [(2, 0, "old"), (3, 1, "d"), (1, 3, "e")]):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").json(str(source))
         streams.upsert_latest(spark.readStream.schema(schema).json(str(source)), ["num"], ["seq"], root)
-    latest = streams.read_latest(spark, root, ["num"], ["seq"])
-    assert {r.num: r.v for r in latest.collect()} == {1: "e", 2: "b", 3: "d"}
-    streams.compact_latest(spark, root, ["num"], ["seq"], str(tmp_path / "compact"))
-    assert streams.read_latest(spark, str(tmp_path / "compact"), ["num"], ["seq"]).count() == 3
+    read = lambda: {r.num: r.v for r in streams.read_latest(spark, root, ["num"], ["seq"]).collect()}
+    assert read() == {1: "e", 2: "b", 3: "d"}
+    streams.compact_latest(spark, root, ["num"], ["seq"])
+    assert read() == {1: "e", 2: "b", 3: "d"}
+    # the next batch, and another stream that starts at batch 0, keep what was folded; folding after every batch
+    for i, batch in enumerate([[(4, 1, "f"), (2, 5, "g")], [(5, 1, "h")], [(5, 0, "old")]]):
+        place = str(source) if i == 0 else str(tmp_path / "other")
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").json(place)
+        state = f"{root}/_checkpoint"
+        if i == 1:
+            os.rename(state, str(tmp_path / "gone"))
+        streams.upsert_latest(spark.readStream.schema(schema).json(place), ["num"], ["seq"], root, every=1)
+    assert read() == {1: "e", 2: "g", 3: "d", 4: "f", 5: "h"}
+    # a run that ends before its log entry changes nothing
+    spark.createDataFrame([(9, 9, "x")], schema).write.parquet(f"{root}/generation-{streams._generation(spark, root) + 1}/base")
+    assert read()[5] == "h" and 9 not in read()
 
 
 def test_shard_completion_over_batches(spark, tmp_path):
+    """Ids that are not expected, repeats and null ids complete nothing; a complete shard is reported once."""
     source, root = tmp_path / "in", str(tmp_path / "root")
     source.mkdir()
-    expected = spark.createDataFrame([(0, 3), (1, 1)], "shard long, expected long")
-    schema = "num long, at timestamp"
+    expected = spark.createDataFrame([(0,), (1,), (2,), (2,), (10,), (None,)], "num long")
     seen = []
-    for batch in ([(0, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:01"), (1, "2024-01-01 00:00:01")],
-                  [(2, "2024-01-01 00:10:00"), (1, "2024-01-01 00:00:01"), (10, "2024-01-01 00:11:00")]):
+    for batch in ([(0, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:01"), (1, "2024-01-01 00:00:09"), (9, "2024-01-01 00:00:01"), (None, None)],
+                  [(2, "2023-01-01 00:10:00"), (1, "2024-01-01 00:00:01"), (10, "2024-01-01 00:11:00")], [(2, "2024-01-02 00:00:00"), (10, None)]):
         spark.createDataFrame(batch, "num long, at string").coalesce(1).write.mode("append").json(str(source))
-        stream = spark.readStream.schema(schema).json(str(source))
-        streams.shard_completion(stream, expected, "num", "at", F.floor(F.col("num") / 10).cast("long"), root)
-        done = spark.read.option("pathGlobFilter", "*.parquet").schema("shard long, have long").parquet(f"{root}/version=*")
-        seen.append(sorted(r.shard for r in done.collect()))
-    assert seen == [[], [0, 1]]
+        stream = spark.readStream.schema("num long, at timestamp").json(str(source))
+        streams.shard_completion(stream, expected, "num", "at", root, 10)
+        done = spark.read.option("pathGlobFilter", "*.parquet").schema("shard long, have long, last_arrival timestamp").parquet(f"{root}/version=*")
+        seen.append(sorted((r.shard, r.have, str(r.last_arrival)) for r in done.collect()))
+    complete = [(0, 3, "2024-01-01 00:00:09"), (1, 1, "2024-01-01 00:11:00")]
+    assert seen == [[], complete, complete]
+
+
+def test_late_rows_of_windows(spark, tmp_path):
+    """Rows within the delay change their window, later ones are left out."""
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for batch in (["2024-01-01 10:00:00"], ["2024-01-01 12:00:00"], ["2024-01-01 11:55:00", "2024-01-01 10:30:00"], ["2024-01-01 15:00:00"]):
+        spark.createDataFrame([(at,) for at in batch], "at string").coalesce(1).write.mode("append").json(str(source))
+        stream = spark.readStream.schema("at timestamp").json(str(source))
+        totals = streams.tumbling_totals(stream, "at", [], F.lit("ok"))
+        streams.run_available(totals.select(F.col("window_start").cast("string"), "requests"), out, str(tmp_path / "state"))
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [
+        ("2024-01-01 10:00:00", 1), ("2024-01-01 11:00:00", 1), ("2024-01-01 12:00:00", 1)]
 
 
 def test_catalogue_and_lists(spark, tmp_path):
