@@ -117,8 +117,9 @@ def links(distinct: DataFrame, differing: int = 4, most: int = 1 << 16) -> DataF
     gives a spanning forest of its near pairs, so no group emits all its pairs. A variant with more than ``most`` members is dealt
     out: its members are hashed into parts, and each two parts meet in a task of their own.
     """
-    # a fingerprint is few bytes and many variants, so the number of tasks is set and not left to their size
-    distinct = distinct.select("fp").repartition(shuffle_partitions(distinct), "fp")
+    # a fingerprint is few bytes and many variants, so the number of tasks is set and not left to their size; dealt by a
+    # hash, since a partitioning by fp itself is there already and would be kept with its merged tasks
+    distinct = distinct.select("fp").repartition(shuffle_partitions(distinct), F.xxhash64("fp"))
     keyed = distinct.select("fp", F.explode(_variants(F.col("fp"), differing)).alias("key"))
     # hot variants: by cells of a fixed number first, then by key inside the full cells
     cell = F.pmod(F.xxhash64("key"), F.lit(CELLS)).cast("int")
