@@ -26,11 +26,6 @@ def distinct_titles(df: DataFrame, title: str, kind: Column) -> DataFrame:
     return df.where(kind).agg(F.count_distinct(title).alias("titles"))
 
 
-def distinct_titles_approx(df: DataFrame, title: str, kind: Column, error: float = 0.01) -> DataFrame:
-    """The same as a sketch, where an exact distinct is not needed."""
-    return df.where(kind).agg(F.approx_count_distinct(title, error).alias("titles"))
-
-
 def distinct_groups(df: DataFrame, title: str, year: str, lang: Column) -> DataFrame:
     return df.where(lang).select(title, year).distinct().agg(F.count(F.lit(1)).alias("groups"))
 
