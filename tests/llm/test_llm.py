@@ -10,7 +10,7 @@ from compare import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from subtlake.llm import decontaminate, language, mixing, quality, queries, secrets, simhash, substrings, topk, urls, warc
+from subtlake.llm import decontaminate, jaccard, language, mixing, quality, queries, secrets, simhash, substrings, topk, urls, warc
 from subtlake.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -104,6 +104,59 @@ def test_near_copies_odd_rows(spark):
     assert simhash.near_copies(docs(spark, [])).count() == 0
 
 
+def shingle_set(text, k=5):
+    words = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()).split()
+    return {b" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+def plain_similar(texts):
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for n, a in enumerate(sets):
+        for b in list(sets)[n + 1:]:
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                x, y = root(a), root(b)
+                group[max(x, y)] = min(x, y)
+    return {i: root(i) for i in sets}
+
+
+def test_similar_texts_equal_brute_force(spark):
+    rng = np.random.RandomState(11)
+    rows = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    for n in range(200):  # from 0.6 to 1 like another, and chains
+        words = rows[rng.choice(list(rows))].split() or ["x"]
+        for i in rng.randint(0, len(words), rng.randint(0, 2 + len(words) // 40)):
+            words[i] = f"w{rng.randint(50)}"
+        rows[10_000 + n] = " ".join(words)
+    rows |= {20_000: "a b c d e f g h i j k l m", 20_001: "A b c d e f g h i j k l m n", 20_002: "a b c d e f g h i j k", 20_003: "q r", 20_004: "Q  r", 20_005: None,
+             20_006: " ", 20_007: "one two three four five", 20_008: "one two three four five six"}
+    want = plain_similar(rows)
+    assert len({i for i in want if i < 10_000 and want[i] != i}) > 50
+    got = jaccard.drop_similar(docs(spark, list(rows.items())).repartition(4)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(set(want.values()))
+
+
+def test_pipeline_drops_similar_documents(spark):
+    rows = {r.doc_id: r.text for r in table(spark, "documents").collect()}
+    got = {r.doc_id for r in corpus_pipeline.single(spark, table(spark, "documents"), SF).collect()}
+    assert got == set(plain_similar(rows).values()) and 177 not in got  # 0.83 like another, but 9 bits from it
+
+
+def test_similar_odd_rows(spark):
+    frame = docs(spark, [(None, "a b c d e f"), (3, "A b c d e f"), (None, None), (None, ""), (9, "x"), (9, "x"), (8, "y"), (8, "z"), (7, "y")])
+    got = jaccard.drop_similar(frame)
+    assert got.columns == frame.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(3, "A b c d e f"), (9, "x"), (7, "y"), (8, "z")] + [
+        x for x in [(None, None), (None, "")] if x in {(r.doc_id, r.text) for r in got.collect()}], key=str)
+    assert jaccard.drop_similar(docs(spark, [])).count() == 0
+
+
 # repeated spans
 
 def plain_removal(rows, k):
