@@ -8,14 +8,15 @@ Declared languages and suffixes weigh as much as they agreed with the texts. All
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subtlake.llm.common import stored
 from subtlake.llm.tokens import bounded_batches, slices
-from subtlake.session import checkpointed
 
 GRAMS = 1 << 15
 
@@ -63,115 +64,162 @@ _PLAIN[65:91] = np.arange(97, 123)
 _PLAIN[128:] = np.arange(128, 256)
 
 
-def _languages(rows: DataFrame, most: int) -> list[str]:
-    """The declared languages, the most frequent first, at most ``most``."""
+def _languages(rows: DataFrame) -> list[str]:
+    """All declared languages, the most frequent first; two or three letters, so at most 26 ** 2 + 26 ** 3."""
     found = rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-    return [r["declared"] for r in found.orderBy(F.desc("n"), "declared").limit(most).collect()]
+    return [r["declared"] for r in found.orderBy(F.desc("n"), "declared").collect()]
 
 
-def _text_model(rows: DataFrame, languages: list[str]) -> np.ndarray:
-    """Log likelihood of each trigram bucket in each language, smoothed by the bucket's share over all languages."""
+def _gram_counts(rows: DataFrame, languages: list[str]) -> DataFrame:
+    """``bucket``, ``language`` (its number), ``n``: trigrams per declared language; a task holds at most ``GRAMS * 64`` sums at a time."""
     number = {x: i for i, x in enumerate(languages)}
+    width = len(languages)
+
+    def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
+        at, back = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+        total = np.zeros(len(at), np.int64)
+        np.add.at(total, back, np.concatenate([n for _, n in parts]))
+        return at, total
+
+    def out(parts: list) -> pa.RecordBatch:
+        at, total = merged(parts)
+        return pa.RecordBatch.from_arrays([pa.array((at // width).astype(np.int32)), pa.array((at % width).astype(np.int32)), pa.array(total)],
+                                          ["bucket", "language", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(GRAMS * len(languages), np.int64)
+        parts, size = [], 0
         for batch in batches:
             for part in slices(batch):
-                which = np.array([number.get(x, -1) for x in part.column("declared").to_pylist()])
+                which = np.array([number[x] for x in part.column("declared").to_pylist()], np.int64)
                 row, bucket = _trigrams(part.column("text"))
-                known = which[row] >= 0
-                total += np.bincount(bucket[known] * len(languages) + which[row][known], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
-
-    sums = rows.where("declared is not null").select("declared", "text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()  # at most buckets x languages rows
-    counts = np.zeros(GRAMS * len(languages))
-    counts[np.asarray(found["at"])] = np.asarray(found["n"])
-    counts = counts.reshape(GRAMS, len(languages))
-    overall = (counts.sum(axis=1, keepdims=True) + 0.5) / (counts.sum() + 0.5 * GRAMS)
-    each = (counts + 50 * overall) / (counts.sum(axis=0, keepdims=True) + 50)
-    return np.log(each / overall)
+                at, n = np.unique(bucket * width + which[row], return_counts=True)
+                parts.append((at.astype(np.int64), n.astype(np.int64)))
+                size += len(at)
+                if size > 2 * GRAMS * 64:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0])
+                    if size > GRAMS * 64:
+                        yield out(parts)
+                        parts, size = [], 0
+        if parts:
+            yield out(parts)
+
+    sums = rows.where("declared is not null").select("declared", "text").mapInArrow(count, "bucket int, language int, n long")
+    return stored(sums.groupBy("bucket", "language").agg(F.sum("n").alias("n")), "grams")
+
+
+def _sums(table: DataFrame, by: str, size: int) -> np.ndarray:
+    found = table.groupBy(by).agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(size)
+    total[np.asarray(found[by])] = np.asarray(found["n"])
+    return total
+
+
+def _block_scores(rows: DataFrame, counts: DataFrame, width: int, block: int, text_weight: float) -> DataFrame:
+    """``text_hash``, ``grams``, ``low`` (first language of the block), ``logs`` (of the block's languages): one row per row and block.
+
+    The log likelihood of a trigram bucket is smoothed by the bucket's share over all languages. One block's model is
+    ``GRAMS * block`` numbers, whatever the number of languages; the texts are read once for each block.
+    """
+    overall = _sums(counts, "bucket", GRAMS)
+    spoken = _sums(counts, "language", width)
+    overall = (overall + 0.5) / (overall.sum() + 0.5 * GRAMS)
+    tables = []
+    for low in range(0, width, block):
+        size = min(block, width - low)
+        found = counts.where((F.col("language") >= low) & (F.col("language") < low + size)).toArrow()
+        own = np.zeros((GRAMS, size))
+        own[np.asarray(found["bucket"]), np.asarray(found["language"]) - low] = np.asarray(found["n"])
+        each = (own + 50 * overall[:, None]) / (spoken[low:low + size] + 50)
+        model = rows.sparkSession.sparkContext.broadcast(np.log(each / overall[:, None]))
+
+        def read(batches: Iterator[pa.RecordBatch], model=model, low=low) -> Iterator[pa.RecordBatch]:
+            weights = model.value * text_weight
+            for batch in batches:
+                for part in slices(batch):
+                    row, bucket = _trigrams(part.column("text"))
+                    logs = np.stack([np.bincount(row, weights[bucket, i], minlength=len(part)) for i in range(weights.shape[1])], axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("text_hash"), pa.array(np.bincount(row, minlength=len(part))), pa.array(np.full(len(part), low, np.int32)),
+                         pa.array(list(logs), pa.list_(pa.float64()))], ["text_hash", "grams", "low", "logs"])
+
+        scores = rows.select("text_hash", "text").mapInArrow(read, "text_hash long, grams long, low int, logs array<double>")
+        tables.append(stored(scores.groupBy("text_hash", "low").agg(F.first("grams").alias("grams"), F.first("logs").alias("logs")), "scores"))
+        model.unpersist()
+    return reduce(DataFrame.unionAll, tables)
 
 
 def identify(docs: DataFrame, text: str = "text", key: str = "doc_id", declared: Column | None = None, host: Column | None = None,
-             text_weight: float = 0.25, host_weight: float = 20.0, accept: float = 0.5, most_languages: int = 64) -> DataFrame:
+             text_weight: float = 0.25, host_weight: float = 20.0, accept: float = 0.5, block: int = 64) -> DataFrame:
     """``key``, ``text_hash``, ``declared``, ``language``, ``posterior``, ``accepted``: one row per input row.
 
-    ``declared`` and ``host`` are columns of ``docs``; what is null or unknown says nothing. Trigrams overlap, so their likelihood
-    counts ``text_weight``-fold. A host's prior is worth its own documents plus ``host_weight`` documents of its parent's. A document
-    without any letter has no language and is not accepted; others are if the best language reaches ``accept``. Ties go to the more
-    frequent language. Without any declared language nothing is accepted.
+    ``declared`` and ``host`` are columns of ``docs``; what is null or unknown says nothing. Every declared language takes part;
+    ``block`` languages are scored at a time. Trigrams overlap, so their likelihood counts ``text_weight``-fold. A host's prior is
+    worth its own documents plus ``host_weight`` documents of its parent's. A document without any letter has no language and is not
+    accepted; others are if the best language reaches ``accept``. Ties go to the more frequent language. Without any declared
+    language nothing is accepted.
     """
     bounded_batches(docs.sparkSession)
     none = F.lit(None).cast("string")
     rows = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("text"),
                        (declared_code(declared) if declared is not None else none).alias("declared"),
                        (host if host is not None else none).alias("host"))
-    languages = _languages(rows, most_languages)
+    languages = _languages(rows)
     if not languages:
         return rows.select(F.col("id").alias(key), "text_hash", "declared", none.alias("language"), F.lit(None).cast("double").alias("posterior"),
                            F.lit(False).alias("accepted"))
-    model = rows.sparkSession.sparkContext.broadcast(_text_model(rows, languages))
-    kind = docs.schema[key].dataType.simpleString()
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.value * text_weight
-        for batch in batches:
-            for part in slices(batch):
-                row, bucket = _trigrams(part.column("text"))
-                logs = np.stack([np.bincount(row, weights[bucket, i], minlength=len(part)) for i in range(weights.shape[1])], axis=1)
-                logs -= logs.max(axis=1, keepdims=True)
-                grams = np.bincount(row, minlength=len(part))
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in ("id", "text_hash", "declared", "host")], pa.array(grams),
-                     pa.array(list(logs), pa.list_(pa.float64()))], ["id", "text_hash", "declared", "host", "grams", "logs"])
-
-    read_rows = rows.mapInArrow(read, f"id {kind}, text_hash long, declared string, host string, grams long, logs array<double>")
-    read_rows = read_rows.withColumn("best", F.when(F.col("grams") > 0, F.array_position("logs", F.array_max("logs")).cast("int") - 1))
-    read_rows = checkpointed(read_rows.withColumn("parent", parent_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
     width = len(languages)
-    every = _shares(read_rows, width)
-    hosts = _host_priors(read_rows, width, every, host_weight)
-    said = _agreement(read_rows, "declared", languages, width, every)
-    ending = _agreement(read_rows, "suffix", languages, width, every)
-    joined = read_rows.join(hosts.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"), "left")
-    joined = joined.join(F.broadcast(said), "declared", "left").join(F.broadcast(ending), "suffix", "left")
-    logs = [F.col("logs")[i] + F.log(F.coalesce(F.col("host_prior")[i], F.lit(every[i])))
-            + F.coalesce(F.col("declared_logs")[i], F.lit(0.0)) + F.coalesce(F.col("suffix_logs")[i], F.lit(0.0)) for i in range(width)]
-    joined = joined.withColumn("all", F.array(*logs))
-    top = F.array_max("all")
-    mass = F.aggregate("all", F.lit(0.0), lambda total, x: total + F.exp(x - top))
-    language = F.element_at(F.array(*[F.lit(x) for x in languages]), F.array_position("all", top).cast("int"))
-    there = F.col("grams") > 0
-    return joined.select(F.col("id").alias(key), "text_hash", "declared", F.when(there, language).alias("language"),
-                         F.when(there, 1 / mass).alias("posterior"), (there & (1 / mass >= accept)).alias("accepted"))
-
-
-def _shares(rows: DataFrame, width: int) -> list[float]:
-    found = {r["best"]: r["n"] for r in rows.where("best is not null").groupBy("best").agg(F.count(F.lit(1)).alias("n")).collect()}
+    scores = _block_scores(rows, _gram_counts(rows, languages), width, block, text_weight)
+    peak = F.struct((-F.array_max("logs")).alias("minus"), (F.col("low") + F.array_position("logs", F.array_max("logs")).cast("int") - 1).alias("best"))
+    best = scores.where("grams > 0").groupBy("text_hash").agg(F.min(peak)["best"].alias("best"))
+    # a result hangs on text, declared language and host alone
+    cases = rows.groupBy("text_hash", "declared", "host").agg(F.count(F.lit(1)).alias("n")).join(best, "text_hash", "left")
+    cases = cases.withColumn("parent", parent_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    cases = stored(cases, "cases")
+    every = _shares(cases, width)
+    joined = cases.join(scores, "text_hash")
+    for by in ("declared", "suffix", "host", "parent"):
+        votes = _votes(cases, by)
+        joined = joined.join(votes.withColumnRenamed(by, "_by"), F.col(by) == F.col("_by"), "left").drop("_by")
+    shares = F.array(*[F.lit(x) for x in every])
+
+    def had(by: str, i: Column) -> Column:
+        return F.coalesce(F.element_at(f"{by}_votes", i), F.lit(0))
+
+    def posterior(log: Column, j: Column) -> Column:
+        i = (F.col("low") + j).cast("int")
+        share = F.element_at(shares, i + 1)
+        above = (had("parent", i) + host_weight * share) / (F.col("parent_n") + host_weight)
+        prior = (had("host", i) + host_weight * above) / (F.col("host_n") + host_weight)
+        ratio = [F.coalesce(F.log((had(by, i) + 10 * share) / (F.col(f"{by}_n") + 10) / share), F.lit(0.0)) for by in ("declared", "suffix")]
+        return log + F.log(F.coalesce(prior, share)) + ratio[0] + ratio[1]
+
+    joined = joined.withColumn("all", F.transform("logs", posterior)).withColumn("top", F.array_max("all"))
+    mass = F.aggregate("all", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("top")))
+    at = F.col("low") + F.array_position("all", F.col("top")).cast("int")
+    parts = joined.groupBy("text_hash", "declared", "host").agg(
+        F.max("grams").alias("grams"), F.min(F.struct((-F.col("top")).alias("minus"), at.alias("at"))).alias("first"),
+        F.collect_list(F.struct("top", mass.alias("mass"))).alias("parts"))  # one a block
+    total = F.aggregate("parts", F.lit(0.0), lambda total, x: total + x["mass"] * F.exp(x["top"] + F.col("first.minus")))
+    told = parts.where("grams > 0").select(F.col("text_hash").alias("_hash"), F.col("declared").alias("_declared"), F.col("host").alias("_host"),
+                                           F.element_at(F.array(*[F.lit(x) for x in languages]), F.col("first.at")).alias("language"),
+                                           (1 / total).alias("posterior"))
+    same = (F.col("text_hash") == F.col("_hash")) & F.col("declared").eqNullSafe(F.col("_declared")) & F.col("host").eqNullSafe(F.col("_host"))
+    found = rows.select("id", "text_hash", "declared", "host").join(stored(told, "told"), same, "left")
+    return found.select(F.col("id").alias(key), "text_hash", "declared", "language", "posterior",
+                        F.coalesce(F.col("posterior") >= accept, F.lit(False)).alias("accepted"))
+
+
+def _shares(cases: DataFrame, width: int) -> list[float]:
+    found = {r["best"]: r["n"] for r in cases.where("best is not null").groupBy("best").agg(F.sum("n").alias("n")).collect()}
     total = sum(found.values()) + width
     return [(found.get(i, 0) + 1) / total for i in range(width)]
 
 
-def _host_priors(rows: DataFrame, width: int, every: list[float], weight: float) -> DataFrame:
-    """host, host_prior: shares of the languages its texts speak, smoothed by its parent's, and those by all documents'."""
-    votes = [F.count(F.when(F.col("best") == i, 1)).alias(f"n{i}") for i in range(width)]
-    own = rows.where("host is not null and best is not null").groupBy("host", "parent").agg(*votes)
-    above = own.groupBy("parent").agg(*[F.sum(f"n{i}").alias(f"p{i}") for i in range(width)])
-    size = sum((F.col(f"n{i}") for i in range(width)), F.lit(0))
-    family = sum((F.col(f"p{i}") for i in range(width)), F.lit(0))
-    share = [(F.col(f"p{i}") + weight * every[i]) / (family + weight) for i in range(width)]
-    prior = F.array(*[(F.col(f"n{i}") + weight * share[i]) / (size + weight) for i in range(width)])
-    return own.join(above, "parent").select("host", prior.alias("host_prior"))
-
-
-def _agreement(rows: DataFrame, column: str, languages: list[str], width: int, every: list[float], most: int = 4096) -> DataFrame:
-    """``column``, its log likelihood ratios per language from how often texts of each language had it; the ``most`` frequent values."""
-    votes = [F.count(F.when(F.col("best") == i, 1)).alias(f"n{i}") for i in range(width)]
-    found = rows.where(f"{column} is not null and best is not null").groupBy(column).agg(F.count(F.lit(1)).alias("n"), *votes)
-    ratio = [F.log((F.col(f"n{i}") + 10 * every[i]) / (F.col("n") + 10) / every[i]) for i in range(width)]
-    return found.orderBy(F.desc("n"), column).limit(most).select(column, F.array(*ratio).alias(f"{column}_logs"))
+def _votes(cases: DataFrame, by: str) -> DataFrame:
+    """``by``, ``{by}_n`` and ``{by}_votes``: how many texts had it, in all and as a map by the language they speak."""
+    own = cases.where(f"{by} is not null and best is not null").groupBy(by, "best").agg(F.sum("n").alias("n"))
+    return own.groupBy(by).agg(F.sum("n").alias(f"{by}_n"), F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias(f"{by}_votes"))
 
 
 def keep_identified(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:

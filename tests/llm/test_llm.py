@@ -309,6 +309,15 @@ def test_host_prior_decides_a_short_text(spark):
     assert (got[100], got[101]) == ("de", "en") and got[102] is not None
 
 
+def test_every_declared_language_takes_part(spark):
+    names = [a + b for a in "abcdefgh" for b in "abcdefghij"]
+    rows = [(100 * i + j, f"{x * 3} {x[::-1] * 4} {x}q{x}", x, "h") for i, x in enumerate(names) for j in range(4 if i < 79 else 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string")
+    got = [{(r.doc_id, r.language, round(r.posterior, 9)) for r in language.identify(frame, declared=F.col("lang"), host=F.col("host"), block=n).collect()} for n in (64, 7)]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    assert {x for _, x, _ in got[0]} == set(names)
+
+
 # mixing and quality
 
 def test_mixing_meets_targets(spark):
