@@ -285,6 +285,23 @@ def test_url_trees_learn_the_rules(spark):
     assert got.agg(F.avg(F.col("same").cast("int"))).first()[0] > 0.9
 
 
+def test_url_statistics_cover_all_rows(spark):
+    addresses = [f"http://h{i}.com/p{i}" for i in range(20)] + [f"http://h{i}.net/es/{i}" for i in range(20)] + ["http://free.org/"]
+    hashed = spark.createDataFrame([(x,) for x in addresses[:-1]], "url string").orderBy(F.xxhash64("url")).first().url
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(addresses + [hashed] * 50)], "page_id long, url string")
+    # 50 copies of the first URL took the whole sample of 30 rows, so that one label was left
+    got = urls.judge_urls(frame, most=30, trees=2, depth=2).collect()
+    assert len(got) == 91 and len({r.block_chance for r in got}) > 1
+    counted = frame.selectExpr("url", "split(url, '/')[2] as parent", "cast(url like '%.net/%' as double) as label").where("url <> 'http://free.org/'")
+    counted = counted.groupBy("url", "parent", "label").agg(F.count("*").alias("n"))
+    rates = {r.parent: r.parent_rate for r in urls.block_rates(counted, "parent", 0.5, 10.0).collect()}
+    hot = hashed.split("/")[2]
+    assert len(rates) == 40 and rates[hot] == pytest.approx((51 * hot.endswith(".net") + 5) / 61)
+    drawn = urls._draw(counted, 10).collect()
+    weight = {x: sum(r.weight for r in drawn if r.label == x) for x in (0.0, 1.0)}
+    assert len(drawn) == 10 and sorted(weight.values()) == pytest.approx([20, 70])
+
+
 # language
 
 def test_language(spark):
