@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtlake.llm.common import components, stored
@@ -195,35 +195,31 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", differ
     texts share the fingerprint zero and link like any other. Null keys are passed over when the smallest is taken (null if the
     group has no other). Other columns of ``docs`` are not read.
     """
-    signed = checkpointed(fingerprints(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "text", shingle))
+    out = _grouped(docs, text, key, differing, shingle)
+    return out.select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component",
+                      F.col("low").alias("component_id"))
+
+
+def _grouped(docs: DataFrame, text: str, key: str, differing: int = 4, shingle: int = 4) -> DataFrame:
+    """``id``, ``text_hash``, ``fp``, ``component``, ``low``: one row per input row."""
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    signed = checkpointed(fingerprints(docs.select(F.col(key).alias("id"), digest.alias("text_hash"), F.col(text).alias("text")), "text", shingle))
     own = signed.groupBy("fp").agg(F.min("id").alias("low"))
     groups = components(links(own.select("fp"), differing), "a", "b")
     named = own.join(groups, own["fp"] == groups["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
     lowest = stored(named.groupBy("component").agg(F.min("low").alias("low")), "groups")
     named = named.select("fp", "component").join(lowest, "component")
-    out = signed.join(named, "fp")
-    return out.select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component",
-                      F.col("low").alias("component_id"))
+    return signed.join(named, "fp")
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` with the smallest key of each group, one of each group; all columns stay.
+    """The row of ``docs`` with the smallest key (null last, then the smallest hash of the text) of each group; all columns stay.
 
-    Groups without any key keep one row. Rows that repeat a key stay once.
+    Rows that repeat a key and a text stay once.
     """
-    labels = near_copies(docs, text, key, **options)
-    chosen = labels.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min(key).alias("_kept")).select("_kept")
-    named = chosen.where("_kept is not null").distinct()
-    kept = docs.join(named, docs[key] == named["_kept"], "left_semi")
-    one = Window.partitionBy(key).orderBy(key)
-    kept = kept.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
-    nameless = docs.where(F.col(key).isNull())
-    return kept.unionByName(_nameless(nameless, labels, text, key, options))
-
-
-def _nameless(docs: DataFrame, labels: DataFrame, text: str, key: str, options: dict) -> DataFrame:
-    """One row of each group in which no row has a key."""
-    without = labels.where(F.col("component_id").isNull()).select("fingerprint", "component").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
-    signed = fingerprints(rows, "_text", options.get("shingle", 4)).withColumn("_print", F.lower(F.lpad(F.hex("fp"), 16, "0")))
-    return signed.join(without, signed["_print"] == without["fingerprint"]).dropDuplicates(["component"]).select("_row.*")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    kept = _grouped(docs, text, key, **options).groupBy("component").agg(first)
+    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    rows = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    rows = rows.join(kept, rows[key].eqNullSafe(kept["_id"]) & (rows["_text"] == kept["_hash"]), "left_semi")
+    return rows.dropDuplicates([key, "_text"]).select(*docs.columns)

@@ -104,6 +104,12 @@ def test_near_copies_odd_rows(spark):
     assert simhash.near_copies(docs(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_where_keys_repeat(spark):
+    one, two, three = "a b c d e f g", "n o p q r s t u", "h i j k l m"
+    got = simhash.drop_near_copies(docs(spark, [(1, one), (1, two), (1, two), (2, two), (3, three), (None, three)]))
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(1, one), (1, two), (3, three)]
+
+
 def shingle_set(text, k=5):
     words = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()).split()
     return {b" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))}
