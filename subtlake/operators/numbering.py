@@ -1,21 +1,96 @@
 """Positions inside groups, safe when one group holds most rows.
 
-Two ways. Ids (unique, dense) are counted per id bucket and numbered inside it. Any other order is
-range-partitioned over group and order columns, so a hot group spans many partitions, and fixed by a
-reliable checkpoint, since partition numbers must not change when a task runs again.
+Two ways. Ids (unique, dense) are counted per id bucket and numbered inside it. Any other order is cut at split points of
+(group, order): a small list taken from a sample that depends on the rows' values alone. A row's bucket follows from its own
+values and that list, never from a partition number, so nothing has to be fixed by a checkpoint and a task that runs again
+finds the same buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from subtlake.functions.ids import bucket_of
-from subtlake.session import checkpointed, shuffle_partitions
+from subtlake.session import shuffle_partitions
+
+#: Sampled rows for each bucket: the more, the more even the buckets.
+SAMPLED = 32
+
+
+@dataclass(frozen=True)
+class Descending:
+    """A column to order by from the greatest value down, nulls last."""
+
+    column: Column
+
+
+def _digits_down(text: Column) -> Column:
+    """Hex digits whose ascending order is the descending order of the bytes; a text behind its own continuations."""
+    return F.concat(F.translate(F.hex(text), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+
+
+def sort_key(df: DataFrame, order: list[Column | Descending]) -> Column:
+    """One struct that ascends in the given order. Nulls come first in an ascending column and last in a descending one."""
+    fields = []
+    for i, wish in enumerate(order):
+        down = isinstance(wish, Descending)
+        value = wish.column if down else wish
+        kind = df.select(value.alias("x")).schema["x"].dataType
+        fields.append((value.isNull() if down else value.isNotNull()).alias(f"s{i}"))
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            # NaN is the greatest number in Spark's order, and stays it when negated
+            fields.append((~F.isnan(value) if down else F.isnan(value)).alias(f"n{i}"))
+            value = F.when(F.isnan(value), 0.0).otherwise(-value if down else value)
+        elif down and isinstance(kind, (T.StringType, T.BinaryType)):
+            value = _digits_down(value)
+        elif down and isinstance(kind, T.BooleanType):
+            value = ~value
+        elif down and isinstance(kind, T.DateType):
+            value = -F.unix_date(value)
+        elif down and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            value = -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(kind), value)
+        elif down and isinstance(kind, T.IntegralType):
+            value = F.bitwise_not(value)
+        elif down and isinstance(kind, T.DecimalType):
+            value = -value
+        elif down:
+            raise ValueError(f"no descending order of {kind.simpleString()}")
+        fields.append(value.alias(f"v{i}"))
+    return F.struct(*fields)
+
+
+def split_points(rows: DataFrame, place: str, buckets: int) -> Column:
+    """At most ``buckets - 1`` split points of the column ``place``, as one array.
+
+    The sample is the ``SAMPLED * buckets`` values with the smallest hashes: the same for the same values in any order, kept
+    per task in a heap of that size.
+    """
+    hashed = rows.select(place, F.xxhash64(place).alias("_h"))
+    sample = hashed.orderBy("_h", place).limit(SAMPLED * buckets)
+    points = sample.agg(F.array_sort(F.collect_set(place)).alias("p"))
+    n = F.size("p")
+    at = F.transform(F.sequence(F.lit(1), F.lit(max(buckets - 1, 1))), lambda i: F.get("p", F.floor(i * n / F.lit(buckets)).cast("int")))
+    return points.select(F.array_distinct(F.filter(at, lambda x: x.isNotNull())).alias("p")).scalar()
+
+
+def with_bucket(rows: DataFrame, place: str, points: Column, buckets: int, out: str) -> DataFrame:
+    """``out``: how many of the ascending ``points`` are at or below ``place``, by halving.
+
+    A step is a projection of its own: generated code keeps the steps apart, while a lambda over them would be interpreted.
+    """
+    rows = rows.withColumn("_points", points).withColumn(out, F.lit(0))
+    for i in reversed(range(max(buckets, 2).bit_length())):
+        higher = F.get("_points", F.col(out) + F.lit((1 << i) - 1)) <= F.col(place)
+        rows = rows.withColumn(out, F.when(higher, F.col(out) + F.lit(1 << i)).otherwise(F.col(out)))
+    return rows.drop("_points")
+
 
 def number_by_id(df: DataFrame, keys: list[str], num: str, out: str = "rn", bucket: int = 100_000) -> DataFrame:
     """1-based position of each row in its group by ascending id. One shuffle of the rows, by group and bucket."""
@@ -34,35 +109,41 @@ def number_by_id(df: DataFrame, keys: list[str], num: str, out: str = "rn", buck
     )
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[Column], out: str = "rn", bounded: bool = False) -> DataFrame:
+def number_rows(df: DataFrame, keys: list[str], order: list[Column | Descending], out: str = "rn", bounded: bool = False,
+                buckets: int | None = None) -> DataFrame:
     """1-based position of each row in its group by any total order.
 
-    ``bounded`` says that groups are small by nature (each came from one row), so one window per group will do.
+    ``df`` is read three times: its groups and order columns for the split points and for the counts of rows per bucket, then
+    whole. The counts of earlier buckets of the same group give a bucket's offset. ``bounded`` says that groups are small by
+    nature (each came from one row), so one window per group will do.
     """
     if bounded:
-        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    ranged = df.repartitionByRange(shuffle_partitions(df), *[F.col(k) for k in keys], *order)
-    parts = checkpointed(
-        ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_g", F.struct(*keys) if keys else F.lit(0))
-    )
-    before = W.partitionBy("_g").orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    # only groups that go on from an earlier partition have an offset: at most one per partition
+        plain = [w.column.desc_nulls_last() if isinstance(w, Descending) else w.asc_nulls_first() for w in order]
+        return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*plain)).cast("long"))
+    buckets = buckets or 4 * shuffle_partitions(df)
+    group = F.struct(*keys) if keys else F.struct(F.lit(0))
+    rows = df.withColumn("_p", F.struct(group.alias("g"), sort_key(df, order).alias("k")))
+    points = split_points(rows, "_p", buckets)
+    rows = with_bucket(rows, "_p", points, buckets, "_b").withColumn("_g", F.col("_p.g"))
+    before = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    # only groups that go on from an earlier bucket have an offset: at most one per bucket
     offsets = (
-        parts.groupBy("_g", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+        rows.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.sum("_n").over(before)).where("_offset > 0").drop("_n")
     )
-    inside = F.row_number().over(W.partitionBy("_g", "_pid").orderBy(*order))
-    return (
-        parts.withColumn("_inside", inside).join(F.broadcast(offsets), ["_g", "_pid"], "left")
-        .withColumn(out, F.coalesce("_offset", F.lit(0)) + F.col("_inside"))
-        .drop("_g", "_pid", "_inside", "_offset")
-    )
+    inside = F.row_number().over(W.partitionBy("_g", "_b").orderBy("_p.k"))
+    numbered = rows.withColumn("_inside", inside).join(F.broadcast(offsets), same_place(rows, offsets), "left")
+    return numbered.withColumn(out, F.coalesce(offsets["_offset"], F.lit(0)) + F.col("_inside")).select(*df.columns, out)
+
+
+def same_place(rows: DataFrame, offsets: DataFrame) -> Column:
+    return rows["_g"].eqNullSafe(offsets["_g"]) & (rows["_b"] == offsets["_b"])
 
 
 def rolling(
     df: DataFrame,
     keys: list[str],
-    order: list[Column],
+    order: list[Column | Descending],
     columns: Callable[[Callable[[int], WindowSpec]], dict[str, Column]],
     longest: int,
     block: int = 100_000,

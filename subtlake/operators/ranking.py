@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtlake.functions.names import version_key
-from subtlake.operators.numbering import number_rows
+from subtlake.operators.numbering import Descending, number_rows
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
@@ -36,13 +36,13 @@ def shards_descending(shards: DataFrame, shard: str = "shard") -> DataFrame:
 
 
 def rank_newest_first(df: DataFrame, keys: list[str], num: str, **options) -> DataFrame:
-    return number_rows(df, keys, [F.col(num).desc()], "rank", **options)
+    return number_rows(df, keys, [Descending(F.col(num))], "rank", **options)
 
 
 def rank_by_popularity(df: DataFrame, keys: list[str], num: str, rating: str, votes: str, downloads: str,
                        **options) -> DataFrame:
     """Rank by rating, votes and downloads; the newer id first among equals."""
-    order = [F.col(c).desc_nulls_last() for c in (rating, votes, downloads)] + [F.col(num).desc()]
+    order = [Descending(F.col(c)) for c in (rating, votes, downloads, num)]
     return number_rows(df, keys, order, "rank", **options)
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from subtlake.operators.numbering import id_lists, number_by_id, number_rows, rolling
+from subtlake.operators.numbering import Descending, id_lists, number_by_id, number_rows, rolling, split_points, with_bucket
 from subtlake.operators.skew import salted_join
 from subtlake.operators.stats import fetch_windows
 
@@ -31,8 +31,9 @@ def test_number_by_id(spark):
 
 def test_number_rows_split_groups(spark):
     df = hot_rows(spark)
-    order = [F.col("t").desc(), F.col("id")]
-    plain = {r.id: r.n for r in df.withColumn("n", F.row_number().over(W.partitionBy("k").orderBy(*order))).collect()}
+    order = [Descending(F.col("t")), F.col("id")]
+    window = W.partitionBy("k").orderBy(F.desc("t"), "id")
+    plain = {r.id: r.n for r in df.withColumn("n", F.row_number().over(window)).collect()}
     split = {r.id: r.n for r in number_rows(df, ["k"], order, "n").collect()}
     assert len(plain) == 3000 and split == plain
     assert plain == {r.id: r.n for r in number_rows(df, ["k"], order, "n", bounded=True).collect()}
@@ -40,6 +41,30 @@ def test_number_rows_split_groups(spark):
     assert all(n == i + 1 for i, n in whole.items())
 
 
+def test_number_rows_by_every_type_and_direction(spark):
+    rows = [(i, i % 3 if i % 7 else None, float("nan") if i % 11 == 0 else (i % 13) - 6.0, "ab"[: i % 3] + chr(97 + i % 5), i % 2 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, n int, x double, s string, b boolean").repartition(5)
+    df = df.withColumn("d", F.date_add(F.lit("1969-12-20"), F.col("id").cast("int") % 30)).withColumn("t", F.col("d").cast("timestamp"))
+    for name in ("n", "x", "s", "b", "d", "t"):
+        for down in (True,) if name != "x" else (True, False):
+            plain = F.col(name).desc_nulls_last() if down else F.col(name).asc_nulls_first()
+            want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(W.orderBy(plain, F.desc("id")))).collect()}
+            order = [Descending(F.col(name)) if down else F.col(name), Descending(F.col("id"))]
+            assert {r.id: r.rn for r in number_rows(df, [], order, "rn").collect()} == want, (name, down)
+
+
+def test_number_rows_plan(spark):
+    """No checkpoint, no partition numbers; one group of all rows is dealt over many buckets."""
+    df = hot_rows(spark)
+    numbered = number_rows(df, [], [F.col("id")], "n", buckets=16)
+    plan = numbered._jdf.queryExecution().toString()
+    assert "spark_partition_id" not in plan.lower() and "checkpoint" not in plan.lower()
+    rows = df.withColumn("p", F.struct(F.lit(0).alias("g"), "id"))
+    points = split_points(rows, "p", 16)
+    sizes = [r["count"] for r in with_bucket(rows, "p", points, 16, "b").groupBy("b").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 3000 / 16
+
+
 def test_rolling_blocks(spark):
     df = hot_rows(spark).withColumn("w", F.coalesce("k", F.lit("none")))
 
