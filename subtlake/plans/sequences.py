@@ -75,19 +75,33 @@ def chunk_by_count(spark, sf):
     return grouping.chunk_by_count(table(spark, sf, "documents"), "lang", "doc_id", 25, 100)
 
 
-@query("""
+def _fill_sql(key: str) -> str:
+    """Packs one file after the other; ``key`` cuts the ids into series of their own."""
+    return f"""
 WITH RECURSIVE files AS (
-  SELECT doc_id // 1000 AS release_id, lang, doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS size,
-         row_number() OVER (PARTITION BY doc_id // 1000, lang ORDER BY doc_id) AS rn
+  SELECT {key} AS key, doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS size, row_number() OVER (PARTITION BY {key} ORDER BY doc_id) AS rn
   FROM documents WHERE octet_length(encode(text)) > 0),
 fill AS (
-  SELECT release_id, lang, doc_id, size, rn, size AS used, CAST(0 AS BIGINT) AS pack FROM files WHERE rn = 1
+  SELECT key, doc_id, size, rn, size AS used, CAST(0 AS BIGINT) AS pack FROM files WHERE rn = 1
   UNION ALL
-  SELECT f.release_id, f.lang, f.doc_id, f.size, f.rn,
-         CASE WHEN p.used + f.size < 49000.0 THEN p.used + f.size ELSE f.size END,
+  SELECT f.key, f.doc_id, f.size, f.rn, CASE WHEN p.used + f.size < 49000.0 THEN p.used + f.size ELSE f.size END,
          CASE WHEN p.used + f.size < 49000.0 THEN p.pack ELSE p.pack + 1 END
-  FROM fill p JOIN files f ON f.release_id = p.release_id AND f.lang = p.lang AND f.rn = p.rn + 1)
-SELECT release_id, lang, doc_id, size, pack FROM fill""")
+  FROM fill p JOIN files f ON f.key = p.key AND f.rn = p.rn + 1)
+SELECT key AS lang, doc_id, size, pack FROM fill"""
+
+
+def _sizes(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "lang", F.octet_length("text").alias("size"))
+
+
+@query(_fill_sql("'all'"))
 def pack_by_size(spark, sf):
-    files = table(spark, sf, "documents").select("doc_id", "lang", F.octet_length("text").alias("size"))
-    return grouping.pack_by_size(files, ["lang"], "doc_id", "size", 50_000, release_size=1000)
+    """One series through all ids; small buckets, so that packs cross them and their tree has levels."""
+    packed = grouping.pack_by_size(_sizes(spark, sf), [], "doc_id", "size", 50_000, bucket=50, fan=4)
+    return packed.withColumn("lang", F.lit("all"))
+
+
+@query(_fill_sql("lang"))
+def pack_by_language(spark, sf):
+    """A series of packs for each language, through all of its ids."""
+    return grouping.pack_by_size(_sizes(spark, sf), ["lang"], "doc_id", "size", 50_000, bucket=100, fan=4)

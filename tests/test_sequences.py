@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -61,23 +62,52 @@ def test_time_outliers_carry_over(spark):
     assert got == want
 
 
+def plain_packs(rows, limit):
+    """One file after the other, per key."""
+    state, out = {}, {}
+    for num, key, size in sorted(rows, key=lambda r: (r[0], r[2])):
+        pack, used = state.get(key, (-1, None))
+        if used is None or used + size >= limit:
+            pack, used = pack + 1, 0
+        state[key] = (pack, used + size)
+        out.setdefault((num, key, size), []).append(pack)
+    return out
+
+
+def packed(df, keys, **options):
+    out = {}
+    for r in grouping.pack_by_size(df, keys, "num", "size", 1000, **options).collect():
+        out.setdefault((r.num, r.lang if keys else None, r["size"]), []).append(r.pack)
+    return {k: sorted(v) for k, v in out.items()}
+
+
 def test_pack_by_size_follows_the_sequence(spark):
     rng = random.Random(9)
-    sizes = [(n, rng.choice(["x", "y"]), rng.choice([0, 10, 300, 990, 2000])) for n in range(500)]
-    df = spark.createDataFrame(sizes, "num long, lang string, size long")
-    got = grouping.pack_by_size(df, ["lang"], "num", "size", 1000, release_size=200).collect()
-    got = {r.num: (r.release_id, r.lang, r.pack) for r in got}
-    state = {}
-    for num, lang, size in sizes:
-        if size == 0:
-            assert num not in got
-            continue
-        key = (num // 200, lang)
-        pack, used = state.get(key, (0, None))
-        if used is not None and used + size >= 980:
-            pack, used = pack + 1, 0
-        state[key] = (pack, (used or 0) + size)
-        assert got[num] == (*key, pack)
+    # a language with a third of all rows, another in a few far ids, empty and oversized files, ids on both sides of 0, stretches without ids
+    rows = [(n, "x" if rng.random() < 0.4 else rng.choice("yz"), rng.choice([0, 1, 10, 300, 489, 490, 980, 2000])) for n in range(-150, 900) if not 200 < n < 420]
+    rows += [(50_000 + n, "far", 300) for n in range(20)] + [(7, "x", 5), (7, "x", 600)]
+    df = spark.createDataFrame(rows, "num long, lang string, size long")
+    full = [r for r in rows if r[2] > 0]
+    for keys in ([], ["lang"]):
+        want = {k: sorted(v) for k, v in plain_packs([(n, lang if keys else None, s) for n, lang, s in full], 980).items()}
+        for bucket, fan in ((40, 2), (7, 16)) if keys else ((40, 3), (100_000, 16)):
+            assert packed(df, keys, bucket=bucket, fan=fan) == want, (keys, bucket)
+    later = [(n, None, s) for n, _, s in full if n >= 100]
+    assert packed(df, [], first=100, bucket=40, fan=2) == {k: sorted(v) for k, v in plain_packs(later, 980).items()}
+    assert packed(df.limit(0), ["lang"]) == {}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 30), min_size=1, max_size=12), min_size=1, max_size=9), st.integers(1, 60))
+def test_stretches_compose_like_the_sequence(stretches, limit):
+    functions = [grouping._steps(np.array(s), limit) for s in stretches]
+    whole = grouping._steps(np.concatenate(stretches), limit)
+    for parts in (functions, [grouping._compose(functions[i:i + 2], limit) for i in range(0, len(functions), 2)]):
+        total, breaks, after, packs = grouping._compose(parts, limit)
+        assert total == whole[0]
+        for threshold in range(1, min(limit, total) + 1):
+            one, two = (grouping._through(f, np.array([threshold])) for f in ((total, breaks, after, packs), whole))
+            assert max(int(one[0][0]), 0) == max(int(two[0][0]), 0) and one[1][0] == two[1][0]
 
 
 def test_reconcile_and_completeness(spark):
