@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtlake.llm import decontaminate, language, mixing, quality, secrets, simhash, substrings, topk, urls, warc
+from subtlake.llm import decontaminate, language, manifest, mixing, quality, secrets, simhash, substrings, topk, urls, warc
 from subtlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,66 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0)
                    ELSE array_to_string(list_transform(list_sort(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(gone, k))), lambda k: w[k]), ' ') END) AS kept_sha256
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; a third of the texts is lower-cased to see that this is noticed."""
+    docs = table(spark, sf_dir, "documents")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = manifest.manifest(docs, tampered={"text": F.when(chosen, F.translate("text", capitals, capitals.lower()))})
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+ORACLE["op11_merkle_manifest"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, source, n_chars, text,
+         (4294967295 - list_reduce(list_concat([4294967295],
+           list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+           lambda c, b: list_reduce(list_concat([xor(CAST(c AS BIGINT), CAST(b AS BIGINT))], range(8)),
+             lambda v, u: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 3 = 0 AS chosen
+  FROM documents
+), f AS (
+  SELECT doc_id, lang, chosen, text AS was, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS changed,
+         coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head
+  FROM d
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, sha256(head || coalesce(octet_length(encode(was)) || ':' || was, '-')) AS leaf,
+               sha256(head || coalesce(octet_length(encode(CASE WHEN chosen THEN changed ELSE was END)) || ':' || CASE WHEN chosen THEN changed ELSE was END, '-')) AS now
+        FROM f)
+), lev AS (
+  SELECT lang, 0 AS l, pos, leaf AS h, n FROM leaves
+  UNION ALL
+  SELECT lang, l + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM lev WHERE n > 1 GROUP BY lang, l, pos // 8, n
+), sub AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM lev WHERE n = 1
+), top AS (
+  SELECT 0 AS l, pos, h, n FROM sub
+  UNION ALL
+  SELECT l + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY l, pos // 8, n
+), seg AS (
+  SELECT lang, l, pos, coalesce(string_agg(h, '') OVER (PARTITION BY lang, l, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+         coalesce(string_agg(h, '') OVER (PARTITION BY lang, l, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM lev WHERE n > 1
+), topseg AS (
+  SELECT l, pos, coalesce(string_agg(h, '') OVER (PARTITION BY l, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+         coalesce(string_agg(h, '') OVER (PARTITION BY l, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+  FROM top WHERE n > 1
+), fold AS (
+  SELECT lang, pos AS place, 0 AS l, pos, n, now AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT f.lang, f.place, f.l + 1, f.pos // 8, (f.n + 7) // 8, sha256(s.a || f.h || s.b), f.proof || s.a || s.b
+  FROM fold f JOIN seg s ON s.lang IS NOT DISTINCT FROM f.lang AND s.l = f.l AND s.pos = f.pos WHERE f.n > 1
+), topfold AS (
+  SELECT f.lang, f.place, 0 AS l, s.pos, s.n, f.h, f.proof FROM fold f JOIN sub s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL
+  SELECT f.lang, f.place, f.l + 1, f.pos // 8, (f.n + 7) // 8, sha256(s.a || f.h || s.b), f.proof || s.a || s.b
+  FROM topfold f JOIN topseg s ON s.l = f.l AND s.pos = f.pos WHERE f.n > 1
+)
+SELECT x.doc_id, x.leaf, s.h AS subroot, r.h AS root, sha256(t.proof) AS proof_sha256, t.h AS folded_root, t.h = r.h AS verified
+FROM leaves x JOIN sub s ON s.lang IS NOT DISTINCT FROM x.lang JOIN (SELECT h FROM top WHERE n = 1) r ON true
+JOIN topfold t ON t.n = 1 AND t.lang IS NOT DISTINCT FROM x.lang AND t.place = x.pos
+"""
