@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtlake.llm import decontaminate, language, manifest, mixing, quality, secrets, simhash, substrings, topk, urls, warc
+from subtlake.llm import decontaminate, divergence, language, manifest, mixing, quality, secrets, simhash, substrings, topk, urls, warc
 from subtlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -267,3 +267,44 @@ SELECT x.doc_id, x.leaf, s.h AS subroot, r.h AS root, sha256(t.proof) AS proof_s
 FROM leaves x JOIN sub s ON s.lang IS NOT DISTINCT FROM x.lang JOIN (SELECT h FROM top WHERE n = 1) r ON true
 JOIN topfold t ON t.n = 1 AND t.lang IS NOT DISTINCT FROM x.lang AND t.place = x.pos
 """
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the other sources of its language, and the terms it has more of than the language."""
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_divergence"] = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{80}-\\x{10FFFF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT *, row_number() OVER () AS row FROM d)
+),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+t AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+p AS (
+  SELECT t.lang, t.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2)) // (CAST(t.total AS HUGEINT) + 2 * v.v) AS p
+  FROM t JOIN k ON k.lang = t.lang JOIN v ON v.lang = t.lang LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = k.term
+),
+q AS (
+  SELECT x.lang, x.term, 1 + (CAST(1000000000 AS HUGEINT) * (x.n + 2)) // (CAST(y.n AS HUGEINT) + 2 * v.v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) x JOIN (SELECT lang, sum(n) AS n FROM c GROUP BY ALL) y ON y.lang = x.lang JOIN v ON v.lang = x.lang
+),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, ((p.p - q.q) * (p.p - q.q)) // (p.p + q.q) FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q
+),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
