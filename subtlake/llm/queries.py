@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtlake.llm import decontaminate, divergence, language, manifest, mixing, quality, secrets, simhash, substrings, topk, urls, warc
+from subtlake.llm import decontaminate, divergence, language, manifest, mixing, quality, secrets, simhash, substrings, topk, urls, vectors, warc
 from subtlake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,6 +269,12 @@ JOIN topfold t ON t.n = 1 AND t.lang IS NOT DISTINCT FROM x.lang AND t.place = x
 """
 
 
+@query
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors of a label with a cosine of 0.93 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source against the other sources of its language, and the terms it has more of than the language."""
