@@ -21,7 +21,7 @@ from subtlake.functions.ids import bucket_of
 from subtlake.session import shuffle_partitions
 
 #: Sampled rows for each bucket: the more, the more even the buckets.
-SAMPLED = 32
+SAMPLED = 16
 
 
 @dataclass(frozen=True)
@@ -69,11 +69,11 @@ def sort_key(df: DataFrame, order: list[Column | Descending]) -> Column:
 def split_points(rows: DataFrame, place: str, buckets: int) -> Column:
     """At most ``buckets - 1`` split points of the column ``place``, as one array.
 
-    The sample is the ``SAMPLED * buckets`` values with the smallest hashes: the same for the same values in any order, kept
-    per task in a heap of that size.
+    The sample holds the values whose hash falls into a share that leaves about ``SAMPLED * buckets`` rows: the same for the same
+    rows in any order, and of that size however many there are.
     """
-    hashed = rows.select(place, F.xxhash64(place).alias("_h"))
-    sample = hashed.orderBy("_h", place).limit(SAMPLED * buckets)
+    every = rows.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.lit(SAMPLED * buckets))).alias("n")).scalar()
+    sample = rows.select(place).where(F.pmod(F.xxhash64(place), every) == 0)
     points = sample.agg(F.array_sort(F.collect_set(place)).alias("p"))
     n = F.size("p")
     at = F.transform(F.sequence(F.lit(1), F.lit(max(buckets - 1, 1))), lambda i: F.get("p", F.floor(i * n / F.lit(buckets)).cast("int")))
@@ -120,7 +120,7 @@ def number_rows(df: DataFrame, keys: list[str], order: list[Column | Descending]
     if bounded:
         plain = [w.column.desc_nulls_last() if isinstance(w, Descending) else w.asc_nulls_first() for w in order]
         return df.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*plain)).cast("long"))
-    buckets = buckets or 4 * shuffle_partitions(df)
+    buckets = buckets or 2 * shuffle_partitions(df)
     group = F.struct(*keys) if keys else F.struct(F.lit(0))
     rows = df.withColumn("_p", F.struct(group.alias("g"), sort_key(df, order).alias("k")))
     points = split_points(rows, "_p", buckets)
