@@ -23,6 +23,7 @@ from subtlake.operators.numbering import Descending, number_rows
 #: Letters and everything beyond ASCII are in terms.
 SEPARATORS = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 SCALE = 1_000_000_000
+SLICE = 1 << 20  # bytes of text worked on at a time
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -40,11 +41,33 @@ def _as_array(data: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(end), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
 
 
+def _pooled(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Counts ``n`` of equal keys added up within a task, as far as ``most`` rows reach."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size > most:
+            added = _added(held)
+            held, size = [added], len(added)
+            if size > most // 2:
+                yield added
+                held, size = [], 0
+    if size:
+        yield _added(held)
+
+
+def _added(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    names = batches[0].schema.names
+    table = pa.Table.from_batches(batches).group_by(names[:-1]).aggregate([("n", "sum")])
+    return table.rename_columns({"n_sum": "n"}).select(names).combine_chunks().to_batches()[0]
+
+
 def kept_terms(docs: DataFrame, least: int = 10) -> DataFrame:
     """``lang``, ``term`` (UTF-8): the terms in at least ``least`` of a language's rows of ``docs`` (lang, text)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 data, _, end, doc = _words(part.column("text"))
                 coded = _as_array(data, end).dictionary_encode()
                 langs = part.column("lang").dictionary_encode()
@@ -55,7 +78,7 @@ def kept_terms(docs: DataFrame, least: int = 10) -> DataFrame:
                 of, term = (pa.array(x) for x in np.divmod(pairs, size))
                 yield pa.RecordBatch.from_arrays([langs.dictionary.take(of), coded.dictionary.take(term).cast(pa.binary()), pa.array(n)], ["lang", "term", "n"])
 
-    found = docs.select("lang", "text").mapInArrow(count, "lang string, term binary, n long")
+    found = docs.select("lang", "text").mapInArrow(lambda batches: _pooled(count(batches)), "lang string, term binary, n long")
     return found.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("lang", "term")
 
 
@@ -143,10 +166,10 @@ def recount(docs: DataFrame, machines: DataFrame, stretch: int, most: int) -> Da
         def count(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             own = _Block(block.value, stretch)
             for batch in batches:
-                for part in slices(batch):
+                for part in slices(batch, most=SLICE):
                     yield from _count(own, part)
 
-        more = docs.select("lang", "source", "text").mapInArrow(count, "lang string, source string, ord long, n long")
+        more = docs.select("lang", "source", "text").mapInArrow(lambda batches, count=count: _pooled(count(batches)), "lang string, source string, ord long, n long")
         found = more if found is None else found.unionAll(more)
     if found is None:
         return docs.sparkSession.createDataFrame([], "lang string, source string, ord long, n long")
@@ -154,25 +177,24 @@ def recount(docs: DataFrame, machines: DataFrame, stretch: int, most: int) -> Da
 
 
 def _count(block: _Block, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Occurrences by language, source and number. A word that comes again in the slice has gone through the transducer already."""
     data, start, end, doc = _words(part.column("text"))
-    langs, sources = part.column("lang").to_pylist(), part.column("source").to_pylist()
-    of: dict[str, list[int]] = {}
-    for i, lang in enumerate(langs):
-        of.setdefault(lang, []).append(i)
-    for lang, rows in of.items():
+    langs, sources = part.column("lang").dictionary_encode(), part.column("source").dictionary_encode()
+    lang_of, source_of = (np.asarray(x.indices).astype(np.int64) for x in (langs, sources))
+    for i, lang in enumerate(langs.dictionary.to_pylist()):
         if lang not in block.langs:
             continue
-        names = sorted({sources[i] for i in rows})
-        which = {x: i for i, x in enumerate(names)}
-        group = np.full(len(langs), -1)
-        group[rows] = [which[sources[i]] for i in rows]
-        mine = np.flatnonzero(group[doc] >= 0)
-        found = block.number(lang, data, start[mine], end[mine])
-        hit = found >= 0
-        pairs, n = np.unique(np.stack([group[doc[mine[hit]]], found[hit]]), axis=1, return_counts=True) if hit.any() else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
-        if len(n):
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([names[i] for i in pairs[0].tolist()], pa.string()),
-                                              pa.array(pairs[1]), pa.array(n)], ["lang", "source", "ord", "n"])
+        mine = np.flatnonzero(lang_of[doc] == i)
+        words = _as_array(data, end).take(pa.array(mine)).dictionary_encode()
+        which, first = np.asarray(words.indices), np.zeros(len(words.dictionary), np.int64)
+        first[which[::-1]] = mine[::-1]
+        number = block.number(lang, data, start[first], end[first])[which]
+        hit = number >= 0
+        size = int(number.max(initial=0)) + 1
+        pairs, n = np.unique(source_of[doc[mine[hit]]] * size + number[hit], return_counts=True)
+        source, number = np.divmod(pairs, size)
+        yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), sources.dictionary.take(pa.array(source)),
+                                          pa.array(number), pa.array(n)], ["lang", "source", "ord", "n"])
 
 
 def _share(n: str, total: str, kept: str):
