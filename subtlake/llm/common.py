@@ -64,5 +64,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return stars.unionAll(edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores before those that ``docs`` has a column of."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)

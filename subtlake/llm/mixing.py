@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import stored
+from subtlake.llm.common import free_names, stored
 from subtlake.llm.features import bayes, class_counts, document_features, sums, with_labels
 from subtlake.session import checkpointed
 
@@ -162,8 +162,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
 def apply_mix(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that have a use, with ``mix_rate`` and ``mix_copies``; rows of rate 0 go."""
     rated = mix(docs, labels, text=text, key=key, **options)
-    rated = rated.select(F.col(key).alias("_id"), F.col("text_hash").alias("_hash"), F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies"))
-    rated = rated.where("mix_rate > 0").dropDuplicates(["_id", "_hash"])
+    id_, hash_ = free_names(docs, "_id", "_hash")
+    rated = rated.select(F.col(key).alias(id_), F.col("text_hash").alias(hash_), F.col("rate").alias("mix_rate"), F.col("copies").alias("mix_copies"))
+    rated = rated.where("mix_rate > 0").dropDuplicates([id_, hash_])
     columns = [c for c in docs.columns if c not in ("mix_rate", "mix_copies")]
-    joined = docs.select(*columns).join(rated, F.col(key).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")))
+    joined = docs.select(*columns).join(rated, F.col(key).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_)))
     return joined.select(*columns, "mix_rate", "mix_copies")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from subtlake.llm.common import free_names, stored
+
 #: Strong kinds, in the order in which equal starts are listed. Matches too short are dropped after matching.
 STRONG = ("assign", "access", "hex")
 #: Weak parts: reported only in reach of their complements.
@@ -97,7 +99,8 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", reach
     Strong kinds are found leftmost and without overlap, each for itself; weak parts are added where their complements lie within
     ``reach`` code points. A null text is an empty one; empty texts have an empty list. Equal rows each get a row.
     """
-    rows = _rows(docs, text, key)
+    # written once: the patterns run once, and a row keeps its number
+    rows = stored(_rows(docs, text, key), "matches")
     shared = rows.where(F.col("fits") & F.col("kind").isNotNull())
     linked = linked_parts(shared.select("row", "kind", "start", "end"), reach)
     strong = rows.select("row", "id", "text_hash", F.when(F.col("fits") & (F.col("kind") < len(STRONG)), F.struct(
@@ -121,20 +124,21 @@ def redact_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", rea
     ``n_chars``, if there, is counted anew for changed texts. Null texts stay null.
     """
     found = find_secrets(docs, text, key, reach).where(F.size("spans") > 0)
-    found = found.select(F.col(key).alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_id", "_hash"])
-    hashed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    joined = hashed.join(found, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
+    id_, hash_, own, spans = free_names(docs, "_id", "_hash", "_key", "_spans")
+    found = found.select(F.col(key).alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans)).dropDuplicates([id_, hash_])
+    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    joined = hashed.join(found, F.col(key).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left")
     t = F.col(text)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     cut = F.aggregate(
-        "_spans", start,
+        spans, start,
         lambda a, s: F.when(s["end"] <= a["at"], a).when(
             s["start"] < a["at"], F.struct(s["end"].alias("at"), a["out"].alias("out"))
         ).otherwise(F.struct(s["end"].alias("at"), F.concat(
             a["out"], F.substring(t, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark)).alias("out"))),
         lambda a: F.concat(a["out"], F.substring(t, (a["at"] + 1).cast("int"), F.lit(2**31 - 1))))
-    out = joined.withColumn(text, F.when(F.col("_spans").isNull(), t).otherwise(cut))
+    out = joined.withColumn(text, F.when(F.col(spans).isNull(), t).otherwise(cut))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(
             F.char_length(text).cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import components, stored
+from subtlake.llm.common import components, free_names, stored
 from subtlake.llm.tokens import bounded_batches, scan, slices
 from subtlake.session import checkpointed, shuffle_partitions
 
@@ -220,6 +220,7 @@ def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", *
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
     kept = _grouped(docs, text, key, **options).groupBy("component").agg(first)
     kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    rows = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(kept, rows[key].eqNullSafe(kept["_id"]) & (rows["_text"] == kept["_hash"]), "left_semi")
-    return rows.dropDuplicates([key, "_text"]).select(*docs.columns)
+    own, = free_names(docs, "_text")
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    rows = rows.join(kept, rows[key].eqNullSafe(kept["_id"]) & (rows[own] == kept["_hash"]), "left_semi")
+    return rows.dropDuplicates([key, own]).select(*docs.columns)

@@ -66,7 +66,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", keys: tuple[str, ...] =
     text, an empty one and one of fewer than ``k`` words have no window. ``filter_bits`` sets the size of two filters that only
     save work.
     """
-    anchor = min(anchor, k)
+    anchor = min(max(anchor, k - 63), k)  # a piece has up to k - anchor + 1 windows, and its mask 64 bits
     bounded_batches(docs.sparkSession)
     docs = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col(text).alias("text"),
                        F.xxhash64(text).alias("h"))
