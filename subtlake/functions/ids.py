@@ -27,7 +27,7 @@ def shard_name(shard: Column) -> Column:
 
 
 def shard_dir(shard: Column) -> Column:
-    """12345 -> 123xxxxx; fewer than three digits -> 0xxxxx"""
+    """60413 -> 604xxxxx; fewer than three digits -> 0xxxxx"""
     digits = shard.cast("string")
     return F.when(F.length(digits) > 2, F.concat(_drop_right(digits, 2), F.lit("xxxxx"))).otherwise(
         F.lit("0xxxxx")

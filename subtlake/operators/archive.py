@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import sys
 import zipfile
 from collections.abc import Iterator
@@ -66,6 +67,46 @@ def unpack_archives(blobs: DataFrame, num: str = "num", content: str = "content"
     )
 
 
+def _ending(name: str) -> str:
+    """As ``extension``: a leading dot or a dot in a folder name starts none."""
+    found = re.search(r"[^/.][^/]*?(\.[^./]*)\Z", name, re.S)
+    return found.group(1) if found else ""
+
+
+def _choose(frames: Iterator[pd.DataFrame], skipped: tuple[str, ...]) -> Iterator[pd.DataFrame]:
+    for batch in frames:
+        rows, held = [], 0
+        for num, content in zip(batch["num"], batch["content"]):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    # the directory at the end tells all names and sizes; nothing is inflated for it
+                    files = [info for info in archive.infolist() if not info.filename.endswith("/")]
+                    wanted = next((info for info in files if _ending(info.filename) not in skipped), None)
+                    if wanted is not None:
+                        rows.append((num, wanted.filename, archive.read(wanted), sum(info.file_size for info in files)))
+                        held += wanted.file_size
+            except Exception:  # damage to the directory or the chosen member: no answer from that archive
+                continue
+            if held > _BATCH_BYTES:
+                yield pd.DataFrame(rows, columns=["num", "path", "content", "total"])
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["num", "path", "content", "total"])
+
+
+def first_members(blobs: DataFrame, skipped: tuple[str, ...] = (".nfo",), num: str = "num", content: str = "content") -> DataFrame:
+    """(num, path, content, total) of each archive's first member without a ``skipped`` ending, folders left out.
+
+    Only that member is inflated; ``total`` is what all members would take. An archive without such a member, with a damaged
+    directory or a damaged chosen member gives no row.
+    """
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _choose(frames, skipped)
+
+    rows = blobs.select(F.col(num).cast("long").alias("num"), F.col(content).alias("content"))
+    return rows.mapInPandas(choose, "num long, path string, content binary, total long")
+
+
 def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in frames:
         out = []

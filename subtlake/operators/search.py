@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from subtlake.functions.ids import pad_num
 from subtlake.functions.names import extension, fix_download_extension, render_path
 from subtlake.functions.text import fts_tokens, phrase_text
-from subtlake.operators.archive import unpack_archives
+from subtlake.operators.archive import first_members
 from subtlake.operators.languages import three_letter, two_letter
 from subtlake.operators.skew import salted_join
-from subtlake.session import checkpointed
+from subtlake.session import checkpointed, stored
 
 
 def write_token_table(tokens: DataFrame, path: str) -> None:
@@ -152,7 +152,9 @@ def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: lis
            template: str = "$video_base.$num0.$lang.$ext", limit: int | None = None, tokens: DataFrame | None = None) -> DataFrame:
     """Queries to subtitle files: (query_id, num, provider, path, content).
 
-    The first member of each archive that is no ``.nfo`` is the answer. ``queries`` also has ``video_base``.
+    The first member of each archive that is no ``.nfo`` is the answer, and the only one inflated. Content is joined last, to
+    rows that are otherwise done; that of an id with very many queries is repeated for parts of them. ``queries`` also has
+    ``video_base``.
     """
     hits = lookup_hits(meta, queries, limit, tokens).select(
         "query_id", F.col("IDSubtitle").alias("num"), F.col("ISO639").alias("lang")
@@ -161,9 +163,9 @@ def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: lis
     # used twice below: kept by a checkpoint instead of searched twice
     wanted = checkpointed(routed.where(F.col("provider").isNotNull()))
     archives = blobs.join(wanted.select("num").distinct(), "num", "left_semi")
-    members = unpack_archives(archives).where(~F.col("broken") & (extension(F.col("path")) != ".nfo"))
-    first = members.groupBy("num").agg(F.min_by(F.struct("path", "content"), "ord").alias("m")).select("num", "m.*")
-    answered = wanted.join(first, "num").join(queries.select("query_id", "video_base"), "query_id")
+    # written once: an archive is opened once, and names are read without the content
+    first = stored(first_members(archives).dropDuplicates(["num"]).select("num", F.col("path").alias("member"), "content"), "members")
+    answered = wanted.join(first.select("num", F.col("member").alias("path")), "num").join(queries.select("query_id", "video_base"), "query_id")
     fixed = fix_download_extension(F.col("path"))
     ext = F.regexp_replace(extension(fixed), r"^\.", "")
     path = render_path(
@@ -174,4 +176,5 @@ def lookup(meta: DataFrame, blobs: DataFrame, queries: DataFrame, providers: lis
             "base": F.regexp_replace(F.col("path"), r"(?s)\.[^./]*$", ""),
         },
     )
-    return answered.select("query_id", "num", "provider", path.alias("path"), "content")
+    answered = answered.select("query_id", "num", "provider", path.alias("path"))
+    return fetch_content(answered, first.select("num", "content")).select("query_id", "num", "provider", "path", "content")

@@ -63,7 +63,7 @@ SELECT o_orderkey AS IDSubtitle,
   CAST(epoch(o_orderdate) AS BIGINT) AS SubAddDateUnix, CAST(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS INTEGER) AS MovieKindIsMovie
 FROM orders""")
 def case_columns(spark, sf):
-    return registry.select_columns(order_meta(spark, sf), ["IDSubtitle", *registry.SQL_DERIVED])
+    return registry.select_columns(order_meta(spark, sf), ["IDSubtitle", *registry.EXPORTED])
 
 
 @query("SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS added FROM events")

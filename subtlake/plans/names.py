@@ -230,7 +230,18 @@ def checksums(spark, sf):
     return docs.withColumn("size", F.col("size").cast("long"))
 
 
-@query()
+def _crc16_sql() -> str:
+    """One byte after the other: the remainder moves up a byte, and the byte that leaves it comes back through the polynomial."""
+    left = "xor(c >> 8, b)"
+    folded = f"xor({left}, {left} >> 4)"
+    step = f"xor(xor((c << 8) & 65535, ({folded} << 12) & 65535), xor(({folded} << 5) & 65535, {folded}))"
+    return f"""
+WITH d AS (SELECT doc_id, hex(encode(text)) AS h FROM documents)
+SELECT doc_id, list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+                           lambda c, b: {step}) AS crc16 FROM d"""
+
+
+@query(_crc16_sql())
 def crc16(spark, sf):
     from subtlake.functions.codecs import crc16 as crc
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.operators import ranking, recon
-from subtlake.operators.numbering import number_rows
 from subtlake.plans.registry import query, table
 
 
@@ -20,17 +19,17 @@ def sample_rows(spark, sf):
 
 
 @query("""
-SELECT p_partkey, row_number() OVER (ORDER BY p_size, length(regexp_replace(p_name, '[^ ]', '', 'g')), p_name, p_partkey) AS place
-FROM part""")
+WITH n AS (SELECT *, CASE WHEN p_type = 'ECONOMY' THEN lpad(CAST(p_size AS VARCHAR), 4, '0') ELSE CAST(p_size AS VARCHAR) END AS pad,
+                  CASE WHEN p_partkey % 50 = 0 THEN 3 ELSE 4 END AS dots, CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS ending FROM part)
+SELECT p_partkey, row_number() OVER (ORDER BY dots, p_size, replace(p_name, ' ', '-'), ending, pad, p_partkey) AS place FROM n""")
 def version_sort(spark, sf):
-    """Names ``v<size>.<title>`` with differently padded numbers in version order."""
+    """Names ``v<size>-<title>`` with differently padded numbers, some hidden, some with an ending, in version order."""
     pad = F.when(F.col("p_type") == "ECONOMY", F.lpad(F.col("p_size").cast("string"), 4, "0")).otherwise(F.col("p_size").cast("string"))
-    name = F.concat(F.lit("v"), pad, F.lit("-"), F.replace("p_name", F.lit(" "), F.lit("~")))
+    hidden = F.when(F.col("p_partkey") % 50 == 0, F.lit(".")).otherwise(F.lit(""))
+    ending = F.when(F.col("p_partkey") % 5 == 0, F.lit(".srt")).otherwise(F.lit(""))
+    name = F.concat(hidden, F.lit("v"), pad, F.lit("-"), F.replace("p_name", F.lit(" "), F.lit("-")), ending)
     named = table(spark, sf, "part").select("p_partkey", name.alias("name"))
-    from subtlake.functions.names import version_key
-
-    keyed = named.withColumn("key", version_key(F.col("name"))["whole"])
-    return number_rows(keyed, [], [F.col("key"), F.col("p_partkey")], "place").select("p_partkey", "place")
+    return ranking.version_sort(named, "name", ["p_partkey"]).select("p_partkey", "place")
 
 
 @query("SELECT DISTINCT o_orderkey // 1000 AS shard FROM orders ORDER BY shard DESC")

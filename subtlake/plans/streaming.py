@@ -72,12 +72,12 @@ def incremental_metadata(spark, sf):
 @query("""
 SELECT user_id, event_id, value FROM (
   SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next, max(ts) OVER () AS newest FROM events)
-WHERE (next IS NULL OR next >= ts + INTERVAL 7 DAY) AND ts <= newest - INTERVAL 15 DAY""")
+WHERE (next IS NULL OR next >= ts + INTERVAL 1 DAY) AND ts <= newest - INTERVAL 9 DAY""")
 def delayed_release(spark, sf):
-    """The newest row of each user that no other followed within seven days, once nothing late can come before that."""
+    """The newest row of each user that no other followed within a day, once nothing late can come before that."""
     root = scratch_path(spark, "delayed")
     rows = event_stream(spark, sf).select("user_id", "event_id", "at", "value")
-    streams.run_available(streams.delayed_release(rows, ["user_id"], "at", late=LATE), f"{root}/table", f"{root}/checkpoint")
+    streams.run_available(streams.delayed_release(rows, ["user_id"], "at", days=1, late=LATE), f"{root}/table", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/table").select("user_id", "event_id", "value")
 
 

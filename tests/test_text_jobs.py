@@ -101,6 +101,25 @@ def test_unpack_and_repair(spark):
     assert fixed["7.It's.2.srt"].endswith("two") and fixed["7.latin.srt"].endswith("é")
 
 
+def test_first_members_inflate_one_member(spark):
+    members = [("d/", b""), ("d/x.nfo", b"info" * 500), ("d/.nfo", b"hidden" * 100), ("Title.srt", b"text" * 900), ("big.srt", b"q" * 100_000)]
+    good = made_zip(members)
+
+    def damaged(name):
+        """The member's bytes overwritten; the directory is whole."""
+        with zipfile.ZipFile(io.BytesIO(good)) as z:
+            at = z.getinfo(name).header_offset + 30 + len(name)
+        return good[:at] + b"\xff" * 8 + good[at + 8:]
+
+    cases = [good, damaged("d/x.nfo"), damaged("big.srt"), damaged("d/.nfo"), good[:60], b"", made_zip([("a.nfo", b"x"), ("b/", b"")])]
+    df = spark.createDataFrame([(n, bytearray(c)) for n, c in enumerate(cases)], "num long, content binary")
+    found = archive.first_members(df).collect()
+    # other members are not read: their damage does not show; a name of dots only has no ending
+    assert {r.num: (r.path, bytes(r.content)) for r in found} == {n: ("d/.nfo", b"hidden" * 100) for n in (0, 1, 2)}
+    assert {r.total for r in found} == {sum(len(c) for _, c in members)}
+    assert sum(len(r.content) for r in found) * 100 < sum(r.total for r in found)
+
+
 def test_duplicate_forms_agree(spark):
     rows = [(n % 3, f"f{n % 2}.srt", n, bytearray(b"x" * (n % 4))) for n in range(60)]
     df = spark.createDataFrame(rows, "num long, path string, ord int, content binary")
