@@ -7,14 +7,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.session import checkpointed, scratch_path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read from there: cuts the lineage, and leaves later joins free to split hot keys."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from subtlake.session import checkpointed, stored  # noqa: F401
 
 
 def bit_filter(keys: DataFrame, column: str, bits: int) -> Broadcast:

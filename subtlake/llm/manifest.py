@@ -113,7 +113,7 @@ def manifest(docs: DataFrame, key: str = "doc_id", group: str = "lang", columns:
     # the tree over the groups: its leaves are their roots
     roots = stored(rounds[-1].select("g", F.col("top").alias("hash")), "roots")
     groups = roots.count()
-    tops = number_rows(roots, [], [F.col("g")], "n").select(
+    tops = number_rows(roots, [], [F.col("g")], "n", buckets=8).select(
         F.lit(0).alias("g"), (F.col("n") - 1).alias("at"), F.lit(groups).cast("long").alias("of"), "hash", F.struct(F.col("g").alias("group")).alias("load"))
     top = _rounds(tops, groups)
     start = top[-1].select("g", F.col("top").alias("root"), F.array().cast("array<struct<l:string,r:string>>").alias("path"))
