@@ -26,7 +26,11 @@ def sample_rows(df: DataFrame, num: str, n: int, seed: int = 42) -> DataFrame:
     return df.select(num).orderBy(F.md5(F.concat_ws(":", F.col(num).cast("string"), F.lit(str(seed)))), num).limit(n)
 
 
-def version_sort(df: DataFrame, name: str, tie: list[str], out: str = "place") -> DataFrame:
+def version_sort(df: DataFrame, name: str) -> DataFrame:
+    return df.orderBy(version_key(F.col(name)))
+
+
+def place_by_version(df: DataFrame, name: str, tie: list[str], out: str = "place") -> DataFrame:
     """``out``: the place of each row in the version order of its name, equal names by ``tie``."""
     return number_rows(df, [], [version_key(F.col(name)), *[F.col(c) for c in tie]], out)
 

@@ -29,7 +29,7 @@ def version_sort(spark, sf):
     ending = F.when(F.col("p_partkey") % 5 == 0, F.lit(".srt")).otherwise(F.lit(""))
     name = F.concat(hidden, F.lit("v"), pad, F.lit("-"), F.replace("p_name", F.lit(" "), F.lit("-")), ending)
     named = table(spark, sf, "part").select("p_partkey", name.alias("name"))
-    return ranking.version_sort(named, "name", ["p_partkey"]).select("p_partkey", "place")
+    return ranking.place_by_version(named, "name", ["p_partkey"]).select("p_partkey", "place")
 
 
 @query("SELECT DISTINCT o_orderkey // 1000 AS shard FROM orders ORDER BY shard DESC")
