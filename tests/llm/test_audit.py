@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from subtlake.llm import divergence, graph, manifest, vectors, vocabulary
+from subtlake.llm import divergence, graph, manifest, quality, vectors, vocabulary
 
 SF = "/root/testdata/sf0.001"
 
@@ -242,3 +242,33 @@ def test_divergences_equal_a_plain_version(spark):
     none = divergence.divergences(frame, least=1000)
     assert sorted(tuple(r) for r in none.collect()) == plain_divergences(rows, 1000)
     assert divergence.divergences(frame.limit(0)).count() == 0
+
+
+# quality: what views exchange
+
+def test_rounds_teach_where_labels_are_few_and_cost_nothing_where_they_are_many(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = labels.where("pmod(xxhash64(doc_id, 'outer'), 4) = 0").withColumn("y", F.expr("quality = 1 and toxic = 0"))
+    given = labels.where("pmod(xxhash64(doc_id, 'outer'), 4) <> 0")
+
+    def loss(labelled, rounds):
+        scored = quality.score_quality(docs, labelled, rounds=rounds).join(judged, "doc_id")
+        return scored.agg(F.avg(-F.log(F.greatest(F.lit(1e-6), F.expr("if(y, score, 1 - score)"))))).first()[0]
+
+    few = given.where("pmod(xxhash64(doc_id, 'p'), 5) = 0")
+    assert loss(few, 2) <= loss(few, 0)
+    assert loss(given, 2) <= loss(given, 0) + 0.005
+
+
+def test_pseudo_labels_keep_the_balance_and_stay_bounded():
+    own, taught = np.zeros((quality.BUCKETS + 1, 2)), np.zeros((quality.BUCKETS + 1, 2))
+    own[-1], taught[-1] = (100, 300), (40, 9000)
+    assert np.allclose(quality._weights(own, taught, 0.25) * taught[-1], (25, 75))
+    assert np.allclose(quality._weights(own, taught, 1.0) * taught[-1], (40, 120))
+    taught[-1] = (0, 9000)  # one class alone teaches nothing
+    assert (quality._weights(own, taught, 1.0) * taught[-1] == 0).all()
+    cells = np.zeros(len(quality._STEPS), int)
+    cells[[0, 10, 790, 800]] = 30, 30, 30, 30
+    assert quality._edges(cells, 0.4, 0.0) == (0, 800)  # 24 each: the outermost step reaches them
+    assert quality._edges(cells, 0.6, 0.0) == (10, 790)
