@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from subtlake.functions.ids import pad_num
 from subtlake.functions.names import extension, fix_download_extension, render_path
-from subtlake.functions.text import fts_tokens, phrase_text
+from subtlake.functions.text import fts_tokens
 from subtlake.operators.archive import first_members
 from subtlake.operators.languages import three_letter, two_letter
 from subtlake.operators.skew import salted_join
@@ -71,16 +71,6 @@ def fts_and(titles: DataFrame, num: str, title: str, queries: DataFrame, text: s
     return _set_hits(titles, num, title, asked, [], tokens).join(asked, "asked").drop("asked", "words")
 
 
-def fts_phrase(titles: DataFrame, num: str, title: str, queries: DataFrame, text: str = "title",
-               tokens: DataFrame | None = None) -> DataFrame:
-    """Titles that hold the words of a query next to each other in order."""
-    asked = _word_sets(queries.withColumn(text, phrase_text(F.col(text))), text)
-    hits = _set_hits(titles, num, title, asked, [], tokens).join(asked, "asked")
-    framed = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    ordered = fts_tokens(F.col(text))
-    return hits.where(F.contains(framed(F.col("words")), framed(ordered))).drop("asked", "words")
-
-
 def limit_per_query(hits: DataFrame, num: str, n: int = 500) -> DataFrame:
     """The lowest ``n`` ids of each query (the lookup's guard); the limit is applied before the shuffle too."""
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(num))

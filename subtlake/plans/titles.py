@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from subtlake.fixed_values import MARKED_LETTERS, PLAIN_LETTERS
-from subtlake.operators import archive, ranking, search, stats
+from subtlake.functions.text import fts_tokens
+from subtlake.operators import archive, postings, ranking, search, stats
 from subtlake.plans.registry import files, query, table
 from subtlake.session import scratch_path
 
@@ -84,17 +85,40 @@ def fts_and(spark, sf):
     return hits.select("query_id", F.col("IDSubtitle").alias("num"))
 
 
-@query("""
-SELECT q.p_name AS query_id, d.doc_id AS num FROM (SELECT DISTINCT p_name FROM part) q JOIN
-  (SELECT c.conv_id * 1000 + c.turn AS doc_id, p.p_name || ' ' || p.p_type AS title FROM conversations c JOIN part p
-   ON p.p_partkey = c.conv_id) d ON contains(' ' || lower(d.title) || ' ', ' ' || lower(q.p_name) || ' ')""")
+_WORDS = f"""WITH w AS (SELECT conv_id * 1000 + turn AS num, regexp_extract_all(translate(lower(text), '{MARKED_LETTERS}', '{PLAIN_LETTERS}'),
+    '([\\p{{L}}\\p{{N}}_]+)', 1) AS words FROM conversations)
+"""
+
+
+def conversation_postings(spark, sf):
+    """Conversation texts under their numbers, and their posting lists, written and read back."""
+    texts = files(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("num"), "text")
+    path = scratch_path(spark, "postings")
+    postings.write_postings(postings.posting_blocks(texts, "num", "text"), path)
+    return texts, spark.read.parquet(path)
+
+
+@query(_WORDS + """, t AS (SELECT num, i - 1 AS place, words[i:i + 2] AS phrase FROM (SELECT num, words, unnest(range(1, len(words) - 1)) AS i FROM w))
+SELECT q.num AS query_id, t.num, count(*) AS hits, min(place) AS first
+FROM (SELECT num, words[1:3] AS phrase FROM w WHERE len(words) >= 3) q JOIN t ON q.phrase = t.phrase GROUP BY 1, 2""")
 def fts_phrase(spark, sf):
-    part = table(spark, sf, "part")
-    titled = table(spark, sf, "conversations").join(part, F.col("conv_id") == F.col("p_partkey")).select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("num"), F.concat_ws(" ", "p_name", "p_type").alias("title")
-    )
-    asked = part.select(F.col("p_name").alias("query_id"), F.concat(F.lit('"'), "p_name", F.lit('"')).alias("phrase")).distinct()
-    return search.fts_phrase(titled, "num", "title", asked, "phrase").select("query_id", "num")
+    """The first three words of every text, searched as a phrase in all texts."""
+    texts, lists = conversation_postings(spark, sf)
+    first = F.slice(fts_tokens(F.col("text")), 1, 3)
+    asked = texts.select(F.col("num").alias("query_id"), F.when(F.size(first) == 3, F.concat(F.lit('"'), F.array_join(first, ", "), F.lit('"'))).alias("phrase"))
+    return postings.phrase_hits(lists, asked, "phrase").withColumn("first", F.col("first").cast("long"))
+
+
+@query(_WORDS + """, q AS (SELECT num AS query_id, unnest(list_distinct(words[-5:])) AS word, len(list_distinct(words[-5:])) AS n FROM w),
+t AS (SELECT DISTINCT num, unnest(words) AS word FROM w)
+SELECT query_id, num FROM q JOIN t ON q.word = t.word GROUP BY query_id, num HAVING count(*) = min(n)""")
+def fts_words(spark, sf):
+    """The last five words of every text, searched in any order in all texts."""
+    texts, lists = conversation_postings(spark, sf)
+    words = fts_tokens(F.col("text"))
+    last = F.reverse(F.slice(F.reverse(words), 1, 5))
+    asked = texts.select(F.col("num").alias("query_id"), F.array_join(last, " ").alias("wanted"))
+    return postings.word_hits(lists, asked, "wanted")
 
 
 @query(f"""
