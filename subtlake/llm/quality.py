@@ -23,8 +23,17 @@ _STEPS = np.linspace(-1, 1, 801)  # cells in which raw scores are counted for th
 def _scorer(model: tuple[np.ndarray, np.ndarray], view: str):
     """Raw scores in -1 to 1 of a view: the weights of a row's buckets and the prior, squashed."""
     likelihood, p = model
-    weights, prior = (likelihood[:, 1:] - likelihood[:, :1]).astype(np.float32), float(p[1] - p[0])
-    return lambda batch: np.tanh((sums(batch.column(view), weights)[:, 0] + prior) / 8)
+    weights, prior = likelihood[:, 1] - likelihood[:, 0], float(p[1] - p[0])
+    # what travels with the tasks are the buckets that count, mostly few
+    used = np.flatnonzero(weights).astype(np.int32)
+    values = weights[used].astype(np.float32)
+
+    def raw(batch: pa.RecordBatch) -> np.ndarray:
+        dense = np.zeros((BUCKETS, 1), np.float32)
+        dense[used, 0] = values
+        return np.tanh((sums(batch.column(view), dense)[:, 0] + prior) / 8)
+
+    return raw
 
 
 def _platt(cells: np.ndarray) -> tuple[float, float]:
@@ -84,12 +93,13 @@ def _best(held: DataFrame, tried: dict[str, list], prior: float) -> tuple[tuple[
     slopes and offsets of its views and of their sum (``both``), and the loss."""
     raw = [(v, _scorer(m, v)) for v in VIEWS for m in tried[v]]
     scales = [_platt(c) for c in _count_cells(held, lambda b: [r(b) for _, r in raw], len(raw), [*VIEWS, "tokens"])]
-    pairs = [(i, j) for i in range(len(tried["words"])) for j in range(len(tried["page"]))]
+    split = len(tried["words"])
+    pairs = [(i, j) for i in range(split) for j in range(len(tried["page"]))]
 
     def sums_of(batch: pa.RecordBatch) -> list[np.ndarray]:
         tokens = batch.column("tokens").to_numpy()
         odds = [_view_odds(v, r(batch), s, tokens, prior) for (v, r), s in zip(raw, scales)]
-        return [_sum(odds[i], odds[len(tried["words"]) + j], prior) for i, j in pairs]
+        return [_sum(odds[i], odds[split + j], prior) for i, j in pairs]
 
     found = []
     for pair, cells in zip(pairs, _count_cells(held, sums_of, len(pairs), [*VIEWS, "tokens"])):
@@ -98,7 +108,7 @@ def _best(held: DataFrame, tried: dict[str, list], prior: float) -> tuple[tuple[
         loss = (cells[:, 1] * np.log1p(np.exp(-x)) + cells[:, 0] * np.log1p(np.exp(x))).sum() / max(cells.sum(), 1)
         found.append((float(loss), pair, (a, b)))
     loss, (i, j), both = min(found, key=lambda f: f[:2])
-    return (i, j), {"words": scales[i], "page": scales[len(tried["words"]) + j], "both": both}, loss
+    return (i, j), {"words": scales[i], "page": scales[split + j], "both": both}, loss
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", good: str = "quality = 1 and toxic = 0",
