@@ -1,8 +1,8 @@
 """Mixing documents to target weights of domains, with soft membership.
 
 A classifier learned from a labelled table gives every document its chances of belonging to each domain. Document rates (how often a
-document is to be used) then follow from a projected-gradient least-squares fit: no rate is negative, and the expected tokens of
-each domain meet their targets. Only sums over the domains reach the driver.
+document is to be used) then follow from a distributed projected-gradient least-squares fit over all documents: no rate is negative,
+and the expected tokens of each domain meet their targets. Only sums over the domains reach the driver.
 """
 
 from __future__ import annotations
@@ -78,70 +78,66 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str
     return out.withColumnRenamed("id", key)
 
 
-def _moved(steps: list[np.ndarray], width: int) -> Column:
-    """``start`` after the gradient steps so far: each moves it by the posterior times the step, and never below 0."""
+def _moved(state: str, steps: list[tuple[np.ndarray, float]], width: int) -> Column:
+    """Column ``state`` (``rate`` and ``ahead``) after the rounds so far, of each document on its own.
+
+    A round moves ``ahead`` against the gradient, which for a document is its posterior times the step, never below 0: the new rate.
+    The next ``ahead`` lies beyond it, by the round's momentum times what the rate has changed.
+    """
     if not steps:
-        return F.col("start")
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
-    move = lambda step: sum((F.col("posterior")[i] * step[i] for i in range(width)), F.lit(0.0))
-    return F.aggregate(table, F.col("start"), lambda rate, step: F.greatest(F.lit(0.0), rate - move(step)))
-
-
-def _descend(tokens: np.ndarray, chances: np.ndarray, goal: np.ndarray, weight: np.ndarray, rounds: int = 2000) -> np.ndarray:
-    """Rates of a small table by accelerated projected gradient from 1."""
-    rate = ahead = np.ones(len(tokens))
-    pace = 1.0
-    for _ in range(rounds):
-        off = (tokens * ahead) @ chances - goal
-        after = np.maximum(0, ahead - chances @ (weight @ off))
-        if (after - ahead) @ (after - rate) > 0 and np.abs(off).max() < 1e-9:
-            return after
-        next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        ahead = after + (pace - 1) / next_pace * (after - rate)
-        rate, pace = after, next_pace
-    return rate
+        return F.col(state)
+    table = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in step]).alias("step"), F.lit(float(beyond)).alias("beyond")) for step, beyond in steps])
 
+    def move(before: Column, step: Column) -> Column:
+        along = sum((F.col("posterior")[i] * step["step"][i] for i in range(width)), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), before["ahead"] - along)
+        return F.struct(rate.alias("rate"), (rate + step["beyond"] * (rate - before["rate"])).alias("ahead"))
 
-def fit_rates(posteriors: DataFrame, targets: list[float], most: int = 20, close: float = 1e-6, cells: int = 4096) -> DataFrame:
+    return F.aggregate(table, F.col(state), move)
+
+
+def fit_rates(posteriors: DataFrame, targets: list[float], close: float = 1e-6, window: int = 10, gain: float = 0.1, kept: int = 16) -> DataFrame:
     """``posteriors`` with ``rate``: nonnegative, so that expected domain tokens are ``targets`` times all tokens.
 
     Least squares over the domain totals, weighted by the inverse of their second moments, under which a gradient step of length 1 is
-    safe. The fit starts from rates per cell of a grid of posteriors (at most ``cells`` cells, whose sums are one aggregate) and goes
-    on with projected steps over all documents, one aggregate a round, until every total is within ``close`` of all tokens, a round
-    brings the totals nearer by less than a hundredth (no nonnegative rates meet them), or ``most`` rounds are over. Documents without
-    tokens get the rate of their cell; an empty table stays empty.
+    safe. All documents start at rate 1 and move by projected gradient with momentum: each round is one aggregate over all documents,
+    and the step, one number per domain, is all that comes to the driver and goes back. The fit ends when every total is within ``close``
+    of all tokens, or when ``window`` rounds have brought the squared distance down by less than the share ``gain`` (no nonnegative
+    rates meet the targets); the best round's rates are returned. After ``kept`` rounds the rates are written, so a plan never holds
+    more steps. Documents without tokens move like others of their posterior; equal posteriors have equal rates. Without any tokens
+    all rates are 1; an empty table stays empty.
     """
     width = len(targets)
     p, t = F.col("posterior"), F.col("tokens").cast("double")
-    side = max(2, int(cells ** (1 / max(1, width - 1))) - 1)
-    cell = F.concat_ws(",", *[F.floor(p[i] * side).cast("string") for i in range(width - 1)])
-    posteriors = posteriors.withColumn("cell", cell)
-    products = [F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(width) for j in range(width)]
-    table = posteriors.groupBy("cell").agg(F.sum(t).alias("t"), *[F.sum(t * p[i]).alias(f"p{i}") for i in range(width)],
-                                           *[F.avg(p[i]).alias(f"a{i}") for i in range(width)], *products).collect()
-    total = float(sum(r["t"] for r in table))
+    products = [F.sum(t * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(width) for j in range(i, width)]
+    sums_ = posteriors.agg(F.sum(t).alias("t"), *products).first()
+    total = float(sums_["t"] or 0)
     if total == 0:
-        return posteriors.drop("cell").withColumn("rate", F.lit(1.0))
-    gram = np.array([[sum(r[f"g{i}_{j}"] for r in table) for j in range(width)] for i in range(width)]) / total
+        return posteriors.withColumn("rate", F.lit(1.0))
+    gram = np.array([[sums_[f"g{min(i, j)}_{max(i, j)}"] for j in range(width)] for i in range(width)]) / total
     weight = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     goal = np.array(targets) / sum(targets)
-    tokens = np.array([r["t"] for r in table]) / total
-    chances = np.array([[r[f"p{i}"] / r["t"] if r["t"] else r[f"a{i}"] for i in range(width)] for r in table])
-    rates = _descend(tokens, chances, goal, weight)
-    starts = posteriors.sparkSession.createDataFrame([(r["cell"], float(x)) for r, x in zip(table, rates)], "cell string, start double")
-    posteriors = posteriors.join(F.broadcast(starts), "cell").drop("cell")
-    steps: list[np.ndarray] = []
-    before = np.inf
-    for _ in range(most):
-        rated = posteriors.select(t.alias("t"), "posterior", _moved(steps, width).alias("rate"))
-        found = rated.agg(*[F.sum(F.col("t") * F.col("rate") * p[i]).alias(f"s{i}") for i in range(width)]).first()
-        off = np.array([found[f"s{i}"] for i in range(width)]) / total - goal
-        now = float(off @ weight @ off)
-        if np.abs(off).max() <= close or now > 0.99 * before:
+    (state,) = free_names(posteriors, "state")
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    moved = posteriors.withColumn(state, start)
+    steps: list[tuple[np.ndarray, float]] = []
+    best, lowest, pace = moved, [], 1.0
+    while True:
+        now = moved.withColumn(state, _moved(state, steps, width))
+        found = now.agg(*[F.sum(t * F.col(state)[at] * p[i]).alias(f"{at}{i}") for at in ("rate", "ahead") for i in range(width)]).first()
+        off, off_ahead = (np.array([found[f"{at}{i}"] for i in range(width)]) / total - goal for at in ("rate", "ahead"))
+        distance = float(off @ weight @ off)
+        if not lowest or distance < lowest[-1]:
+            best = now
+        lowest.append(min([distance, *lowest[-1:]]))
+        if np.abs(off).max() <= close or distance < 1e-15 or (len(lowest) > window and lowest[-1] > (1 - gain) * lowest[-1 - window]):
             break
-        before = now
-        steps.append(weight @ off)
-    return posteriors.withColumn("rate", _moved(steps, width)).drop("start")
+        next_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        steps = [*steps, (weight @ off_ahead, (pace - 1) / next_pace)]
+        pace = next_pace
+        if len(steps) == kept:
+            moved, steps = stored(moved.withColumn(state, _moved(state, steps, width)), "rates"), []
+    return best.withColumn("rate", F.col(state)["rate"]).drop(state)
 
 
 def copies(rate: Column, key: Column) -> Column:

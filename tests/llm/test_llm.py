@@ -352,15 +352,46 @@ def test_mixing_meets_targets(spark):
     assert np.abs((tokens * rate) @ chances / tokens.sum() - np.array(list(mixing.TARGETS.values()))).max() < 0.02
 
 
-def test_rates_equal_a_plain_fit(spark):
+def plain_rates(tokens, chances, goal, rounds):
+    """Rates after each round, one document after the other: projected gradient with momentum from rate 1. And each round's squared distance."""
+    share = tokens / tokens.sum()
+    weight = np.linalg.inv(sum(w * np.outer(c, c) for w, c in zip(share, chances)))
+    rate, ahead, pace, rates, distances = [1.0] * len(share), [1.0] * len(share), 1.0, [], []
+    for _ in range(rounds):
+        off = sum(w * x * c for w, x, c in zip(share, rate, chances)) - goal
+        rates.append(np.array(rate))
+        distances.append(off @ weight @ off)
+        pull = weight @ (sum(w * x * c for w, x, c in zip(share, ahead, chances)) - goal)
+        after = [max(0.0, x - float(c @ pull)) for x, c in zip(ahead, chances)]
+        next_pace = (1 + (1 + 4 * pace ** 2) ** 0.5) / 2
+        ahead = [x + (pace - 1) / next_pace * (x - y) for x, y in zip(after, rate)]
+        rate, pace = after, next_pace
+    return rates, distances
+
+
+@pytest.mark.parametrize("goal, meets", [([0.5, 0.3, 0.2], True), ([0.05, 0.1, 0.85], True), ([0.001, 0.001, 0.998], False)])
+def test_rates_equal_a_plain_fit(spark, goal, meets):
     rng = np.random.RandomState(1)
-    p = rng.dirichlet([1, 1, 1], 300)
-    t = rng.randint(0, 1000, 300)
-    frame = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p)], "tokens long, posterior array<double>")
-    got = mixing.fit_rates(frame, [0.5, 0.3, 0.2]).collect()
-    total = sum(r.tokens * r.rate * np.array(r.posterior) for r in got) / t.sum()
-    assert np.abs(total - [0.5, 0.3, 0.2]).max() < 1e-5 and min(r.rate for r in got) >= 0
-    assert mixing.fit_rates(frame.where("tokens < 0"), [0.5, 0.3, 0.2]).count() == 0
+    p = rng.dirichlet([0.5, 0.5, 1], 200)
+    t = rng.randint(0, 1000, 200)
+    frame = spark.createDataFrame([(i, int(a), [float(x) for x in b], "kept") for i, (a, b) in enumerate(zip(t, p))],
+                                  "doc_id long, tokens long, posterior array<double>, state string")
+    got = sorted(mixing.fit_rates(frame, goal, window=4).collect())
+    assert len(got) == 200 and {r.state for r in got} == {"kept"}
+    rate = np.array([r.rate for r in got])
+    off = (t * rate) @ p / t.sum() - goal
+    assert rate.min() >= 0 and (np.abs(off).max() < 1e-5) == meets
+    rates, distances = plain_rates(t, p, np.array(goal), 120)
+    ended = min(range(len(rates)), key=lambda n: np.abs(rates[n] - rate).max())
+    assert np.abs(rates[ended] - rate).max() < 1e-6
+    # where the targets are out of reach, it ends in the first round that is hardly nearer than four rounds before
+    assert meets or ended == next(n for n in range(4, 120) if min(distances[:n + 1]) > 0.9 * min(distances[:n - 3]))
+
+
+def test_rates_without_tokens(spark):
+    frame = spark.createDataFrame([(0, [0.5, 0.5])] * 3, "tokens long, posterior array<double>")
+    assert [r.rate for r in mixing.fit_rates(frame, [0.5, 0.5]).collect()] == [1.0] * 3
+    assert mixing.fit_rates(frame.limit(0), [0.5, 0.5]).count() == 0
 
 
 def test_quality_beats_the_majority(spark):
