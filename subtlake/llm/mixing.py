@@ -78,25 +78,50 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str
     return out.withColumnRenamed("id", key)
 
 
-def _moved(state: str, steps: list[tuple[np.ndarray, float]], width: int) -> Column:
-    """Column ``state`` (``rate`` and ``ahead``) after the rounds so far, of each document on its own.
+def _moved(batch: pa.RecordBatch, steps: list[tuple[np.ndarray, float]], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posteriors, ``rate`` and ``ahead`` of a batch's documents after the rounds ``steps``.
 
     A round moves ``ahead`` against the gradient, which for a document is its posterior times the step, never below 0: the new rate.
     The next ``ahead`` lies beyond it, by the round's momentum times what the rate has changed.
     """
-    if not steps:
-        return F.col(state)
-    table = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in step]).alias("step"), F.lit(float(beyond)).alias("beyond")) for step, beyond in steps])
+    chances = batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    rate, ahead = (batch.column("state").field(i).to_numpy(zero_copy_only=False) for i in range(2))
+    for step, beyond in steps:
+        after = np.maximum(0.0, ahead - chances @ step)
+        rate, ahead = after, after + beyond * (after - rate)
+    return chances, rate, ahead
 
-    def move(before: Column, step: Column) -> Column:
-        along = sum((F.col("posterior")[i] * step["step"][i] for i in range(width)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), before["ahead"] - along)
-        return F.struct(rate.alias("rate"), (rate + step["beyond"] * (rate - before["rate"])).alias("ahead"))
 
-    return F.aggregate(table, F.col(state), move)
+def _totals(moved: DataFrame, steps: list[tuple[np.ndarray, float]], width: int) -> np.ndarray:
+    """Expected tokens per domain at ``rate`` and at ``ahead`` after the rounds ``steps``; each task sends one row."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * width)
+        for batch in batches:
+            chances, rate, ahead = _moved(batch, steps, width)
+            tokens = batch.column("tokens").fill_null(0).to_numpy(zero_copy_only=False).astype(float)
+            total += np.concatenate([(tokens * rate) @ chances, (tokens * ahead) @ chances])
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names)
+
+    names = [f"s{i}" for i in range(2 * width)]
+    sums_ = moved.select("tokens", "posterior", "state").mapInArrow(add, ", ".join(f"{n} double" for n in names))
+    found = sums_.agg(*[F.sum(n).alias(n) for n in names]).first()
+    return np.array([found[n] for n in names]).reshape(2, width)
+
+
+def _after(moved: DataFrame, steps: list[tuple[np.ndarray, float]], width: int) -> DataFrame:
+    """``moved`` with the state after the rounds ``steps``."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, rate, ahead = _moved(batch, steps, width)
+            state = pa.StructArray.from_arrays([pa.array(rate), pa.array(ahead)], ["rate", "ahead"])
+            yield batch.set_column(batch.schema.get_field_index("state"), "state", state)
+
+    return moved.mapInArrow(walk, moved.schema)
 
 
-def fit_rates(posteriors: DataFrame, targets: list[float], close: float = 1e-6, window: int = 10, gain: float = 0.1, kept: int = 16) -> DataFrame:
+def fit_rates(posteriors: DataFrame, targets: list[float], close: float = 1e-6, window: int = 10, gain: float = 0.1, kept: int = 32) -> DataFrame:
     """``posteriors`` with ``rate``: nonnegative, so that expected domain tokens are ``targets`` times all tokens.
 
     Least squares over the domain totals, weighted by the inverse of their second moments, under which a gradient step of length 1 is
@@ -117,18 +142,16 @@ def fit_rates(posteriors: DataFrame, targets: list[float], close: float = 1e-6,
     gram = np.array([[sums_[f"g{min(i, j)}_{max(i, j)}"] for j in range(width)] for i in range(width)]) / total
     weight = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     goal = np.array(targets) / sum(targets)
-    (state,) = free_names(posteriors, "state")
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    moved = posteriors.withColumn(state, start)
+    (kept_as,) = free_names(posteriors, "state_")  # a column ``state`` of the input keeps its name to the end
+    moved = posteriors.withColumnsRenamed({"state": kept_as}) if "state" in posteriors.columns else posteriors
+    moved = moved.withColumn("state", F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")))
     steps: list[tuple[np.ndarray, float]] = []
-    best, lowest, pace = moved, [], 1.0
+    best, lowest, pace = (moved, steps), [], 1.0
     while True:
-        now = moved.withColumn(state, _moved(state, steps, width))
-        found = now.agg(*[F.sum(t * F.col(state)[at] * p[i]).alias(f"{at}{i}") for at in ("rate", "ahead") for i in range(width)]).first()
-        off, off_ahead = (np.array([found[f"{at}{i}"] for i in range(width)]) / total - goal for at in ("rate", "ahead"))
+        off, off_ahead = _totals(moved, steps, width) / total - goal
         distance = float(off @ weight @ off)
         if not lowest or distance < lowest[-1]:
-            best = now
+            best = moved, steps
         lowest.append(min([distance, *lowest[-1:]]))
         if np.abs(off).max() <= close or distance < 1e-15 or (len(lowest) > window and lowest[-1] > (1 - gain) * lowest[-1 - window]):
             break
@@ -136,8 +159,9 @@ def fit_rates(posteriors: DataFrame, targets: list[float], close: float = 1e-6,
         steps = [*steps, (weight @ off_ahead, (pace - 1) / next_pace)]
         pace = next_pace
         if len(steps) == kept:
-            moved, steps = stored(moved.withColumn(state, _moved(state, steps, width)), "rates"), []
-    return best.withColumn("rate", F.col(state)["rate"]).drop(state)
+            moved, steps = stored(_after(moved, steps, width), "rates"), []
+    rated = _after(*best, width).withColumn("rate", F.col("state")["rate"]).drop("state")
+    return rated.withColumnsRenamed({kept_as: "state"}) if "state" in posteriors.columns else rated
 
 
 def copies(rate: Column, key: Column) -> Column:
