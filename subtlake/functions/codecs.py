@@ -33,13 +33,6 @@ def _recode(contents: pd.Series, fallback: pd.Series) -> pd.Series:
     return pd.Series([_recoded(c, f) for c, f in zip(contents, fallback)])
 
 
-@F.pandas_udf(T.IntegerType())
-def _crc16(contents: pd.Series) -> pd.Series:
-    import binascii
-
-    return contents.map(lambda c: binascii.crc_hqx(bytes(c), 0), na_action="ignore")
-
-
 def fix_mojibake(name: Column) -> Column:
     """Names read as cp437 or latin1 that are UTF-8; others stay."""
     odd = name.rlike(r"[^\x00-\x7F]")
@@ -59,6 +52,48 @@ def to_utf8(content: Column, fallback: str = "cp1252") -> Column:
     return F.when(plain, content.cast("string")).otherwise(odd)
 
 
+#: The polynomial of CRC-16/XMODEM without its top bit.
+_POLYNOMIAL = 0x1021
+#: Bytes folded one by one before the remainders of pieces are combined.
+_PIECE = 256
+
+
+def _times_x(value: int, bits: int) -> int:
+    """``value`` as a polynomial over GF(2), times x to the power of ``bits``, reduced."""
+    for _ in range(bits):
+        value = (value << 1) ^ (_POLYNOMIAL | 0x10000 if value & 0x8000 else 0)
+    return value
+
+
+def _table(values: list[int]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def crc16(content: Column) -> Column:
-    """CRC-16/XMODEM of bytes."""
-    return _crc16(content)
+    """CRC-16/XMODEM of bytes; null for null, 0 for none.
+
+    The remainder is linear over GF(2). Each piece of 256 bytes is folded by the table of one byte's remainders. Then the pieces' remainders
+    are summed up, each moved over the bytes behind it: a shift over a whole piece is one table for the high byte and one for the low.
+    Bytes of value 0 in front change nothing, so the short piece is the first one and all shifts are alike.
+    """
+    byte = _table([_times_x(v, 16) for v in range(256)])
+    high, low = (_table([_times_x(v << up, 8 * _PIECE) for v in range(256)]) for up in (8, 0))
+    size = F.octet_length(content)
+
+    def fold(rest: Column, char: Column) -> Column:
+        over = F.shiftright(rest, 8).bitwiseXOR(F.ascii(char))
+        return F.shiftleft(rest.bitwiseAND(255), 8).bitwiseXOR(F.get(byte, over))
+
+    def piece(number: Column) -> Column:
+        end = size - number * _PIECE
+        start = F.greatest(F.lit(0), end - _PIECE)
+        chars = F.split(F.decode(F.substring(content, start + 1, end - start), "ISO-8859-1"), "")
+        return F.aggregate(chars, F.lit(0), fold)
+
+    def join(rest: Column, own: Column) -> Column:
+        moved = F.get(high, F.shiftright(rest, 8)).bitwiseXOR(F.get(low, rest.bitwiseAND(255)))
+        return moved.bitwiseXOR(own)
+
+    last = F.floor((size - 1) / _PIECE).cast("int")
+    pieces = F.transform(F.sequence(last, F.lit(0), F.lit(-1)), piece)
+    return F.when(size == 0, F.lit(0)).otherwise(F.aggregate(pieces, F.lit(0), join))

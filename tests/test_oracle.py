@@ -2,8 +2,10 @@
 
 import pytest
 from compare import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from subtlake.functions.codecs import crc16
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,6 +36,9 @@ def test_crc16_against_bitwise_form(spark):
         return value
 
     assert crc(b"123456789") == 0x31C3
+    odd = [None, b"", b"\0", b"\0a", bytes(range(256)), bytes(range(256)) + b"\n", b"\xff" * 511, b"\0" * 300 + b"\r\n\x85", bytes(range(255, -1, -1)) * 40]
+    frame = spark.createDataFrame([(i, bytearray(x) if x is not None else None) for i, x in enumerate(odd)], "i int, x binary")
+    assert [r.c for r in frame.select("i", crc16(F.col("x")).alias("c")).orderBy("i").collect()] == [None if x is None else crc(x) for x in odd]
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     got = {r.doc_id: r.crc16 for r in contract.queries()["q_crc16"](spark, SF).collect()}
     assert len(got) == len(texts)
