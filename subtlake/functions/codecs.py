@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
@@ -66,7 +67,7 @@ def _times_x(value: int, bits: int) -> int:
 
 
 def _table(values: list[int]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    return F.lit(np.array(values, np.int32))  # one literal, not an array built for each byte
 
 
 def crc16(content: Column) -> Column:
