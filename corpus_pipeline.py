@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtlake.llm import decontaminate, jaccard, language, mixing, secrets
-from subtlake.session import scratch_path
+from subtlake.llm import decontaminate, jaccard, language, mixing, secrets, simhash
+from subtlake.session import scratch_path, stored
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +19,9 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
-    return jaccard.drop_similar(docs)
+    """One document of each group of near copies: fingerprints of up to four differing bits, then, of what is left, five-word
+    shingles of similarity 0.8 or more."""
+    return jaccard.drop_similar(stored(simhash.drop_near_copies(docs), "pipeline-fingerprints"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,6 +154,14 @@ def test_pipeline_drops_similar_documents(spark):
     assert got == set(plain_similar(rows).values()) and 177 not in got  # 0.83 like another, but 9 bits from it
 
 
+def test_pipeline_drops_near_fingerprints(spark):
+    # the repeated shingle decides all bits, but as sets of shingles the texts are far apart
+    one, two = "la " * 400 + "b c d e f g h", "la " * 400 + "i j k l m n o"
+    assert plain_print(one) == plain_print(two) and len(set(plain_similar({1: one, 2: two}).values())) == 2
+    got = corpus_pipeline.single(spark, docs(spark, [(2, two), (1, one), (3, "p q r s t u v w")]), SF)
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
 def test_similar_odd_rows(spark):
     frame = docs(spark, [(None, "a b c d e f"), (3, "A b c d e f"), (None, None), (None, ""), (9, "x"), (9, "x"), (8, "y"), (8, "z"), (7, "y")])
     got = jaccard.drop_similar(frame)
