@@ -252,3 +252,11 @@ def test_delayed_release_replaces(spark, tmp_path):
     out = str(tmp_path / "out")
     streams.run_available(streams.delayed_release(stream, ["num"], "at"), out, str(tmp_path / "state"))
     assert {r.num: r.v for r in spark.read.parquet(out).collect()} == {1: "b", 2: "c"}
+
+
+def test_release_is_no_folder(spark, tmp_path):
+    shards = spark.createDataFrame([(i, i // 5) for i in range(2000)], "num long, release_id long")
+    sinks.write_release(shards, shards.select("release_id").where("release_id % 2 = 0"), shards.select("num").where("num % 3 > 0"), f"{tmp_path}/out")
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((r.num, r.release_id) for r in got.collect()) == [(i, i // 5) for i in range(2000) if i // 5 % 2 == 0 and i % 3]
+    assert len(list((tmp_path / "out").rglob("*.parquet"))) <= 8 and not list((tmp_path / "out").glob("release_id=*"))
