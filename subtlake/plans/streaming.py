@@ -15,14 +15,18 @@ from subtlake.streaming import streams
 LATE = "8 days"
 
 
-def event_stream(spark, sf):
-    """The events as a stream of at least five files, one a batch: by time, but every seventh id a file late."""
+def event_streams(spark, sf):
+    """The events as a stream that grows five times: by time, but every seventh id a time late.
+
+    Each turn writes one part; what runs on the stream then takes all its files as one batch, and goes on from its checkpoint the next
+    turn. So a part may have many files, and rows of its first file are not late because of its last one.
+    """
     rows = table(spark, sf, "events").withColumn("at", F.col("ts").cast("timestamp"))
     part = F.least(F.lit(3), F.floor(F.dayofmonth("ts") / 8)) + (F.col("event_id") % 7 == 0).cast("int")
     path = scratch_path(spark, "events")
-    for i in range(5):  # one after the other: the source takes files in the order they were written
+    for i in range(5):
         rows.where(part == i).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        yield spark.readStream.schema(rows.schema).parquet(path)
 
 
 @query("""
@@ -50,8 +54,8 @@ SELECT user_id, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def upsert_latest(spark, sf):
     root = scratch_path(spark, "ratings")
-    rows = event_stream(spark, sf).select("user_id", "event_id", "ts", "value")
-    streams.upsert_latest(rows, ["user_id"], ["ts", "event_id"], root, every=2)
+    for rows in event_streams(spark, sf):
+        streams.upsert_latest(rows.select("user_id", "event_id", "ts", "value"), ["user_id"], ["ts", "event_id"], root, every=2)
     return streams.read_latest(spark, root, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
 
 
@@ -64,8 +68,8 @@ def incremental_metadata(spark, sf):
     root = scratch_path(spark, "meta")
     full = table(spark, sf, "orders").select(F.col("o_orderkey").alias("num"), F.lit(0).alias("seq"), F.col("o_totalprice").alias("value"))
     streams.replace_table(full, root)
-    newer = event_stream(spark, sf).select(F.col("event_id").alias("num"), F.lit(1).alias("seq"), "value")
-    streams.upsert_latest(newer, ["num"], ["seq"], root)
+    for newer in event_streams(spark, sf):
+        streams.upsert_latest(newer.select(F.col("event_id").alias("num"), F.lit(1).alias("seq"), "value"), ["num"], ["seq"], root)
     return streams.read_latest(spark, root, ["num"], ["seq"]).select("num", "value")
 
 
@@ -76,8 +80,9 @@ WHERE (next IS NULL OR next >= ts + INTERVAL 1 DAY) AND ts <= newest - INTERVAL
 def delayed_release(spark, sf):
     """The newest row of each user that no other followed within a day, once nothing late can come before that."""
     root = scratch_path(spark, "delayed")
-    rows = event_stream(spark, sf).select("user_id", "event_id", "at", "value")
-    streams.run_available(streams.delayed_release(rows, ["user_id"], "at", days=1, late=LATE), f"{root}/table", f"{root}/checkpoint")
+    for stream in event_streams(spark, sf):
+        rows = stream.select("user_id", "event_id", "at", "value")
+        streams.run_available(streams.delayed_release(rows, ["user_id"], "at", days=1, late=LATE), f"{root}/table", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/table").select("user_id", "event_id", "value")
 
 
@@ -93,7 +98,8 @@ def shard_completion(spark, sf):
     """Shards of five ids whose expected ids (orders) have all arrived as events; other events do not count."""
     root = scratch_path(spark, "completion")
     expected = table(spark, sf, "orders").select(F.col("o_orderkey").alias("event_id"))
-    streams.shard_completion(event_stream(spark, sf), expected, "event_id", "at", root, 5)
+    for stream in event_streams(spark, sf):
+        streams.shard_completion(stream, expected, "event_id", "at", root, 5)
     done = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/version=*")
     return done.select("shard", "have", F.col("last_arrival").cast("timestamp_ntz").alias("last_arrival"))
 
@@ -104,8 +110,9 @@ SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS requests,
 def tumbling_totals(spark, sf):
     root = scratch_path(spark, "tumbling")
     outcome = F.when(F.col("event_type") == "error", "retry").otherwise("ok")
-    totals = streams.tumbling_totals(event_stream(spark, sf), "at", ["event_type"], outcome, late=LATE)
-    return _window_rows(spark, totals, root, ["window_start", "event_type"])
+    for stream in event_streams(spark, sf):
+        _write_updates(streams.tumbling_totals(stream, "at", ["event_type"], outcome, late=LATE), root)
+    return _window_rows(spark, root, ["window_start", "event_type"])
 
 
 @query("""
@@ -115,18 +122,27 @@ SELECT window_start, count(*) AS requests, round(avg(e), 6) AS error_rate FROM (
   FROM events, (SELECT unnest(generate_series(0, 5)) AS k)) GROUP BY window_start""")
 def sliding_error_rate(spark, sf):
     root = scratch_path(spark, "sliding")
-    rates = streams.sliding_error_rate(event_stream(spark, sf), "at", F.col("event_type") == "error", late=LATE)
-    return _window_rows(spark, rates, root, ["window_start"])
+    for stream in event_streams(spark, sf):
+        _write_updates(streams.sliding_error_rate(stream, "at", F.col("event_type") == "error", late=LATE), root)
+    return _window_rows(spark, root, ["window_start"])
 
 
-def _window_rows(spark, windows, root, keys):
-    """Windows as updated batch by batch; the last update of each window counts."""
+def _write_updates(rows, root):
+    """The rows that each batch updates, with its number."""
     def write(batch, epoch):
         batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/version={epoch}")
 
-    streams.run_batches(windows, write, f"{root}/_checkpoint", "update")
+    streams.run_batches(rows, write, f"{root}/_checkpoint", "update")
+
+
+def _updated(spark, root, keys):
+    """The last update of each key."""
     rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/version=*")
-    latest = ranking.dedupe_latest(rows.drop("version"), keys, ["_epoch"]).drop("_epoch")
+    return ranking.dedupe_latest(rows.drop("version"), keys, ["_epoch"]).drop("_epoch")
+
+
+def _window_rows(spark, root, keys):
+    latest = _updated(spark, root, keys)
     return latest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -135,11 +151,6 @@ SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS downloads, count(*) > 10 *
 def stream_daily_quota(spark, sf):
     """The same count kept by a stream, updated batch by batch."""
     root = scratch_path(spark, "quota")
-    counts = streams.daily_quota(event_stream(spark, sf), "user_id", "at", 10, 0.5, LATE)
-
-    def write(batch, epoch):
-        batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{root}/version={epoch}")
-
-    streams.run_batches(counts, write, f"{root}/_checkpoint", "update")
-    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{root}/version=*")
-    return ranking.dedupe_latest(rows.drop("version"), ["user_id", "day"], ["_epoch"]).drop("_epoch")
+    for stream in event_streams(spark, sf):
+        _write_updates(streams.daily_quota(stream, "user_id", "at", 10, 0.5, LATE), root)
+    return _updated(spark, root, ["user_id", "day"])

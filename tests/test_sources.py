@@ -260,3 +260,21 @@ def test_release_is_no_folder(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out")
     assert sorted((r.num, r.release_id) for r in got.collect()) == [(i, i // 5) for i in range(2000) if i // 5 % 2 == 0 and i % 3]
     assert len(list((tmp_path / "out").rglob("*.parquet"))) <= 8 and not list((tmp_path / "out").glob("release_id=*"))
+
+
+def test_events_of_many_files(spark, tmp_path):
+    """A part of the events in many files is one batch: no row is late because of another file."""
+    from subtlake.plans import streaming
+
+    rows = [(i, i % 3, f"2024-01-{1 + i % 28:02d} 00:30:00", "error" if i % 5 == 0 else "view", 1.0) for i in range(280)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, ts string, event_type string, value double")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).repartitionByRange(8, F.desc("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a split, and so a file, for each file
+    try:
+        got = streaming.stream_daily_quota(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = {}
+    for _, user, ts, *_ in rows:
+        want[user, ts[:10]] = want.get((user, ts[:10]), 0) + 1
+    assert {(r.user_id, str(r.day)): r.downloads for r in got} == want
