@@ -113,41 +113,48 @@ def releasable(df: DataFrame, ts: str, days: int = 7) -> DataFrame:
     return df.where(F.col(ts) <= df.agg(F.max(ts)).scalar() - F.expr(f"interval {days} days"))
 
 
+#: Ids whose shards share one state.
+STATE_IDS = 1 << 16
+
+
 def shard_completion(stream: DataFrame, expected: DataFrame, num: str, ts: str, root: str, shard_size: int = SHARD_SIZE) -> None:
     """Append (shard, have, last_arrival) to the table at ``root`` once the last expected id of a shard has arrived.
 
     ``expected`` holds the ids that shards consist of; other ids and repeats do not count, null ids neither. The state
-    of a shard is one bit per id until it is complete and an empty mark from then on, so each is reported once.
+    is one bit per id and the latest time and a mark per shard, kept for a run of shards together: the work of a batch grows
+    with its rows, not with the number of small shards. A shard that is marked complete is not reported again.
     ``last_arrival`` is the latest time among the ids that counted.
     """
     ids = expected.select(F.col(num)).where(F.col(num).isNotNull()).distinct()
     counts = ids.groupBy(bucket_of(F.col(num), shard_size).alias("shard")).agg(F.count(F.lit(1)).alias("expected"))
     shard = bucket_of(F.col(num), shard_size)
+    run = max(1, STATE_IDS // shard_size)
     arrived = stream.join(ids, num, "left_semi").select(
         shard.alias("shard"), (F.col(num) - shard * shard_size).cast("int").alias("slot"), F.unix_micros(ts).alias("at")
     )
+    none = -(1 << 62)
 
     def fill(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, last = np.zeros(shard_size, bool), -(1 << 62)
+        seen, last, done = np.zeros((run, shard_size), bool), np.full(run, none, np.int64), np.zeros(run, bool)
         if state.exists:
-            bits, last = state.get
-            if not bits:
-                return
-            seen = np.unpackbits(np.frombuffer(bits, np.uint8), count=shard_size).astype(bool)
-        want = 0
+            bits, times, marks = state.get
+            seen = np.unpackbits(np.frombuffer(bits, np.uint8), count=run * shard_size).astype(bool).reshape(run, shard_size)
+            last, done = np.frombuffer(times, np.int64).copy(), np.unpackbits(np.frombuffer(marks, np.uint8), count=run).astype(bool)
+        want, before = np.zeros(run, np.int64), seen.copy()
         for frame in frames:
-            want, slots = int(frame["expected"].iat[0]), frame["slot"].to_numpy()
-            new = frame["at"][~seen[slots]].max()
-            last = max(last, int(new)) if pd.notna(new) else last
-            seen[slots] = True
-        if seen.sum() < want:
-            state.update((np.packbits(seen).tobytes(), last))
-        else:
-            state.update((b"", last))
-            yield pd.DataFrame({"shard": [key[0]], "have": [want], "last": [last]})
-
-    done = arrived.join(counts, "shard").groupBy("shard").applyInPandasWithState(
-        fill, "shard long, have long, last long", "seen binary, last long", "update", GroupStateTimeout.NoTimeout
+            places, slots = (frame["shard"] - key[0] * run).to_numpy(), frame["slot"].to_numpy()
+            want[places] = frame["expected"].to_numpy()
+            new = ~before[places, slots] & ~done[places]
+            np.maximum.at(last, places[new], frame["at"].fillna(none).to_numpy().astype(np.int64)[new])
+            seen[places, slots] = True
+        full = np.flatnonzero((want > 0) & ~done & (seen.sum(axis=1) >= want))
+        done[full] = True
+        state.update((np.packbits(seen).tobytes(), last.tobytes(), np.packbits(done).tobytes()))
+        if len(full):
+            yield pd.DataFrame({"shard": key[0] * run + full, "have": want[full], "last": last[full]})
+
+    done = arrived.join(counts, "shard").withColumn("run", bucket_of(F.col("shard"), run)).groupBy("run").applyInPandasWithState(
+        fill, "shard long, have long, last long", "seen binary, last binary, done binary", "update", GroupStateTimeout.NoTimeout
     )
 
     def write(batch: DataFrame, epoch: int) -> None:

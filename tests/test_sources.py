@@ -278,3 +278,20 @@ def test_events_of_many_files(spark, tmp_path):
     for _, user, ts, *_ in rows:
         want[user, ts[:10]] = want.get((user, ts[:10]), 0) + 1
     assert {(r.user_id, str(r.day)): r.downloads for r in got} == want
+
+
+def test_small_shards_share_a_state(spark, tmp_path):
+    """Complete shards over several runs of shards, with negative ids, in batches; one call of the function serves a run."""
+    source, root = tmp_path / "in", str(tmp_path / "root")
+    ids = [*range(-10, 200), *range(streams.STATE_IDS - 7, streams.STATE_IDS + 8), 7 * streams.STATE_IDS]
+    expected = spark.createDataFrame([(i,) for i in ids], "num long")
+    for batch in (ids[::2], ids[1::3], ids):
+        spark.createDataFrame([(i, f"2024-01-01 00:00:{i % 60:02d}") for i in batch], "num long, at string").write.mode("append").json(str(source))
+        stream = spark.readStream.schema("num long, at timestamp").json(str(source))
+        streams.shard_completion(stream, expected, "num", "at", root, 5)
+    done = spark.read.option("pathGlobFilter", "*.parquet").schema("shard long, have long, last_arrival timestamp").parquet(f"{root}/version=*")
+    want = {}
+    for i in ids:
+        want.setdefault(i // 5, []).append(i % 60)
+    assert sorted((r.shard, r.have, r.last_arrival.second) for r in done.collect()) == sorted((s, len(x), max(x)) for s, x in want.items())
+    assert spark.read.format("statestore").load(f"{root}/_checkpoint").count() == 4
