@@ -10,13 +10,18 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subtlake.session import spread
 from subtlake.sources.listing import opened
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def write_marks(names: DataFrame, root: str, folders: int = 8) -> list[str]:
-    """A file of ``size`` bytes for each ``name``, dealt to folders below ``root``; returns the folders."""
+def write_marks(names: DataFrame, root: str, folders: int | None = None) -> list[str]:
+    """A file of ``size`` bytes for each ``name``, dealt to folders below ``root``; returns the folders.
+
+    A file is heavy work for a short row, so the names are spread over all cores, and there are some folders for each core to list.
+    """
+    folders = folders or max(8, 2 * names.sparkSession.sparkContext.defaultParallelism)
     places = [f"{root}/{i}" for i in range(folders)]
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -30,6 +35,6 @@ def write_marks(names: DataFrame, root: str, folders: int = 8) -> list[str]:
                     out.write(b"x" * size)
             yield pd.DataFrame({"n": [len(frame)]})
 
-    dealt = names.select("name", "size", F.pmod(F.xxhash64("name"), F.lit(folders)).cast("int").alias("place"))
+    dealt = spread(names).select("name", "size", F.pmod(F.xxhash64("name"), F.lit(folders)).cast("int").alias("place"))
     dealt.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
     return places

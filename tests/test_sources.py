@@ -295,3 +295,15 @@ def test_small_shards_share_a_state(spark, tmp_path):
         want.setdefault(i // 5, []).append(i % 60)
     assert sorted((r.shard, r.have, r.last_arrival.second) for r in done.collect()) == sorted((s, len(x), max(x)) for s, x in want.items())
     assert spark.read.format("statestore").load(f"{root}/_checkpoint").count() == 4
+
+
+def test_marks_are_spread(spark, tmp_path):
+    from subtlake.plans.inputs import write_marks
+
+    names = spark.createDataFrame([(f"{i}.zip", i % 3) for i in range(400)], "name string, size int").coalesce(1)
+    folders = write_marks(names, str(tmp_path / "marks"))
+    assert len(folders) > spark.sparkContext.defaultParallelism
+    listed = inbox.list_inbox(spark, *folders)
+    assert sorted((r.name, r.size) for r in listed.collect()) == sorted((f"{i}.zip", i % 3) for i in range(400))
+    by_task = listed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(by_task) < 200
