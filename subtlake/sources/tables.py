@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtlake.fixed_values import SHARD_SIZE
+from subtlake.session import spread
 
 _BASICS = ("tconst string, titleType string, primaryTitle string, originalTitle string, isAdult string, "
            "startYear string, endYear string, runtimeMinutes string, genres string")
@@ -67,9 +68,12 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ids_of_shards(shards: DataFrame, shard: str = "shard", size: int = SHARD_SIZE) -> DataFrame:
-    """All ids of finished shards: shard n covers n*size … n*size+size-1."""
+    """All ids of finished shards: shard n covers n*size … n*size+size-1.
+
+    A few shards are many ids, so a short input is spread before they are listed.
+    """
     first = F.col(shard).cast("long") * size
-    return shards.select(F.explode(F.sequence(first, first + size - 1)).alias("num"))
+    return spread(shards.select(shard)).select(F.explode(F.sequence(first, first + size - 1)).alias("num"))
 
 
 def shard_of_file(path: Column) -> Column:

@@ -307,3 +307,9 @@ def test_marks_are_spread(spark, tmp_path):
     assert sorted((r.name, r.size) for r in listed.collect()) == sorted((f"{i}.zip", i % 3) for i in range(400))
     by_task = listed.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert max(by_task) < 200
+
+
+def test_few_shards_are_spread(spark):
+    ids = tables.ids_of_shards(spark.createDataFrame([(i,) for i in range(64)], "shard long").coalesce(1), "shard", 10)
+    assert sorted(r.num for r in ids.collect()) == list(range(640))
+    assert max(len(x) for x in ids.rdd.glom().collect()) < 640
