@@ -19,12 +19,12 @@ from subtlake.functions.content import detect_format, is_microdvd, parse_integri
 from subtlake.functions.names import extension, fit_filename, fix_extension, normalise_quotes
 from subtlake.operators.numbering import number_rows
 from subtlake.operators.skew import salted_join
-from subtlake.session import checkpointed
+from subtlake.session import bounded_batches, checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MEMBER_SCHEMA = "num long, ord int, path string, size long, content binary, broken boolean"
-_BATCH_BYTES = 64 << 20
+_BATCH_BYTES = 8 << 20  # a batch ends with the member that reaches them
 
 
 def _members(num: int, content: bytes) -> Iterator[tuple]:
@@ -62,6 +62,7 @@ def unpack_archives(blobs: DataFrame, num: str = "num", content: str = "content"
 
     A member found before the damage stays in the result beside the ``broken`` row.
     """
+    bounded_batches(blobs.sparkSession)
     return blobs.select(F.col(num).cast("long").alias("num"), F.col(content).alias("content")).mapInPandas(
         _unpack, MEMBER_SCHEMA
     )
@@ -103,6 +104,7 @@ def first_members(blobs: DataFrame, skipped: tuple[str, ...] = (".nfo",), num: s
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _choose(frames, skipped)
 
+    bounded_batches(blobs.sparkSession)
     rows = blobs.select(F.col(num).cast("long").alias("num"), F.col(content).alias("content"))
     return rows.mapInPandas(choose, "num long, path string, content binary, total long")
 
@@ -121,6 +123,7 @@ def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def pack_archives(files: DataFrame, num: str, members: Column) -> DataFrame:
     """Inverse of ``unpack_archives``: an array of struct(path, content) per id -> archive bytes."""
+    bounded_batches(files.sparkSession)
     return files.select(F.col(num).cast("long").alias("num"), members.alias("members")).mapInPandas(
         _pack, "num long, content binary"
     )

@@ -143,3 +143,19 @@ def test_listing(spark):
            '<span title="{2} votes">{3}</span></td><td><a href="/en/profile/iduser-{4}">u</a></td></tr>')
     html = "<table>" + row.format(11, 250, 3, "5.7", 99) + row.format(12, 0, 0, "0.0", 1) + "</table>"
     assert [tuple(r) for r in one(spark, html, extract_listing)] == [(11, 250, 57, 3, 99), (12, 0, 0, 0, 1)]
+
+
+def test_archives_in_small_batches(spark):
+    """Members come in batches that end with the member that fills them, whatever the number of archives."""
+    import pandas as pd
+
+    size, out = 3 << 20, io.BytesIO()
+    with zipfile.ZipFile(out, "w") as made:
+        made.writestr("a.srt", b"x" * size)
+    frames = list(archive._unpack(iter([pd.DataFrame({"num": range(12), "content": [out.getvalue()] * 12})])))
+    assert sum(map(len, frames)) == 12 and max(len(f) for f in frames) * size < 24 << 20
+    files = spark.range(300).select("id", F.array(F.struct(F.lit("a.srt").alias("path"), F.encode(F.repeat(F.lit("x"), 100_000), "UTF-8").alias("content"))).alias("m"))
+    blobs = archive.pack_archives(files.coalesce(1), "id", F.col("m"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+    sizes = archive.unpack_archives(blobs).groupBy().agg(F.count("num").alias("n"), F.sum("size").alias("size")).first()
+    assert tuple(sizes) == (300, 300 * 100_000)
