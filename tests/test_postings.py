@@ -1,5 +1,7 @@
 """Posting lists and the search by them against plain searches."""
 
+import itertools
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -59,3 +61,44 @@ def test_nothing_to_search(spark, tmp_path):
     lists, queries = searched(spark, 4, 8, tmp_path)
     assert postings.phrase_hits(lists.limit(0), queries, "phrase").count() == 0
     assert postings.word_hits(lists, queries.where(F.lit(False)), "phrase").count() == 0
+
+
+def made_rows(frame):
+    """Rows that the joins of a plan have given, with the plans of all stages it has run."""
+    def walk(node):
+        own = node.nodeName()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if own.startswith("AdaptiveSparkPlan"):
+            children = [node.executedPlan()]
+        elif "QueryStage" in own:
+            children = [node.plan()]
+        held = [node.metrics().apply("numOutputRows").value()] if "Join" in own else []
+        return held + [x for c in children for x in walk(c)]
+
+    frame.collect()
+    return max(walk(frame._jdf.queryExecution().executedPlan()), default=0)
+
+
+def test_joins_do_not_multiply_queries_by_places(spark, tmp_path):
+    """All texts are of the same 24 words, and very many phrases and sets of them are asked."""
+    named = [f"w{i:02}" for i in range(24)]
+    texts = {n: random.Random(n).sample(named, 12) for n in range(60)}
+    rows = spark.createDataFrame([(n, " ".join(t)) for n, t in texts.items()], "num long, text string")
+    postings.write_postings(postings.posting_blocks(rows, "num", "text"), f"{tmp_path}/lists")
+    lists = spark.read.parquet(f"{tmp_path}/lists")
+    phrases = dict(enumerate(itertools.permutations(named[:12], 3)))
+    found = postings.phrase_hits(lists, spark.createDataFrame([(q, " ".join(p)) for q, p in phrases.items()], "query_id int, text string"), "text")
+    held = sorted((q, n) for q, p in phrases.items() for n, t in texts.items() if any(tuple(t[i:i + 3]) == p for i in range(10)))
+    assert made_rows(found) <= 2 * len(phrases) and sorted((r.query_id, r.num) for r in found.collect()) == held
+    sets = dict(enumerate(itertools.combinations(named, 5)))
+    found = postings.word_hits(lists, spark.createDataFrame([(q, " ".join(p)) for q, p in sets.items()], "query_id int, text string"), "text")
+    held = sorted((q, n) for q, p in sets.items() for n, t in texts.items() if set(p) <= set(t))
+    assert made_rows(found) <= len(held) + 5 * len(sets) and sorted(map(tuple, found.collect())) == held
+
+
+def test_word_sets_of_a_long_text(spark, tmp_path):
+    texts = spark.createDataFrame([(1, " ".join(f"a{i}" for i in range(1500))), (2, "a1 a2")], "num long, text string")
+    postings.write_postings(postings.posting_blocks(texts, "num", "text", 4, 8), f"{tmp_path}/lists")
+    asked = [(i, f"a{i} a{i + 1} a{(i * 7) % 1500} a{1499 - i}") for i in range(1499)] + [(5000, "a2 a1"), (5001, "a1 b")]
+    got = postings.word_hits(spark.read.parquet(f"{tmp_path}/lists"), spark.createDataFrame(asked, "query_id long, text string"), "text", 4, 8)
+    assert sorted(tuple(r) for r in got.collect()) == [(i, 1) for i in range(1499)] + [(5000, 1), (5000, 2)]
