@@ -166,7 +166,7 @@ def lookup(spark, sf):
         member("dir/", F.lit("")), member("dir/x.nfo", F.lit("info")),
         member("dir/Title.txt", F.concat_ws(" ", "p_name", "p_brand")), member("dir/other.srt", F.lit("other")),
     )
-    blobs = archive.pack_archives(table(spark, sf, "part"), "p_partkey", members)
+    blobs = archive.pack_archives(files(spark, sf, "part"), "p_partkey", members)
     found = search.lookup(part_meta(spark, sf), blobs, part_queries(spark, sf), _PROVIDERS, limit=500, tokens=part_tokens(spark, sf))
     return found.withColumn("content", F.col("content").cast("string"))
 

@@ -313,3 +313,17 @@ def test_few_shards_are_spread(spark):
     ids = tables.ids_of_shards(spark.createDataFrame([(i,) for i in range(64)], "shard long").coalesce(1), "shard", 10)
     assert sorted(r.num for r in ids.collect()) == list(range(640))
     assert max(len(x) for x in ids.rdd.glom().collect()) < 640
+
+
+def test_archives_of_a_lookup_are_packed_by_all_cores(spark, monkeypatch):
+    from subtlake.plans import titles
+
+    seen = []
+
+    def pack(rows, *rest, pack=titles.archive.pack_archives):
+        seen.append(rows.rdd.getNumPartitions())
+        return pack(rows, *rest)
+
+    monkeypatch.setattr(titles.archive, "pack_archives", pack)
+    titles.lookup(spark, "/root/testdata/sf0.001")
+    assert seen and min(seen) >= spark.sparkContext.defaultParallelism
