@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtlake.operators.bits import bit_filter, passes  # noqa: F401
-from subtlake.session import checkpointed, stored  # noqa: F401
+from subtlake.session import bounded_batches, checkpointed, stored  # noqa: F401
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -35,6 +39,36 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return stars.unionAll(edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 
+def first_rows(docs: DataFrame, text: str, key: str, kept: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key and text are ``kept`` (_id, _hash), each key and text once; all columns stay.
+
+    ``pairs`` (id, hash) are the keys and ``text_digest`` of all rows. What must go or comes more than once is put into a filter of fixed
+    size: rows that it does not hold stay where they are, and only the others are dealt out and met with ``kept``.
+    """
+    bounded_batches(docs.sparkSession)
+    kept = stored(kept, "kept")
+    pairs = pairs.groupBy("id", "hash").agg(F.count(F.lit(1)).alias("n"))
+    doubtful = pairs.join(kept, pairs["id"].eqNullSafe(kept["_id"]) & (pairs["hash"] == kept["_hash"]), "left").where("n > 1 or _hash is null")
+    held = bit_filter(doubtful.select(F.xxhash64("id", "hash").alias("pair")), "pair", 26)
+    digest, pair = free_names(docs, "_text", "_pair")
+    rows = docs.withColumn(digest, text_digest(text)).withColumn(pair, F.xxhash64(key, digest))
+
+    def part(doubt: bool) -> DataFrame:
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(passes(held.value, batch.column(pair).to_numpy().view(np.uint64)) == doubt))
+
+        return rows.mapInArrow(read, rows.schema)
+
+    met = part(True)
+    met = met.join(kept, met[key].eqNullSafe(kept["_id"]) & (met[digest] == kept["_hash"]), "left_semi").dropDuplicates([key, digest])
+    return part(False).unionAll(met).select(*docs.columns)
+
+
+def text_digest(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def free_names(docs: DataFrame, *names: str) -> list[str]:
     """``names``, with underscores before those that ``docs`` has a column of."""
     taken = {c.lower() for c in docs.columns}

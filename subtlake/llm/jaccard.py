@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import bit_filter, components, free_names, passes, stored
+from subtlake.llm.common import bit_filter, components, first_rows, passes, stored, text_digest
 from subtlake.llm.tokens import bounded_batches, scan, slices
 
 CELLS = 1 << 20
@@ -125,9 +125,12 @@ def _sets(rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return stored(sets, "shingles")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose sets of shingles have the similarity."""
+def _similar(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose sets of shingles have the similarity; only texts of a pair are made into sets."""
     pairs = stored(pairs.distinct(), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    sets = _sets(rows, pairs.select("a").unionAll(pairs.select("b")).toDF("node").distinct(), shingle)
     both = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     shared = F.size(F.array_intersect("left", "right"))
     return stored(both.where(shared / (F.size("left") + F.size("right") - shared) >= similarity).select("a", "b"), "links")
@@ -155,7 +158,6 @@ def similar_texts(docs: DataFrame, text: str = "text", shingle: int = 5, similar
     met = stored(met.where("low <> high").select("shingle"), "shared")
     again = _prefixes(rows, shingle, similarity, tally, bit_filter(met, "shingle", 26))
     meets = stored(again.join(met, "shingle", "left_semi").distinct(), "meets")
-    sets = _sets(rows, meets.select("node").distinct(), shingle)
     sizes = meets.groupBy("shingle").agg(F.count(F.lit(1)).alias("size"))
     weights = meets.join(sizes, "shingle").groupBy("node").agg(F.sum("size").alias("weight"))
     meets = meets.join(weights, "node").withColumn("component", F.col("node"))
@@ -166,7 +168,7 @@ def similar_texts(docs: DataFrame, text: str = "text", shingle: int = 5, similar
         heads = stored(meets.groupBy("shingle").agg(F.max(F.struct("weight", "node", "at", "n", "component")).alias("h")), "heads")
         pairs = meets.select("shingle", F.struct("node", "at", "n", "component").alias("m")).join(heads, "shingle")
         pairs = pairs.where("m.component <> h.component").where(_possible("h", "m", similarity))
-        new = _similar(pairs.select(F.least("h.node", "m.node").alias("a"), F.greatest("h.node", "m.node").alias("b")), sets, similarity)
+        new = _similar(pairs.select(F.least("h.node", "m.node").alias("a"), F.greatest("h.node", "m.node").alias("b")), rows, shingle, similarity)
         links = new if links is None else links.unionAll(new)
         led = heads.select("shingle", F.col("h.node").alias("node"))
         meets = _apart(meets.join(led, ["shingle", "node"], "left_anti"), links)
@@ -179,7 +181,7 @@ def similar_texts(docs: DataFrame, text: str = "text", shingle: int = 5, similar
     # what is left: pairs that no leader connected
     one, two = (meets.select("shingle", F.struct("node", "at", "n", "component").alias(x)) for x in "hm")
     pairs = one.join(two, "shingle").where("h.node < m.node and h.component <> m.component").where(_possible("h", "m", similarity))
-    more = _similar(pairs.select(F.col("h.node").alias("a"), F.col("m.node").alias("b")), sets, similarity)
+    more = _similar(pairs.select(F.col("h.node").alias("a"), F.col("m.node").alias("b")), rows, shingle, similarity)
     return components(links.unionAll(more), "a", "b")
 
 
@@ -188,12 +190,9 @@ def drop_similar(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
 
     Rows that repeat a key and a text stay once, and so do equal texts.
     """
-    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    digest = text_digest(text)
     groups = similar_texts(docs, text, shingle, similarity)
     own = docs.select(digest.alias("_node"), F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("hash")).alias("first"))
     own = own.groupBy("_node").agg(F.min("first").alias("first")).join(groups, F.col("_node") == groups["node"], "left")
     kept = own.groupBy(F.coalesce("component", "_node")).agg(F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
-    name, = free_names(docs, "_text")
-    rows = docs.withColumn(name, digest)
-    rows = rows.join(kept, rows[key].eqNullSafe(kept["_id"]) & (rows[name] == kept["_hash"]), "left_semi")
-    return rows.dropDuplicates([key, name]).select(*docs.columns)
+    return first_rows(docs, text, key, kept, docs.select(F.col(key).alias("id"), digest.alias("hash")))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtlake.llm.common import components, free_names, stored
+from subtlake.llm.common import components, first_rows, stored, text_digest
 from subtlake.llm.tokens import bounded_batches, scan, slices
 from subtlake.session import checkpointed, shuffle_partitions
 
@@ -202,8 +202,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", differ
 
 def _grouped(docs: DataFrame, text: str, key: str, differing: int = 4, shingle: int = 4) -> DataFrame:
     """``id``, ``text_hash``, ``fp``, ``component``, ``low``: one row per input row."""
-    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    signed = checkpointed(fingerprints(docs.select(F.col(key).alias("id"), digest.alias("text_hash"), F.col(text).alias("text")), "text", shingle))
+    signed = checkpointed(fingerprints(docs.select(F.col(key).alias("id"), text_digest(text).alias("text_hash"), F.col(text).alias("text")), "text", shingle))
     own = signed.groupBy("fp").agg(F.min("id").alias("low"))
     groups = components(links(own.select("fp"), differing), "a", "b")
     named = own.join(groups, own["fp"] == groups["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("component"))
@@ -218,9 +217,6 @@ def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", *
     Rows that repeat a key and a text stay once.
     """
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
-    kept = _grouped(docs, text, key, **options).groupBy("component").agg(first)
-    kept = kept.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    own, = free_names(docs, "_text")
-    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(kept, rows[key].eqNullSafe(kept["_id"]) & (rows[own] == kept["_hash"]), "left_semi")
-    return rows.dropDuplicates([key, own]).select(*docs.columns)
+    rows = _grouped(docs, text, key, **options)
+    kept = rows.groupBy("component").agg(first).select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    return first_rows(docs, text, key, kept, rows.select("id", F.col("text_hash").alias("hash")))

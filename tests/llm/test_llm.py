@@ -171,6 +171,41 @@ def test_similar_odd_rows(spark):
     assert jaccard.drop_similar(docs(spark, [])).count() == 0
 
 
+def test_texts_of_kept_rows_are_not_dealt_out(spark):
+    rows = [(i, f"w{i} v{i} x{i} y{i} z{i} a{i} b{i}") for i in range(200)]
+    frame = docs(spark, [*rows, (300, rows[0][1]), (5, rows[5][1])])
+
+    def dealt(node):
+        """Rows with a text that exchanges have written."""
+        own = node.nodeName()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if own.startswith("AdaptiveSparkPlan"):
+            children = [node.executedPlan()]
+        elif "QueryStage" in own:
+            children = [node.plan()]
+        texts = own == "Exchange" and "text#" in node.output().mkString(" ")
+        return (node.metrics().apply("shuffleRecordsWritten").value() if texts else 0) + sum(map(dealt, children))
+
+    for drop in (simhash.drop_near_copies, jaccard.drop_similar):
+        got = drop(frame)
+        assert sorted(r.doc_id for r in got.collect()) == list(range(200))
+        assert dealt(got._jdf.queryExecution().executedPlan()) <= 10
+
+
+def test_only_texts_of_pairs_become_sets(spark, monkeypatch):
+    # all share a shingle, but only two are of a length that lets them be similar
+    rows = [(i, "a b c d e " + " ".join(f"w{i}x{n}" for n in range(2 << i))) for i in range(8)] + [(20, "p q r s t u v w x y"), (21, "p q r s t u v w x y z")]
+    nodes = []
+
+    def sets(rows, asked, *rest, sets=jaccard._sets):
+        nodes.append(asked.count())
+        return sets(rows, asked, *rest)
+
+    monkeypatch.setattr(jaccard, "_sets", sets)
+    assert sorted(r.doc_id for r in jaccard.drop_similar(docs(spark, rows)).collect()) == [*range(8), 20]
+    assert nodes and max(nodes) == 2
+
+
 # repeated spans
 
 def plain_removal(rows, k):
