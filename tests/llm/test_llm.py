@@ -193,8 +193,10 @@ def test_texts_of_kept_rows_are_not_dealt_out(spark):
 
 
 def test_only_texts_of_pairs_become_sets(spark, monkeypatch):
-    # all share a shingle, but only two are of a length that lets them be similar
-    rows = [(i, "a b c d e " + " ".join(f"w{i}x{n}" for n in range(2 << i))) for i in range(8)] + [(20, "p q r s t u v w x y"), (21, "p q r s t u v w x y z")]
+    # a short and a long text share what is seldom, but only the last two are of lengths that let them be similar
+    tail = " ".join(f"t{n}" for n in range(300))
+    own = [" ".join(f"w{i}x{n}" for n in range(60)) for i in range(4)]
+    rows = [*enumerate([*own, *(f"{x} {tail}" for x in own)]), (20, "p q r s t u v w x y"), (21, "p q r s t u v w x y z")]
     nodes = []
 
     def sets(rows, asked, *rest, sets=jaccard._sets):
