@@ -13,13 +13,19 @@ from subtlake.operators.bits import bit_filter, passes  # noqa: F401
 from subtlake.session import bounded_batches, checkpointed, stored  # noqa: F401
 
 
+FEW_EDGES = 1 << 20  # 16 MB: what one task connects
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node``, ``component`` (smallest node reachable) for all nodes of the undirected ``edges``.
 
     Rounds of hooking every node to its smallest neighbour and halving the way to the smallest node; each round is
     aggregates and joins, cut by a reliable checkpoint. A node with very many neighbours is aggregated map-side.
+    Up to ``FEW_EDGES`` edges are connected by one task, since a round over them would be thousands of tasks with next to nothing in each.
     """
-    edges = checkpointed(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u <> v").distinct())
+    edges = stored(edges.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u <> v").distinct(), "edges")
+    if edges.count() <= FEW_EDGES:
+        return stored(_connected(edges), "components")
     while True:
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
@@ -39,6 +45,32 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return stars.unionAll(edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 
+def _connected(edges: DataFrame) -> DataFrame:
+    """``components`` of bounded many ``edges`` (u, v) in one task."""
+    kind = edges.schema["u"].dataType.simpleString()
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [x for x in batches if len(x)]
+        if not batches:
+            return
+        ends = [np.concatenate([x.column(c).to_numpy() for x in batches]) for c in ("u", "v")]
+        nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+        i, j = at[:len(ends[0])], at[len(ends[0]):]
+        root = np.arange(len(nodes))
+        while len(i):
+            # the larger root of an edge is tied to the smaller one, then all ways are made flat
+            np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+            while ((up := root[root]) != root).any():
+                root = up
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+        for first in range(0, len(nodes), 1 << 16):
+            part = slice(first, first + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[part]), pa.array(nodes[root[part]])], ["node", "component"])
+
+    return edges.coalesce(1).mapInArrow(connect, f"node {kind}, component {kind}")
+
+
 def first_rows(docs: DataFrame, text: str, key: str, kept: DataFrame, pairs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose key and text are ``kept`` (_id, _hash), each key and text once; all columns stay.
 

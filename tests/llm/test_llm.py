@@ -2,6 +2,7 @@
 
 import collections
 import re
+import uuid
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from compare import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from subtlake.llm import decontaminate, jaccard, language, mixing, quality, queries, secrets, simhash, substrings, topk, urls, warc
+from subtlake.llm import common, decontaminate, jaccard, language, mixing, quality, queries, secrets, simhash, substrings, topk, urls, warc
 from subtlake.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -162,6 +163,25 @@ def test_pipeline_drops_near_fingerprints(spark):
     assert sorted(r.doc_id for r in got.collect()) == [1, 3]
 
 
+def test_few_edges_are_connected_without_rounds(spark, monkeypatch):
+    chain = [(i, i + 1) for i in range(-40, 40)] + [(1000, 7000), (5000, 7000), (5000, 5000), (None, 3), (2000, 9000), (9000, 2000)]
+    edges = spark.createDataFrame(chain, "a long, b long").repartition(8)
+    want = {i: -40 for i in range(-40, 41)} | {i: 1000 for i in (1000, 5000, 7000)} | {2000: 2000, 9000: 2000}
+    context = spark.sparkContext
+    group = uuid.uuid4().hex
+    context.setJobGroup(group, "components")
+    found = common.components(edges, "a", "b").collect()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(found) == len(want) and dict(map(tuple, found)) == want
+    jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup(group)]
+    assert len(jobs) <= 12  # the rounds of this chain take over 100
+    assert common.components(edges.where("a > 99999"), "a", "b").count() == 0
+    monkeypatch.setattr(common, "FEW_EDGES", -1)
+    rounds = common.components(edges.where("a not between -36 and 36"), "a", "b").collect()
+    monkeypatch.undo()
+    assert sorted(map(tuple, rounds)) == sorted(map(tuple, common.components(edges.where("a not between -36 and 36"), "a", "b").collect()))
+
+
 def test_similar_odd_rows(spark):
     frame = docs(spark, [(None, "a b c d e f"), (3, "A b c d e f"), (None, None), (None, ""), (9, "x"), (9, "x"), (8, "y"), (8, "z"), (7, "y")])
     got = jaccard.drop_similar(frame)
