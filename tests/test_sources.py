@@ -105,6 +105,16 @@ def test_dump_damage_stays_in_its_row(spark, tmp_path, block, monkeypatch):
     assert reasons == {"1": "URL", "3": "SubAddDate", "5": "URL"}
 
 
+def test_dump_rows_are_dealt_out_by_bytes(spark, tmp_path, monkeypatch):
+    """Many tasks get rows, though the shuffled bytes are few."""
+    monkeypatch.setattr(dump, "_PART", 1 << 12, raising=False)
+    monkeypatch.setattr(dump, "_STRETCH", 50)
+    write(tmp_path / "d.tsv", "\t".join(DUMP_COLUMNS) + "\n" + "".join(row(i, release=f"a\nb{i}") + "\n" for i in range(600)))
+    rows = dump.read_dump_rows(spark, str(tmp_path / "d.tsv")).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.row_id for r in rows}) == len(rows) == 600 and all("\n" in r.row for r in rows)
+    assert len({r.task for r in rows}) > 16
+
+
 def test_inbox_folder_and_stream(spark, tmp_path):
     names = {"1.x.zip": "archive", "2.zip": "archive", "3.not-found": "not_found", "4.not-found-dmca": "takedown", "5.dmca": "takedown",
              "6.dcma": "takedown", "7.html": "html", "7.2.html": "html", "8.zip.broken": "broken", "9.unknown": "unknown",
