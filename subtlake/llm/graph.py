@@ -1,13 +1,31 @@
 """A flat graph over the unit vectors of one shard: built with robust pruning, searched greedily and then by range.
 
 All queries of a shard walk side by side, so every step is a few array operations. ``near[i]`` are the neighbours of vector ``i``,
-filled up with -1. Similarities are inner products in double precision.
+filled up with -1. Similarities are inner products in double precision. Where a step gathers vectors or lists for pairs, it does so in
+blocks: a shard that is dense all over has as many pairs as the square of its vectors, each with the longest list or a whole vector.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
+_BLOCK = 1 << 20  # numbers gathered at once: 8 MB
+
+
+def _blocks(n: int, width: int) -> Iterator[slice]:
+    """``n`` rows of ``width`` numbers in runs of at most ``_BLOCK`` numbers."""
+    step = max(1, _BLOCK // max(1, width))
+    return (slice(first, first + step) for first in range(0, n, step))
+
+
+def _products(x: np.ndarray, rows: np.ndarray, y: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    out = np.empty(len(rows))
+    for part in _blocks(len(rows), x.shape[1]):
+        out[part] = np.einsum("ij,ij->i", x[rows[part]], y[ids[part]])
+    return out
+
 
 def medoid(x: np.ndarray) -> int:
     """The vector that is most like the others."""
@@ -27,7 +45,7 @@ class Walk:
         self._greedy(start, beam, width)
 
     def _look(self, rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        sims = np.einsum("ij,ij->i", self.queries[rows], self.x[ids])
+        sims = _products(self.queries, rows, self.x, ids)
         self.seen[rows, ids] = True
         self.rows.append(rows)
         self.ids.append(ids)
@@ -80,10 +98,11 @@ class Walk:
             if not len(rows):
                 return
             self.expanded[rows, ids] = True
-            on = self.near[ids]
-            ok = on >= 0
             mark = np.zeros(self.seen.shape, bool)
-            mark[np.repeat(rows, on.shape[1])[ok.ravel()], on[ok]] = True
+            for part in _blocks(len(rows), self.near.shape[1]):
+                on = self.near[ids[part]]
+                at, place = np.nonzero(on >= 0)
+                mark[rows[part][at], on[at, place]] = True
             mark &= ~self.seen
             rows, ids = np.nonzero(mark)
             sims = self._look(rows, ids)
@@ -106,6 +125,13 @@ def _best(rows: np.ndarray, ids: np.ndarray, sims: np.ndarray, n: int, most: int
 
 def _prune(x: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """Robust pruning of each row's candidates, best first: a candidate goes if a chosen one is ``alpha`` times nearer to it than the row is."""
+    out = np.full((len(ids), degree), -1)
+    for part in _blocks(len(ids), ids.shape[1] * max(ids.shape[1], x.shape[1])):
+        out[part] = _pruned(x, ids[part], sims[part], degree, alpha)
+    return out
+
+
+def _pruned(x: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     out = np.full((len(ids), degree), -1)
     vectors = x[np.maximum(ids, 0)]
     apart = 2 - 2 * np.matmul(vectors, vectors.transpose(0, 2, 1))  # squared distances
@@ -142,7 +168,7 @@ def build(x: np.ndarray, degree: int, beam: int, alpha: float) -> np.ndarray:
         had = near[hit]
         rows = np.concatenate([place, np.repeat(np.arange(len(hit)), degree)[had.ravel() >= 0]])
         ids = np.concatenate([source, had[had >= 0]])
-        sims = np.einsum("ij,ij->i", x[hit[rows]], x[ids])
+        sims = _products(x, hit[rows], x, ids)
         near[hit] = _prune(x, *_best(rows, ids, sims, len(hit), most), degree, alpha)
         done *= 2
     return near

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -173,6 +174,26 @@ def test_graph_reaches_all_near_vectors():
     assert (sims >= 0.93).sum() >= 0.97 * (x @ x.T >= 0.93).sum()
 
 
+def test_dense_shards_take_little_memory():
+    rng = np.random.RandomState(3)
+    x = 1 + 0.3 * rng.standard_normal((512, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tracemalloc.start()
+    near = graph.build(x, 16, 24, 1.2)
+    offsets, ties = graph.both_ways(near)
+    wide = np.full((len(x), np.diff(offsets).max()), -1)
+    for i in range(len(x)):
+        wide[i, :offsets[i + 1] - offsets[i]] = ties[offsets[i]:offsets[i + 1]]
+    walk = graph.Walk(x, wide, x, graph.medoid(x), 24)
+    walk.expand(0.83)
+    rows, ids, sims = walk.found()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rows) == len(x) ** 2  # each vector is like each
+    assert np.allclose(sims, (x @ x.T)[rows, ids], rtol=0, atol=1e-12)
+    assert most < 100 << 20
+
+
 # divergence
 
 def test_transducer_numbers_sorted_terms():
