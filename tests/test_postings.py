@@ -102,3 +102,68 @@ def test_word_sets_of_a_long_text(spark, tmp_path):
     asked = [(i, f"a{i} a{i + 1} a{(i * 7) % 1500} a{1499 - i}") for i in range(1499)] + [(5000, "a2 a1"), (5001, "a1 b")]
     got = postings.word_hits(spark.read.parquet(f"{tmp_path}/lists"), spark.createDataFrame(asked, "query_id long, text string"), "text", 4, 8)
     assert sorted(tuple(r) for r in got.collect()) == [(i, 1) for i in range(1499)] + [(5000, 1), (5000, 2)]
+
+
+def moved_rows(frame):
+    """Rows that the exchanges of a plan have written, in all stages it has run."""
+    def walk(node):
+        own = node.nodeName()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if own.startswith("AdaptiveSparkPlan"):
+            children = [node.executedPlan()]
+        elif "QueryStage" in own:
+            children = [node.plan()]
+        held = node.metrics().apply("shuffleRecordsWritten").value() if own == "Exchange" else 0
+        return held + sum(map(walk, children))
+
+    rows = frame.collect()
+    return rows, walk(frame._jdf.queryExecution().executedPlan())
+
+
+def test_hits_of_word_sets_are_not_moved(spark, tmp_path):
+    """There are far more hits than words in the texts; neither they nor the queries are dealt out with the texts."""
+    named = [f"w{i:02}" for i in range(14)]
+    texts = {n: random.Random(n).sample(named, 9) for n in range(50)}
+    rows = spark.createDataFrame([(n, " ".join(t * 2)) for n, t in texts.items()], "num long, text string")
+    postings.write_postings(postings.posting_blocks(rows, "num", "text"), f"{tmp_path}/lists")
+    sets = dict(enumerate(itertools.combinations(named, 4)))
+    asked = spark.createDataFrame([(q, " ".join(p)) for q, p in sets.items()], "query_id int, text string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, moved = moved_rows(postings.word_hits(spark.read.parquet(f"{tmp_path}/lists"), asked, "text"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    held = sorted((q, n) for q, p in sets.items() for n, t in texts.items() if set(p) <= set(t))
+    assert sorted(map(tuple, got)) == held and moved <= 50 * 9 < len(held)
+
+
+def test_word_sets_in_many_parts(spark, tmp_path, monkeypatch):
+    """Texts, sets, candidates and hits that are worked on in small parts; queries that come twice, without an id, or very often."""
+    for name, value in (("SETS", 40), ("TEXTS", 30), ("_STEP", 16)):
+        monkeypatch.setattr(postings, name, value)
+    named = [f"w{i}" for i in range(12)]
+    texts = [(n - 20, " ".join(random.Random(n).choices(named, k=n % 23))) for n in range(90)]
+    postings.write_postings(postings.posting_blocks(spark.createDataFrame(texts, "num long, text string"), "num", "text", 16, 4), f"{tmp_path}/lists")
+    asked = [(f"q{i}", " ".join(random.Random(-i).choices(named, k=i % 5))) for i in range(60)]
+    asked += asked[7:9] + [(None, "w1 w2")] + [(f"often{i}", "w3, W3 w5") for i in range(50)] + [("unknown", "w1 x"), ("null", None)]
+    got = postings.word_hits(spark.read.parquet(f"{tmp_path}/lists"), spark.createDataFrame(asked, "query_id string, text string"), "text", 16, 4)
+    held = [(q, n) for q, p in asked for n, t in texts if words(p) and set(words(p)) <= set(words(t))]
+    order = lambda r: (r[0] or "", r[1])
+    assert got.schema["query_id"].dataType.simpleString() == "string"
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(held, key=order)
+
+
+def test_words_of_equal_numbers_get_others(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(postings, "_word", lambda token, seed: F.pmod(F.xxhash64(F.lit(seed), token), F.lit(40)))
+    texts = spark.createDataFrame([(i, f"w{i} w{(i + 1) % 12}") for i in range(12)], "num long, text string")
+    postings.write_postings(postings.posting_blocks(texts, "num", "text"), f"{tmp_path}/lists")
+    asked = spark.createDataFrame([(i, f"w{i}") for i in range(12)] + [(20, "x1"), (21, "x2")], "query_id int, text string")
+    got = postings.word_hits(spark.read.parquet(f"{tmp_path}/lists"), asked, "text")
+    assert sorted(map(tuple, got.collect())) == sorted((i, n) for i in range(12) for n in (i, (i - 1) % 12))
+
+
+def test_posting_lists_take_one_shuffle(spark):
+    blocks = postings.posting_blocks(spark.createDataFrame(TEXTS, "num long, text string"), "num", "text")
+    plan = blocks.sortWithinPartitions("token")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning(token" in plan
