@@ -94,7 +94,7 @@ def conversation_postings(spark, sf):
     """Conversation texts under their numbers, and their posting lists, written and read back."""
     texts = files(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("num"), "text")
     path = scratch_path(spark, "postings")
-    postings.write_postings(postings.posting_blocks(texts, "num", "text"), path)
+    postings.write_postings(postings.posting_blocks(texts, "num", "text"), path, postings.token_cuts(texts, "text", 3))
     return texts, spark.read.parquet(path)
 
 

@@ -167,3 +167,17 @@ def test_posting_lists_take_one_shuffle(spark):
     blocks = postings.posting_blocks(spark.createDataFrame(TEXTS, "num long, text string"), "num", "text")
     plan = blocks.sortWithinPartitions("token")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Exchange rangepartitioning(token" in plan
+
+
+def test_lists_written_in_parts(spark, tmp_path):
+    rows = spark.createDataFrame(TEXTS + [(n, f"w{n % 90} to be w{n % 7}") for n in range(1000, 1400)], "num long, text string")
+    blocks = postings.posting_blocks(rows, "num", "text", 4, 8)
+    cuts = postings.token_cuts(rows, "text", 3)
+    assert 1 <= len(cuts) <= 2 and cuts == sorted(cuts)
+    postings.write_postings(blocks, f"{tmp_path}/whole")
+    whole = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/whole").collect()))
+    for i, some in enumerate((cuts, ["to"], ["", "be", "~"])):
+        postings.write_postings(blocks, f"{tmp_path}/{i}", some)
+        assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/{i}").collect())) == whole
+    none = rows.limit(0)
+    assert postings.token_cuts(none, "text", 3) == []
